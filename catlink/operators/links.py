@@ -39,7 +39,7 @@ def _by_id(view: DataFrame, known: DataFrame, prefix: str) -> DataFrame:
 
 
 def _by_name(view: DataFrame, known: DataFrame, prefix: str) -> DataFrame:
-    decoded = view.withColumn("_key", name_key(urls.decode_name("url", prefix)))
+    decoded = view.select("gid", "name", "url", "edits_pending", name_key(urls.decode_name("url", prefix)).alias("_key"))
     names = known.select(name_key("name").alias("_key"), "id")
     return decoded.join(names, "_key").select(*LINK_COLUMNS)
 

@@ -68,11 +68,14 @@ def _linked_places(pages: DataFrame, places: DataFrame, lang: str) -> DataFrame:
     """(title, codes_infobox, names_infobox, codes_text, names_text)."""
     fields = [("infobox", f, F.coalesce(F.try_element_at("infobox", F.lit(f)), F.lit(""))) for f in COUNTRY_FIELDS[lang]]
     fields.append(("text", "", F.coalesce("abstract", F.lit(""))))
-    found = F.flatten(F.array(*[
-        F.transform(_link_names(value), lambda x, s=source, f=field: F.struct(F.lit(s).alias("source"), F.lit(f).alias("field"), x["kind"].alias("kind"),
-                    x["shown"].alias("shown"), x["lookup"].alias("lookup"), x["pos"].alias("pos")))
-        for source, field, value in fields
-    ]))
+
+    def located(source: str, field: str, value: Column) -> Column:
+        def row(x: Column) -> Column:
+            return F.struct(F.lit(source).alias("source"), F.lit(field).alias("field"), *[x[k].alias(k) for k in ("kind", "shown", "lookup", "pos")])
+
+        return F.transform(_link_names(value), row)
+
+    found = F.flatten(F.array(*[located(*f) for f in fields]))
     rows = pages.select("title", F.explode(found).alias("p")).select("title", "p.*").join(places, ["kind", "lookup"])
     once = rows.groupBy("title", "source", "field", "kind", "name").agg(F.min(F.struct("rank", "pos", "shown")).alias("first"), F.min("code").alias("code"))
     return once.groupBy("title").agg(*[

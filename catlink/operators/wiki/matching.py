@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -84,12 +85,13 @@ def usable_pages(pages: DataFrame, use: str) -> DataFrame:
         df = df.filter(~F.col("title").contains(word))
     for word in rules["text_not"]:
         df = df.filter(~low.contains(word))
-    df = df.withColumn("page", mangle_name("text"))
-    for word in rules["page_not"]:
-        df = df.filter(~F.col("page").contains(word))
-    for word in rules["page_has"]:
-        df = df.filter(F.col("page").contains(word))
-    return df
+
+    def passes(page: Column) -> Column:
+        signs = [~page.contains(w) for w in rules["page_not"]] + [page.contains(w) for w in rules["page_has"]]
+        return reduce(lambda x, y: x & y, signs)
+
+    # as a generator, so that the comparison form is not computed once more for every sign
+    return df.withColumn("page", F.explode(F.filter(F.array(mangle_name("text")), passes)))
 
 
 def is_album_page(text: Column | str, lang: str) -> Column:

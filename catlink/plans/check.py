@@ -37,7 +37,7 @@ def connect(folder: str):
 
 def compare(spark, con, folder: str, name: str, query) -> str:
     start = time.time()
-    df = query.build(queries.Ctx(spark, folder))
+    df = query.build(queries.Ctx.of(spark, folder))
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     spent = time.time() - start
     if query.oracle is None:

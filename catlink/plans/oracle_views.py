@@ -129,14 +129,19 @@ def oracle(sql: str) -> str:
     """Complete query text: the view definitions it needs, then the query."""
     known = {**shapes.VIEWS, **VIEWS}
     order: list[str] = []
+    open_views: set[str] = set()
 
     def visit(text: str) -> None:
         for word in re.findall(r"[a-z_]+", text):
-            if word in known and word not in order:
+            if word in known and word not in order and word not in open_views:
+                open_views.add(word)
                 visit(known[word])
-                if word not in order:
-                    order.append(word)
+                open_views.discard(word)
+                order.append(word)
 
     visit(sql)
-    head = "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in order) + "\n" if order else ""
-    return head + sql.strip()
+    own = sql.strip()
+    if not order:
+        return own
+    head = "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in order)
+    return f"{head},\n{own[5:]}" if own.startswith("WITH ") else f"{head}\n{own}"

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catlink import session
 from catlink.config import Catalog, Sites
 from catlink.operators import catalog as prep, links
 from catlink.plans import shapes
@@ -31,28 +32,61 @@ class _Views(Catalog):
         return self._tables[name]
 
 
+# Views with joins or aggregations of their own, kept as tables like a catalog's real ones.
+STORED = {
+    "line", "a_url", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
+    "b_releases_extraartists", "w_page",
+}
+
+
 class Ctx:
-    """Catalogs and views over one data folder."""
+    """Catalogs and views over one data folder.
+
+    Link tables, mappings and the views in ``STORED`` are materialised on first use and shared by
+    all queries of the session.
+    """
+
+    _open: dict[tuple[str, str], "Ctx"] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.sites = spark, folder, SITES
+        self._paths: dict[str, str] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> "Ctx":
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in cls._open:
+            cls._open[key] = cls(spark, folder)
+        return cls._open[key]
 
     def view(self, name: str) -> DataFrame:
-        return shapes.view(self.spark, self.folder, name)
+        for needed in shapes.dependencies(name, self._paths):
+            if needed in STORED and needed not in self._paths:
+                df = shapes.view(self.spark, self.folder, needed, self._paths)
+                path = session.stored_path(self.spark, needed)
+                df.write.parquet(path)
+                self._paths[needed] = path
+        return shapes.view(self.spark, self.folder, name, self._paths)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        return session.materialise(df, name)
 
     @cached_property
     def a(self) -> Catalog:
-        return _Views(self, "a_", {f"{k}_link": (lambda k=k: links.link_view(self.a, k)) for k in links.KINDS})
+        return _Views(self, "a_", {f"{k}_link": (lambda k=k: self.keep(f"a_{k}_link", links.link_view(self.a, k))) for k in links.KINDS})
 
     @cached_property
     def b(self) -> Catalog:
-        derived = {f"{k}_link": (lambda k=k: links.resolve_links(k, getattr(self.a, f"{k}_link"), self.b, SITES)) for k in links.KINDS}
+        def resolved(kind: str) -> DataFrame:
+            return self.keep(f"b_{kind}_link", links.resolve_links(kind, getattr(self.a, f"{kind}_link"), self.b, SITES))
+
+        derived = {f"{k}_link": (lambda k=k: resolved(k)) for k in links.KINDS}
         derived |= {
             "release_format": lambda: prep.release_format(self.b.releases_formats, self.view("b_format_mapping")),
             "release_status": lambda: prep.release_status(self.b.releases_formats),
             "release_track_count": lambda: prep.track_count(self.b.track),
-            "release_mapping": lambda: prep.release_mapping(
-                self.b.release, self.b.release_format, self.b.release_track_count, self.b.release_status, self.countries),
+            "release_mapping": lambda: self.keep("release_mapping", prep.release_mapping(
+                self.b.release, self.b.release_format, self.b.release_track_count, self.b.release_status, self.countries)),
         }
         return _Views(self, "b_", derived)
 

@@ -71,7 +71,7 @@ SELECT o_orderkey AS id, 'r-' || CAST(o_orderkey AS STRING) AS gid, 'Title ' ||
   CASE WHEN o_orderkey % 2 = 0 THEN 1 END AS language, CASE WHEN o_orderkey % 3 = 0 THEN 1 END AS script
 FROM orders""")
 _view("a_release_meta", """
-SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 = 0 THEN 'B' || CAST(o_orderkey AS STRING) END AS amazon_asin,
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 18 = 0 THEN 'B' || CAST(o_orderkey AS STRING) END AS amazon_asin,
   CASE WHEN o_orderkey % 5 = 0 THEN 'present' ELSE 'absent' END AS cover_art_presence FROM orders""")
 _view("a_release_group", f"""
 SELECT o_orderkey AS id, 'g-' || CAST(o_orderkey AS STRING) AS gid, 'Group ' || {_GROUP_NO} AS name,
@@ -82,7 +82,7 @@ SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INT) AS first_release_date_ye
 _view("a_medium", """
 SELECT 2 * o_orderkey AS id, o_orderkey AS release, 2 * o_orderkey AS tracklist,
   CASE o_orderkey % 4 WHEN 0 THEN 7 WHEN 1 THEN 29 WHEN 2 THEN 1 END AS format, 1 AS position FROM orders
-UNION ALL SELECT 2 * o_orderkey + 1, o_orderkey, 2 * o_orderkey + 1, CAST(NULL AS INT), 2 FROM orders WHERE o_orderkey % 10 = 5""")
+UNION ALL SELECT 2 * o_orderkey + 1, o_orderkey, 2 * o_orderkey + 1, CAST(NULL AS INT), 2 FROM orders WHERE o_orderkey % 10 IN (5, 6)""")
 _view("a_track", """
 SELECT t AS id, 2 * o + CASE WHEN o % 10 = 5 AND n > 4 THEN 1 ELSE 0 END AS tracklist, t AS recording,
   'Track ' || CAST(p AS STRING) AS name, n AS position, CAST(n AS STRING) AS number,
@@ -107,7 +107,7 @@ SELECT n_nationkey AS id, n_name AS name,
 _view("a_url", """
 SELECT 16 * o_orderkey + 1 AS id, 'http://b.example/release/' || CAST(2 * o_orderkey AS STRING) AS url FROM orders WHERE o_orderkey % 4 = 0
 UNION ALL SELECT 16 * o_orderkey + 2, 'http://b.example/release/' || CAST(2 * o_orderkey + 1 AS STRING) FROM orders WHERE o_orderkey % 8 = 0
-UNION ALL SELECT 16 * o_orderkey + 3, 'http://b.example/master/' || CAST(o_orderkey AS STRING) FROM orders WHERE o_orderkey % 6 = 0
+UNION ALL SELECT 16 * o_orderkey + 3, 'http://b.example/master/' || CAST(o_orderkey AS STRING) FROM orders WHERE o_orderkey % 12 = 0
 UNION ALL SELECT 16 * id + 4, 'http://b.example/artist/' || replace(name, ' ', '+')
   || CASE WHEN id % 4 = 1 THEN '+(' || CAST(2 + (id - 1) % 3 AS STRING) || ')' ELSE '' END FROM a_artist WHERE id % 3 = 1
 UNION ALL SELECT 16 * id + 5, 'http://b.example/label/' || replace(name, ' ', '+') FROM a_label WHERE id % 2 = 1
@@ -180,7 +180,8 @@ SELECT 2 * c_custkey + 2 AS id,
 FROM customer""")
 _view("b_base", """
 SELECT 2 * o_orderkey AS id, o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey % 3 <> 1
-UNION ALL SELECT 2 * o_orderkey + 1, o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey % 16 = 0""")
+UNION ALL SELECT 2 * o_orderkey + 1, o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 32 = 0 THEN o_orderdate + INTERVAL 1 YEAR ELSE o_orderdate END FROM orders WHERE o_orderkey % 16 = 0 OR o_orderkey % 17 = 0""")
 _view("b_release", f"""
 SELECT id, CASE WHEN o_orderkey % 7 < 5 THEN 'TITLE ' ELSE 'Other ' END || {_TITLE_NO} AS title,
   CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE CAST(year(o_orderdate) AS STRING) || '-01-01' END AS released,
@@ -208,7 +209,7 @@ SELECT 2 * t AS id, 2 * o AS release_id, CASE WHEN n = 7 THEN '' ELSE CAST(n AS
   CASE WHEN p % 5 = 0 THEN 'TRACK ' ELSE 'Track ' END || CAST(p AS STRING) AS title,
   CAST(2 + p % 3 AS STRING) || ':' || lpad(CAST(p % 60 AS STRING), 2, '0') AS duration FROM line WHERE o % 3 <> 1
 UNION ALL SELECT 2 * t + 1, 2 * o + 1, CASE WHEN n = 7 THEN '' ELSE CAST(n AS STRING) END,
-  'Track ' || CAST(p AS STRING), NULL FROM line WHERE o % 16 = 0""")
+  'Track ' || CAST(p AS STRING), NULL FROM line WHERE o % 16 = 0 OR o % 17 = 0""")
 _view("b_tracks_artists", """
 SELECT 2 * l.t AS track_id, b.id AS artist_id, b.name AS artist_name, '' AS anv
 FROM line AS l JOIN b_artist AS b ON b.id = 2 * l.s + 2 WHERE l.o % 3 <> 1 AND l.n <= 4""")
@@ -280,14 +281,15 @@ _view("w_title", " UNION ALL ".join(
 _view("w_place", "SELECT * FROM (VALUES ('France', 'FR'), ('Canada', 'CA'), ('Germany', 'DE')) AS v(name, code)")
 
 
-def dependencies(sql: str) -> list[str]:
-    """Views that the text needs, each after those it needs itself."""
+def dependencies(sql: str, stop: Iterable[str] = ()) -> list[str]:
+    """Views that the text needs, each after those it needs itself; ``stop`` views count as given."""
     done: list[str] = []
 
     def visit(text: str) -> None:
         for word in re.findall(r"[a-z_]+", text):
             if word in VIEWS and word not in done:
-                visit(VIEWS[word])
+                if word not in stop:
+                    visit(VIEWS[word])
                 if word not in done:
                     done.append(word)
 
@@ -307,14 +309,12 @@ def base_tables(names: Iterable[str], folder: str) -> dict[str, str]:
     return {n: f"SELECT * FROM parquet.`{folder}/{n}.parquet`" for n in names}
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One view over the parquet files of ``folder``."""
-    sql = VIEWS.get(name, "")
-    views = dependencies(sql) if name in VIEWS else []
-    text = " ".join([name, sql, *(VIEWS[v] for v in views)])
-    base = [b for b in BASE if re.search(rf"\b{b}\b", text)]
-    parts = [f"{n} AS ({q})" for n, q in base_tables(base, folder).items()]
-    parts += [f"{v} AS ({VIEWS[v]})" for v in views]
-    if name in VIEWS:
-        parts.append(f"{name} AS ({sql})")
+def view(spark: SparkSession, folder: str, name: str, stored: dict[str, str] | None = None) -> DataFrame:
+    """One view over the parquet files of ``folder``; ``stored`` views are read from their own files."""
+    stored = stored or {}
+    views = dependencies(name, stored)
+    bodies = {v: f"SELECT * FROM parquet.`{stored[v]}`" if v in stored else VIEWS[v] for v in views}
+    text = " ".join([name, *bodies.values()])
+    base = [b for b in BASE if re.search(rf"(?<![a-z_`/]){b}(?![a-z_./])", text)]
+    parts = [f"{n} AS ({q})" for n, q in {**base_tables(base, folder), **bodies}.items()]
     return spark.sql("WITH " + ",\n".join(parts) + f"\nSELECT * FROM {name}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +31,17 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor does not lose the rows."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
-    return df.checkpoint(eager=True)
+def stored_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_folder(spark).rstrip('/')}/catlink/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows as a table in the shared checkpoint folder and read them back.
+
+    This is the library's form of a materialised view: the lineage ends at files that outlive
+    any executor, and later readers get column pruning, filter pushdown and file sizes, by which
+    Spark chooses its joins.
+    """
+    path = stored_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
