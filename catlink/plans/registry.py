@@ -35,8 +35,10 @@ class _Views(Catalog):
 # Views with joins or aggregations of their own, kept as tables like a catalog's real ones.
 STORED = {
     "line", "a_url", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
-    "b_releases_extraartists", "w_page",
+    "b_releases_extraartists", "w_page", "w_artist", "w_title",
 }
+# Views with long texts and the column to spread them by.
+TEXTS = {"documents": "doc_id", "w_page": "doc_id", "pages": "page_id"}
 
 
 class Ctx:
@@ -51,6 +53,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.sites = spark, folder, SITES
         self._paths: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Ctx":
@@ -60,13 +63,16 @@ class Ctx:
         return cls._open[key]
 
     def view(self, name: str) -> DataFrame:
-        for needed in shapes.dependencies(name, self._paths):
-            if needed in STORED and needed not in self._paths:
-                df = shapes.view(self.spark, self.folder, needed, self._paths)
-                path = session.stored_path(self.spark, needed)
-                df.write.parquet(path)
-                self._paths[needed] = path
-        return shapes.view(self.spark, self.folder, name, self._paths)
+        if name not in self._frames:
+            for needed in shapes.dependencies(name, self._paths):
+                if needed in STORED and needed not in self._paths:
+                    df = shapes.view(self.spark, self.folder, needed, self._paths)
+                    path = session.stored_path(self.spark, needed)
+                    df.write.parquet(path)
+                    self._paths[needed] = path
+            df = shapes.view(self.spark, self.folder, name, self._paths)
+            self._frames[name] = session.spread(df, TEXTS[name]) if name in TEXTS else df
+        return self._frames[name]
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         return session.materialise(df, name)

@@ -100,26 +100,28 @@ def structure_report(c):
 _POS = f"SELECT release_id, position, rn FROM ({_BT})"
 
 
-@Q.add(f"""WITH pos AS ({_POS}), first AS (SELECT release_id, position, min(rn) AS lo, max(rn) AS hi FROM pos GROUP BY ALL),
+_CREDIT_TRACKS = f"""WITH pos AS ({_POS}), first AS (SELECT release_id, position, min(rn) AS lo, max(rn) AS hi FROM pos GROUP BY ALL),
     cr AS (SELECT DISTINCT x.release_id, l.gid, x.artist_name || CASE WHEN x.anv = '' THEN '' ELSE ' credited as ' || x.anv END AS artist, x.role_name || CASE WHEN x.role_details IS NULL THEN '' ELSE ' [' || x.role_details || ']' END AS role, x.tracks
       FROM b_releases_extraartists x LEFT JOIN bl_artist l ON l.id = x.artist_id)
     SELECT DISTINCT release_id, gid, artist, role, '' AS position FROM cr WHERE coalesce(tracks, '') = ''
     UNION SELECT c.release_id, gid, artist, role, p.position FROM cr c JOIN pos p ON p.release_id = c.release_id AND c.tracks = '2, 5' AND p.position IN ('2', '5')
     UNION SELECT c.release_id, gid, artist, role, p.position FROM cr c JOIN first f ON f.release_id = c.release_id AND f.position = '1' JOIN first t ON t.release_id = c.release_id AND t.position = '3'
-      JOIN pos p ON p.release_id = c.release_id AND p.rn BETWEEN f.lo AND t.hi WHERE c.tracks = '1 to 3'""")
+      JOIN pos p ON p.release_id = c.release_id AND p.rn BETWEEN f.lo AND t.hi WHERE c.tracks = '1 to 3'"""
+
+
+@Q.add(_CREDIT_TRACKS)
 def release_credit_tracks(c):
     return structure.release_credit_rows(c.b)
 
 
 @Q.add(f"""WITH own AS (SELECT t.release_id, t.id AS track_id, l.gid, x.artist_name || CASE WHEN x.anv = '' THEN '' ELSE ' credited as ' || x.anv END AS artist,
       x.role_name || CASE WHEN x.role_details IS NULL THEN '' ELSE ' [' || x.role_details || ']' END AS role, t.position
-      FROM b_track t JOIN b_tracks_extraartists x ON x.track_id = t.id LEFT JOIN bl_artist l ON l.id = x.artist_id WHERE t.position <> '')
-    SELECT release_id, track_id, gid, artist, role, position, count(*) AS n FROM own WHERE track_id IN (SELECT track_id FROM own WHERE gid IS NOT NULL) AND artist LIKE '%Aka' GROUP BY ALL""")
+      FROM b_track t JOIN b_tracks_extraartists x ON x.track_id = t.id LEFT JOIN bl_artist l ON l.id = x.artist_id WHERE t.position <> ''),
+    cov AS (SELECT t.release_id, t.id AS track_id, c.gid, c.artist, c.role, t.position FROM ({_CREDIT_TRACKS}) c JOIN b_track t ON t.release_id = c.release_id AND t.position = c.position WHERE c.position <> '')
+    SELECT *, count(*) AS n FROM (SELECT * FROM own WHERE track_id IN (SELECT track_id FROM own WHERE gid IS NOT NULL)
+      UNION ALL SELECT * FROM cov WHERE track_id IN (SELECT track_id FROM cov WHERE gid IS NOT NULL)) GROUP BY ALL""")
 def track_credits(c):
-    """Credits of the tracks themselves; those with a name variant, as these only occur on one side of the union."""
-    rows = structure.track_credits(c.b).filter(F.col("artist").endswith("Aka") & F.col("role").rlike("^(Remix|Producer|Mixed By)"))
-    own = c.b.tracks_extraartists.select("track_id").distinct()
-    rows = rows.join(own, "track_id", "left_semi").filter(~F.col("position").isin("1", "2", "3"))
+    rows = structure.track_credits(c.b)
     return rows.groupBy("release_id", "track_id", "gid", "artist", "role", "position").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -81,7 +81,7 @@ _view("a_release_group_meta", """
 SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INT) AS first_release_date_year FROM orders WHERE o_orderkey % 3 = 0""")
 _view("a_medium", """
 SELECT 2 * o_orderkey AS id, o_orderkey AS release, 2 * o_orderkey AS tracklist,
-  CASE o_orderkey % 4 WHEN 0 THEN 7 WHEN 1 THEN 29 WHEN 2 THEN 1 END AS format, 1 AS position FROM orders
+  CASE o_orderkey % 8 WHEN 0 THEN 7 WHEN 4 THEN 31 WHEN 1 THEN 29 WHEN 5 THEN 29 WHEN 2 THEN 1 WHEN 6 THEN 1 END AS format, 1 AS position FROM orders
 UNION ALL SELECT 2 * o_orderkey + 1, o_orderkey, 2 * o_orderkey + 1, CAST(NULL AS INT), 2 FROM orders WHERE o_orderkey % 10 IN (5, 6)""")
 _view("a_track", """
 SELECT t AS id, 2 * o + CASE WHEN o % 10 = 5 AND n > 4 THEN 1 ELSE 0 END AS tracklist, t AS recording,
@@ -169,11 +169,11 @@ _view("a_script", "SELECT * FROM (VALUES (1, 'Latin')) AS v(id, name)")
 _view("b_artist", f"""
 SELECT 2 * c_custkey + 2 AS id,
   'ARTIST ' || {_NAME_NO} || CASE WHEN c_custkey % 4 = 0 THEN ' (' || CAST(2 + c_custkey % 3 AS STRING) || ')' ELSE '' END AS name,
-  CASE c_custkey % 3 WHEN 0 THEN 'ARTIST ' || {_NAME_NO} WHEN 1 THEN 'Artist ' || CAST(c_custkey + 1 AS STRING) ELSE 'Somebody' END AS realname,
+  CASE c_custkey % 6 WHEN 0 THEN 'ARTIST ' || {_NAME_NO} WHEN 3 THEN 'Artist ' || CAST(c_custkey + 1 AS STRING) ELSE 'Somebody' END AS realname,
   CASE c_custkey % 5 WHEN 0 THEN 'American rock artist. Born long ago.' WHEN 1 THEN 'Nation_1 based duo' WHEN 2 THEN 'Who? Nobody knows.'
     WHEN 3 THEN 'nation-born artist' END AS profile,
   'Correct' AS data_quality,
-  split('ARTIST ' || CAST(c_custkey + 3 AS STRING) || ',Artist ' || CAST(c_custkey + 1 AS STRING), ',') AS aliases,
+  split('ARTIST ' || CAST(c_custkey + 3 AS STRING) || ',Artist ' || CAST(c_custkey + 1 AS STRING) || ',Artist ' || CAST(c_custkey - 1 AS STRING), ',') AS aliases,
   split('ARTIST ' || CAST(c_custkey + 5 AS STRING) || ',ARTIST ' || CAST(c_custkey + 6 AS STRING), ',') AS groups,
   split('Artist ' || CAST(c_custkey - 5 AS STRING) || ' (2),ARTIST ' || CAST(c_custkey - 6 AS STRING), ',') AS members,
   split('http://home.example/' || CAST(c_custkey AS STRING) || ',http://fan.example/' || CAST(c_custkey AS STRING), ',') AS urls

@@ -58,12 +58,13 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV without header; NULL and the empty string stay distinguishable."""
-    df.write.mode("overwrite").option("header", "false").option("emptyValue", '""').option("nullValue", "").csv(path)
+    """CSV without header; NULL is an empty field, the empty string a quoted one, quotes are doubled."""
+    df.write.mode("overwrite").option("header", "false").option("escape", '"').option("emptyValue", '""').option("nullValue", "").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("emptyValue", "").csv(path)
+    # a null marker that cannot occur keeps quoted empty fields apart from absent ones
+    return spark.read.schema(schema).option("escape", '"').option("emptyValue", "").option("nullValue", "\u0000").csv(path)
 
 
 # Keyed state -------------------------------------------------------------------------------
