@@ -80,3 +80,13 @@ def format_family(c: Column | str, family: Sequence[int]) -> Column:
     """One value for all formats of the family, the format itself otherwise."""
     x = F.col(c) if isinstance(c, str) else c
     return F.when(x.isin(*family), F.lit(family[0])).otherwise(x)
+
+
+def partners(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``left`` with the number of distinct ``value`` under its key in ``right`` and the lowest one.
+
+    ``right`` is reduced to one row per key before the join, so a key that is frequent on both
+    sides costs one row per left row, never the product.
+    """
+    per_key = right.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias("n_partners"), F.min(value).alias("first_partner"))
+    return left.join(per_key, list(keys))

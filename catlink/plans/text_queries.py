@@ -8,7 +8,7 @@ from catlink.functions import similarity, titlecase, urls, wikitext
 from catlink.functions import text as X
 from catlink.functions.titlecase import EXTRA_TITLE_INFO, SMALL_WORDS
 from catlink.operators import state
-from catlink.operators.keys import joined_text
+from catlink.operators.keys import joined_text, note_list, partners
 from catlink.plans.oracle_views import catno, enc, key, mangle, quote, strip
 from catlink.plans.registry import Registry
 from catlink.sources import dictionaries, feeds, tables
@@ -18,16 +18,17 @@ Q = Registry()
 # Names and numbers ---------------------------------------------------------------------------
 
 
-@Q.add(f"SELECT a.gid, b.id, b.name FROM a_artist a JOIN b_artist b ON lower(a.name) = {key('b.name')}")
+@Q.add(f"""SELECT a.gid, count(DISTINCT b.id) AS n_partners, min(b.id) AS first_partner FROM a_artist a JOIN b_artist b ON lower(a.name) = {key('b.name')} GROUP BY a.gid""")
 def strip_suffix_join(c):
     left = c.a.artist.select("gid", X.name_key("name").alias("k"))
-    return left.join(c.b.artist.select("id", "name", X.numbered_name_key("name").alias("k")), "k").select("gid", "id", "name")
+    return partners(left, c.b.artist.select("id", X.numbered_name_key("name").alias("k")), ["k"], "id").drop("k")
 
 
-@Q.add(f"""SELECT DISTINCT l.release, b.release_id FROM a_release_label l JOIN b_releases_labels b ON {catno('b.catno')} = {catno('l.catalog_number')}""")
+@Q.add(f"""SELECT l.release, l.label, count(DISTINCT b.release_id) AS n_partners, min(b.release_id) AS first_partner FROM a_release_label l
+    JOIN b_releases_labels b ON {catno('b.catno')} = {catno('l.catalog_number')} GROUP BY ALL""")
 def catalog_number_join(c):
-    left = c.a.release_label.select("release", X.catno_key("catalog_number").alias("k")).distinct()
-    return left.join(c.b.releases_labels.select("release_id", X.catno_key("catno").alias("k")).distinct(), "k").select("release", "release_id").distinct()
+    left = c.a.release_label.select("release", "label", X.catno_key("catalog_number").alias("k"))
+    return partners(left, c.b.releases_labels.select("release_id", X.catno_key("catno").alias("k")), ["k"], "release_id").drop("k")
 
 
 @Q.add(f"SELECT id, {enc('name')} AS url, {strip('name')} AS plain FROM b_artist")
@@ -102,8 +103,6 @@ def mangle_documents(c):
     ELSE 'releases "' || t[1] || '", "' || t[2] || '", "' || t[3] || '" and ' || CAST(n - 3 AS VARCHAR) || ' more' END AS names
     FROM (SELECT artist_credit AS artist, list_sort(list(DISTINCT name)) AS t, count(DISTINCT name) AS n FROM a_release GROUP BY artist_credit)""")
 def quoted_names(c):
-    from catlink.operators.keys import note_list
-
     rows = c.a.release.select(F.col("artist_credit").alias("artist"), "name").distinct()
     n = rows.groupBy("artist").agg(F.count("name").alias("n"))
     first = note_list(rows, ["artist"], "name", 3)
