@@ -34,7 +34,7 @@ def main() -> None:
     start = time.time()
     for kind in ("release", "release_group", "artist", "label"):
         getattr(ctx.a, f"{kind}_link"), getattr(ctx.b, f"{kind}_link")
-    ctx.b.release_mapping
+    ctx.b.release_mapping, ctx.track_evidence, ctx.credit_evidence
     ctx.view("w_page"), ctx.b.tracks_artists, ctx.b.tracks_extraartists, ctx.b.releases_extraartists, ctx.b.releases_artists, ctx.b.masters_artists
     setup = time.time() - start
     spent = {}

@@ -14,6 +14,7 @@ from catlink.functions.urls import encode_name, id_from_url
 from catlink.operators.evidence import IS_PERSON, MEMBER_OF_BAND, linked, relations, text, unlinked
 from catlink.operators.keys import except_rows, format_family, joined_text, only_single, repeated
 from catlink.reports.info import CRLF, a_release_info, b_release_info
+from catlink.session import materialise
 
 # Relationships ---------------------------------------------------------------------------------
 
@@ -193,13 +194,19 @@ def release_cleanup(a: Catalog, b: Catalog, sites: Sites) -> DataFrame:
         .select("edge", "gid", "url", F.col("id").alias("a_release"))
         .distinct()
     )
-    a_info = a_release_info(a, "short").select(F.col("release_id").alias("a_release"), F.col("info").alias("a_info"))
-    b_info = b_release_info(b, "short")
-    rows = (
+    removed = (
         edges.join(removable, ["gid", "url"])
         .join(links.select("gid", "url", F.col("id").alias("remove_id")), ["gid", "url"])
         .join(best, "gid")
-        .join(a_info, "a_release", "left")
+    )
+    # the links to remove are read many times below: stored once, and texts only of their releases
+    removed = materialise(removed, "cleanup")
+    a_ids = removed.select(F.col("a_release").alias("release_id"))
+    b_ids = removed.select("release_id").unionByName(removed.select(F.col("remove_id").alias("release_id")))
+    a_info = a_release_info(a, "short", a_ids).select(F.col("release_id").alias("a_release"), F.col("info").alias("a_info"))
+    b_info = b_release_info(b, "short", b_ids)
+    rows = (
+        removed.join(a_info, "a_release", "left")
         .join(b_info.select("release_id", F.col("info").alias("best_info")), "release_id", "left")
         .join(b_info.select(F.col("release_id").alias("remove_id"), F.col("info").alias("remove_info")), "remove_id", "left")
     )

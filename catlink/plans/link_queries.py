@@ -207,7 +207,7 @@ def artist_evidence_track(c):
 
 @Q.add(_TRACK_SUM)
 def artist_evidence_track_summary(c):
-    return ev.track_summary(ev.track_evidence(c.a, c.b, SITES))
+    return ev.track_summary(c.track_evidence)
 
 
 def _credits(c):
@@ -221,7 +221,7 @@ def artist_evidence_credits(c):
 
 @Q.add(_CREDIT_SUM)
 def artist_evidence_credit_summary(c):
-    return ev.release_credit_summary(_credits(c))
+    return ev.release_credit_summary(c.credit_evidence)
 
 
 for _name, _sql in _BRANCH.items():
@@ -231,7 +231,7 @@ for _name, _sql in _BRANCH.items():
 @Q.add("SELECT gid, url, 'Found B Artist with name match.' || chr(10) || string_agg(note, chr(10) ORDER BY note) AS note, CAST(sum(score) AS BIGINT) AS score FROM (\n"
        + "\nUNION ".join(f"SELECT gid, url, note, score FROM ({q})" for q in [*_BRANCH.values(), _TRACK_SUM, _CREDIT_SUM]) + ") GROUP BY gid, url")
 def artist_evidence_all(c):
-    return ev.artist_evidence(c.a, c.b, SITES, ev.track_evidence(c.a, c.b, SITES), _credits(c))
+    return ev.artist_evidence(c.a, c.b, SITES, c.track_evidence, c.credit_evidence)
 
 
 # Proposals ------------------------------------------------------------------------------------------------

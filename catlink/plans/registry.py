@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catlink import session
 from catlink.config import Catalog, Sites
-from catlink.operators import catalog as prep, links
+from catlink.operators import catalog as prep, evidence, links
 from catlink.plans import shapes
 from catlink.sources import dictionaries
 
@@ -96,6 +96,16 @@ class Ctx:
         }
         return _Views(self, "b_", derived)
 
+    @cached_property
+    def track_evidence(self) -> DataFrame:
+        """Stored, as the total over all evidence reads it."""
+        return self.keep("track_evidence", evidence.track_evidence(self.a, self.b, SITES))
+
+    @cached_property
+    def credit_evidence(self) -> DataFrame:
+        phrases = links.link_phrases(self.a)
+        return self.keep("credit_evidence", evidence.release_credit_evidence(self.a, self.b, self.view("roles"), phrases, SITES))
+
     @cached_property
     def countries(self) -> DataFrame:
         return prep.country_mapping(dictionaries.country_names(self.spark), self.a.country)

@@ -35,10 +35,22 @@ def _check_mode(mode: str) -> bool:
     return mode == "short"
 
 
-def b_release_info(b: Catalog, mode: str) -> DataFrame:
-    """(release_id, info) for catalog B. A short text is NULL when the release has no counted track."""
+def _restrict(only: DataFrame | None):
+    """Filter for tables of a release part: all rows, or those of the releases in ``only`` (release_id)."""
+    def keep(df: DataFrame, key: str = "release_id") -> DataFrame:
+        return df if only is None else df.join(only.select(F.col("release_id").alias(key)).distinct(), key, "left_semi")
+
+    return keep
+
+
+def b_release_info(b: Catalog, mode: str, only: DataFrame | None = None) -> DataFrame:
+    """(release_id, info) for catalog B, of all releases or of those in ``only``.
+
+    A short text is NULL when the release has no counted track.
+    """
     short = _check_mode(mode)
-    labels = _per_release(b.releases_labels, text(F.col("label"), " - ", F.col("catno")), ", " if short else CRLF + "  ", "labels")
+    keep = _restrict(only)
+    labels = _per_release(keep(b.releases_labels), text(F.col("label"), " - ", F.col("catno")), ", " if short else CRLF + "  ", "labels")
     words = F.col("descriptions")
     one_format = text(
         F.when(F.col("qty") == 1, "").otherwise(text(F.col("qty"), TIMES)),
@@ -46,15 +58,15 @@ def b_release_info(b: Catalog, mode: str) -> DataFrame:
         F.when(F.size(words) == 0, ", ").otherwise(text(", ", F.array_join(words, ", "))),
         F.when(F.col("text").isNull() | (F.col("text") == ""), "").otherwise(text(", ", F.col("text"))),
     )
-    formats = _per_release(b.releases_formats, one_format, ", " if short else CRLF + "    ", "formats")
-    ident = b.release_identifier
+    formats = _per_release(keep(b.releases_formats), one_format, ", " if short else CRLF + "    ", "formats")
+    ident = keep(b.release_identifier)
     code = F.col("value") if short else text(F.col("value"), _in_parentheses("description"))
     codes = ident.filter("type = 'Barcode'").select("release_id", code.alias("barcode")).distinct()
     barcodes = codes.groupBy("release_id").agg(joined_text("barcode", ", ").alias("line"), joined_text("barcode", CRLF + "    ").alias("block"), F.count("barcode").alias("n"))
     barcodes = barcodes.select("release_id", (F.col("line") if short else F.when(F.col("n") > 2, F.col("block")).otherwise(F.col("line"))).alias("barcodes"))
-    base = b.release.withColumnRenamed("id", "release_id").join(labels, "release_id", "left").join(formats, "release_id", "left").join(barcodes, "release_id", "left")
+    base = keep(b.release, "id").withColumnRenamed("id", "release_id").join(labels, "release_id", "left").join(formats, "release_id", "left").join(barcodes, "release_id", "left")
     if short:
-        counts = b.track.filter("position <> ''").groupBy("release_id").agg(F.count(F.lit(1)).alias("n_tracks"))
+        counts = keep(b.track).filter("position <> ''").groupBy("release_id").agg(F.count(F.lit(1)).alias("n_tracks"))
         info = text("Format: ", _or_blank("formats"), ", Country: ", _or_blank("country"), ", Date: ", _or_blank("released"), ", Tracks: ",
                     F.col("n_tracks"), ", Barcode: ", _or_blank("barcodes"), ", Label: ", _or_blank("labels"))
         return base.join(counts, "release_id", "left").select("release_id", info.alias("info"))
@@ -80,9 +92,9 @@ def b_release_info(b: Catalog, mode: str) -> DataFrame:
     return base.join(others, "release_id", "left").select("release_id", info.alias("info"))
 
 
-def medium_formats(a: Catalog) -> DataFrame:
+def medium_formats(a: Catalog, only: DataFrame | None = None) -> DataFrame:
     """(id, formats): ``2 × CD, DVD`` over the media of a release."""
-    named = a.medium.select(F.col("release").alias("id"), "format").join(
+    named = _restrict(only)(a.medium, "release").select(F.col("release").alias("id"), "format").join(
         a.medium_format.select(F.col("id").alias("format"), F.col("name").alias("format_name")), "format")
     counts = named.groupBy("id", "format").agg(F.count(F.lit(1)).alias("n"), F.min("format_name").alias("format_name"))
     part = F.when(F.col("n") == 1, F.col("format_name")).otherwise(text(F.col("n"), TIMES, F.col("format_name")))
@@ -101,20 +113,21 @@ def release_group_types(a: Catalog) -> DataFrame:
     return joined.select("release_group", value.alias("type_text"))
 
 
-def a_release_info(a: Catalog, mode: str) -> DataFrame:
-    """(release_id, info) for catalog A; parts that are unknown are left out."""
+def a_release_info(a: Catalog, mode: str, only: DataFrame | None = None) -> DataFrame:
+    """(release_id, info) for catalog A, of all releases or of those in ``only``; unknown parts are left out."""
     short = _check_mode(mode)
+    keep = _restrict(only)
     indent = "" if short else "  "
-    pairs = a.release_label.join(a.label.select(F.col("id").alias("label"), "name"), "label").withColumnRenamed("release", "id")
+    pairs = keep(a.release_label, "release").join(a.label.select(F.col("id").alias("label"), "name"), "label").withColumnRenamed("release", "id")
     labels = _per_release(pairs, text(F.col("name"), " - ", F.col("catalog_number")), ", " if short else CRLF + "  ", "labels", key="id")
 
     def named(table: str, key: str, out: str, column: str = "name") -> DataFrame:
         return getattr(a, table).select(F.col("id").alias(key), F.col(column).alias(out))
 
     rel = (
-        a.release.withColumn("release_date", partial_date("date_year", "date_month", "date_day"))
+        keep(a.release, "id").withColumn("release_date", partial_date("date_year", "date_month", "date_day"))
         .join(labels, "id", "left")
-        .join(medium_formats(a), "id", "left")
+        .join(medium_formats(a, only), "id", "left")
         .join(release_group_types(a), "release_group", "left")
         .join(named("country", "country", "country_code", "iso_code"), "country", "left")
         .join(named("release_packaging", "packaging", "packaging_name"), "packaging", "left")
@@ -126,7 +139,7 @@ def a_release_info(a: Catalog, mode: str) -> DataFrame:
 
     details = [line(indent + label, column) for label, column in (("Type", "type_text"), ("Packaging", "packaging_name"), ("Status", "status_name"))]
     if short:
-        counts = a.medium.select(F.col("release").alias("id"), F.col("tracklist")).join(
+        counts = keep(a.medium, "release").select(F.col("release").alias("id"), "tracklist").join(
             a.tracklist.select(F.col("id").alias("tracklist"), "track_count"), "tracklist").groupBy("id").agg(F.sum("track_count").alias("n_tracks"))
         lines = [line("Format", "formats"), line("Country", "country_code"), line("Date", "release_date"), line("Tracks", "n_tracks"),
                  line("Barcode", "barcode"), line("Label", "labels"), *details]
