@@ -6,10 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catlink import session
 from catlink.config import Catalog, Sites
+from catlink.functions import wikitext
 from catlink.operators import catalog as prep, evidence, links
 from catlink.plans import shapes
 from catlink.sources import dictionaries
@@ -34,7 +35,7 @@ class _Views(Catalog):
 
 # Views with joins or aggregations of their own, kept as tables like a catalog's real ones.
 STORED = {
-    "line", "a_url", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
+    "line", "a_url", "a_l_artist_artist", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
     "b_releases_extraartists", "w_page", "w_artist", "w_title",
 }
 # Views with long texts and the column to spread them by.
@@ -106,6 +107,15 @@ class Ctx:
         phrases = links.link_phrases(self.a)
         return self.keep("credit_evidence", evidence.release_credit_evidence(self.a, self.b, self.view("roles"), phrases, SITES))
 
+    @cached_property
+    def parsed_pages(self) -> DataFrame:
+        """Pages with their parsed columns, stored as every fact is read from them.
+
+        The page number is the key, as titles may repeat in this data.
+        """
+        pages = self.view("w_page").select(F.col("doc_id").cast("string").alias("_id"), "text")
+        return self.keep("parsed_pages", pages.select(*wikitext.page_struct("_id", "text", "en")))
+
     @cached_property
     def countries(self) -> DataFrame:
         return prep.country_mapping(dictionaries.country_names(self.spark), self.a.country)

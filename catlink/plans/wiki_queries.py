@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catlink.config import LINK_TYPE
-from catlink.functions import wikitext
 from catlink.operators.wiki import facts, matching, worklists
 from catlink.plans.oracle_views import mangle
 from catlink.plans.registry import Registry
@@ -211,8 +210,7 @@ def label_artists(c):
 
 
 def _pages(c):
-    """Parsed pages; the page number is the key, as titles may repeat in this data."""
-    return c.view("w_page").select(F.col("doc_id").cast("string").alias("_id"), "text", F.col("title").alias("_title")).select(*wikitext.page_struct("_id", "text", "en"))
+    return c.parsed_pages
 
 
 _IN_TEXT = """SELECT doc_id, 'FR' AS code FROM w_page WHERE doc_id % 7 = 0 UNION ALL SELECT doc_id, 'CA' FROM w_page WHERE doc_id % 7 = 1
