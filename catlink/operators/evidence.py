@@ -14,9 +14,8 @@ from catlink.functions.text import name_key, numbered_name_key
 from catlink.functions.urls import encode_name
 from catlink.operators.keys import joined_text, note_list
 
-# Link type names, tag, weights.
+# Link type names, weights.
 MEMBER_OF_BAND, IS_PERSON = "member of band", "is person"
-IMPROPER_TAG = "improper discogs link"
 W_CREDIT, W_RELATION, W_URL, W_TITLE, W_TRACK = 12, 3, 3, 4, 1
 
 
@@ -125,8 +124,11 @@ def release_credit_summary(rows: DataFrame) -> DataFrame:
 
 
 def by_linked_release(a: Catalog, b: Catalog, sites: Sites) -> DataFrame:
-    """A linked release is credited to an artist of the same name."""
-    improper = a.tag.filter(F.col("name") == IMPROPER_TAG).select(F.col("id").alias("tag")).join(a.artist_tag, "tag").select("artist").distinct()
+    """A linked release is credited to an artist of the same name.
+
+    Artists tagged ``improper <catalog B> link`` are left out.
+    """
+    improper = a.tag.filter(F.col("name") == f"improper {sites.b_name.lower()} link").select(F.col("id").alias("tag")).join(a.artist_tag, "tag").select("artist").distinct()
     people = unlinked(credited_artists(a), a.artist_link, on="artist").filter(F.col("artist") != SPECIAL_ARTIST).join(improper, "artist", "left_anti")
     left = (
         a.release_link.filter("edits_pending = 0").select("id", F.col("gid").alias("release_gid"), F.col("name").alias("release_name")).distinct()

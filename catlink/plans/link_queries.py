@@ -167,7 +167,7 @@ _BRANCH = {
         FROM al_release v JOIN a_release r ON r.id = v.id JOIN credited c ON c.artist_credit = r.artist_credit JOIN bl_release l ON l.gid = v.gid
         JOIN b_releases_artists x ON x.release_id = l.id AND {key('x.artist_name')} = lower(c.artist_name)
         WHERE c.artist <> 1 AND v.edits_pending = 0 AND c.artist NOT IN (SELECT id FROM al_artist)
-        AND c.artist NOT IN (SELECT artist FROM a_artist_tag JOIN a_tag ON a_tag.id = tag WHERE name = 'improper discogs link')""",
+        AND c.artist NOT IN (SELECT artist FROM a_artist_tag JOIN a_tag ON a_tag.id = tag WHERE name = 'improper b link')""",
     "linked_release_group": f"""SELECT DISTINCT c.artist_gid AS gid, {enc('x.artist_name')} AS url, 'Linked Release Group "' || v.name || '" {A}release-group/' || v.gid || ' points to same artist' AS note, 12 AS score
         FROM al_release_group v JOIN a_release_group r ON r.id = v.id JOIN a_artist_credit k ON k.id = r.artist_credit JOIN credited c ON c.artist_credit = k.id
         JOIN bl_release_group l ON l.gid = v.gid JOIN b_masters_artists x ON x.master_id = l.id AND {key('x.artist_name')} = lower(c.artist_name)

@@ -150,7 +150,7 @@ _view("a_l_artist_release", """
 SELECT t AS id, s + 1 AS entity0, o AS entity1, CASE p % 3 WHEN 0 THEN 300 WHEN 1 THEN 601 ELSE 301 END AS link, 0 AS edits_pending
 FROM line WHERE n <= 3 AND p % 2 = 0""")
 _view("a_l_artist_recording", "SELECT t AS id, s + 1 AS entity0, t AS entity1, 1530 AS link, 0 AS edits_pending FROM line WHERE p % 12 = 0")
-_view("a_tag", "SELECT * FROM (VALUES (1, 'improper discogs link'), (2, 'rock')) AS v(id, name)")
+_view("a_tag", "SELECT * FROM (VALUES (1, 'improper b link'), (2, 'rock')) AS v(id, name)")
 _view("a_artist_tag", "SELECT id AS artist, CASE WHEN id % 12 = 0 THEN 1 ELSE 2 END AS tag FROM a_artist WHERE id % 6 = 0")
 _view("a_release_group_type", "SELECT * FROM (VALUES (1, 'Album'), (2, 'Single'), (3, 'EP'), (4, 'Soundtrack'), (5, 'Interview')) AS v(id, name)")
 _view("a_release_group_primary_type", "SELECT id, name FROM a_release_group_type")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-_LINK = "gid string, name string, url string, id bigint, edits_pending int"
+# Resolved links of catalog A, as stored next to catalog B.
+LINKS = "gid string, name string, url string, id bigint, edits_pending int"
 _EDGE = "id bigint, entity0 bigint, entity1 bigint, link int, edits_pending int"
 
 A_TABLES = {
@@ -31,6 +32,10 @@ A_TABLES = {
     "country": "id int, iso_code string, name string",
     "tag": "id bigint, name string",
     "artist_tag": "artist bigint, tag bigint",
+    "release_group_secondary_type_join": "release_group bigint, secondary_type int",
+    **{n: "id int, name string" for n in (
+        "release_group_type", "release_group_primary_type", "release_group_secondary_type", "release_status", "release_packaging",
+        "medium_format", "language", "script")},
     **{f"l_{a}_{b}": _EDGE for a, b in (
         ("artist", "artist"), ("artist", "release"), ("artist", "recording"), ("artist", "work"), ("recording", "work"),
         ("artist", "url"), ("label", "url"), ("release", "url"), ("release_group", "url"))},
@@ -55,7 +60,6 @@ B_TABLES = {
     "tracks_extraartists": "track_id bigint, artist_id bigint, artist_name string, anv string, role_name string, role_details string",
     "releases_images": "release_id bigint, image_id bigint",
     "image": "id bigint, uri string, type string, height int, width int",
-    **{f"{k}_link": _LINK for k in ("release", "release_group", "artist", "label")},
 }
 
 UPDATE_LOG = "id bigint, updated string, event string, timest timestamp"

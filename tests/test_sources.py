@@ -130,3 +130,24 @@ def test_materialise_uses_the_named_folder(spark):
 def test_replace_table(spark):
     for n in (1, 2):
         assert tables.replace_table(spark.range(n), "replaced").count() == n
+
+
+def test_read_catalog_and_link_resolution(spark, tmp_path):
+    """Tables written and read with their declared schemas, then linked."""
+    from catlink import Catalog, Sites, schemas
+
+    def put(side, table, schema, data):
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / side / table))
+
+    put("a", "artist", schemas.A_TABLES["artist"], [(5, "g5", "Mø (x)", None, None, None, None, None, None, None, None, None, None)])
+    put("a", "url", schemas.A_TABLES["url"], [(1, "http://b/artist/M%C3%B8+(x)"), (2, "http://b/artist/Gone")])
+    put("a", "l_artist_url", schemas.A_TABLES["l_artist_url"], [(1, 5, 1, 26038, 0), (2, 5, 2, 26038, 0), (3, 5, 1, 99, 0)])
+    put("b", "artist", schemas.B_TABLES["artist"], [(9, "MØ (X)", None, None, None, None, None, None, None), (8, "Mø (x)", None, None, None, None, None, None, None)])
+    a = tables.read_catalog(spark, str(tmp_path / "a"), schemas.A_TABLES, ["artist", "url", "l_artist_url"])
+    b = tables.read_catalog(spark, str(tmp_path / "b"), schemas.B_TABLES, ["artist"])
+    view = links.link_view(a, "artist")
+    assert {(r.id, r.url) for r in view.collect()} == {(5, "http://b/artist/M%C3%B8+(x)"), (5, "http://b/artist/Gone")}
+    got = links.resolve_links("artist", view, b, Sites(b_base="http://b/"))
+    assert [tuple(r) for r in got.collect()] == [("g5", "Mø (x)", "http://b/artist/M%C3%B8+(x)", 8, 0)]
+    with pytest.raises(AttributeError):
+        Catalog({}).nothing
