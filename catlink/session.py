@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FOLDER = "spark.checkpoint.dir"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,11 +24,10 @@ def builder(app: str = "catlink") -> SparkSession.Builder:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch folder only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder that the session names."""
+    folder = spark.conf.get(FOLDER, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="catlink-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError(f"{FOLDER} names no folder: set it to one that the driver and all executors share")
     return folder
 
 
