@@ -2,7 +2,8 @@
 
 Each source gets a target share of all words. A document's expected copies are its source's target over its source's size (times an
 optional weight of its own): the whole part is taken for certain, the fraction is its inclusion probability. Documents are ranked by
-Pareto's ratio, the odds of a uniform draw over the odds of inclusion, and taken in that order until the source's words are reached.
+Pareto's ratio, the odds of a uniform draw over the odds of inclusion, and taken in that order while they fit into the source's words;
+one more document, the one of the best size, fills the gap at the end.
 """
 
 from __future__ import annotations
@@ -60,6 +61,12 @@ def _rank(df: DataFrame, cap: float) -> DataFrame:
     return df.withColumn("_bucket", F.least(F.floor(F.col("_rank") * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
 
 
+def _within() -> Column:
+    """Whether a ranked row lies before the end of its source's sample."""
+    here = F.coalesce(F.struct("_rank", "doc_id", "_tie") <= F.col("_last"), F.lit(False))
+    return F.coalesce((F.col("_bucket") < F.col("_at")) | ((F.col("_bucket") == F.col("_at")) & here), F.lit(False))
+
+
 def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
@@ -93,21 +100,25 @@ class Mix:
         at = F.when(F.first("_need") <= 0, -1).otherwise(F.coalesce(F.min(F.when(F.col("_upto") >= F.col("_need"), F.col("_bucket"))), F.lit(BUCKETS)))
         before = F.coalesce(F.max(F.when(F.col("_upto") < F.col("_need"), F.col("_upto"))), F.lit(0))
         cuts = buckets.groupBy("_s").agg(at.alias("_at"), (F.first("_need") - before).alias("_left"))
-        # In the bucket of the cut, the last document is the one that brings the sum nearest to what is left.
+        # In the bucket of the cut, the last document is the last one that fits.
         inside = ranked.filter("_part").join(cuts, _same("source", "_s") & (F.col("_bucket") == F.col("_at")))
         order = source.orderBy("_rank", "doc_id", "_tie").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        inside = inside.withColumn("_off", F.abs(F.sum("size").over(order) - F.col("_left")))
+        inside = inside.withColumn("_sum", F.sum("size").over(order)).filter("_sum <= _left")
         unit = F.struct("_rank", "doc_id", "_tie")
-        best = inside.groupBy("source").agg(F.min_by(unit, F.struct("_off", "_rank", "doc_id", "_tie")).alias("_last"), F.min("_off").alias("_off"), F.first("_left").alias("_left"))
-        best = best.select(F.col("source").alias("_b"), F.when(F.col("_off") <= F.col("_left"), F.col("_last")).alias("_last"))
-        out = plan.join(cuts.select(F.col("_s").alias("_c"), "_at"), _same("_s", "_c"), "left").join(best, _same("_s", "_b"), "left")
-        return session.materialise(out.select("_s", "source_size", "target", "_rate", "_at", "_last"), "mix-cuts")
+        best = inside.groupBy("source").agg(F.max(unit).alias("_last"), F.max("_sum").alias("_got"))
+        out = plan.join(cuts.withColumnRenamed("_s", "_c"), _same("_s", "_c"), "left").join(best.withColumnRenamed("source", "_b"), _same("_s", "_b"), "left")
+        out = out.withColumn("_gap", F.when(F.col("_at").between(0, BUCKETS - 1), F.col("_left") - F.coalesce("_got", F.lit(0))))
+        ends = session.materialise(out.select("_s", "source_size", "target", "_rate", "_at", "_last", "_gap"), "mix-cuts")
+        # What is left, less than one document in rank order, goes to the document not yet taken that fits it best.
+        open_ = _rank(self._with(self.rows, ends), self.cap).filter(F.col("_part") & ~_within() & (F.col("size") < 2 * F.col("_gap")))
+        extra = open_.groupBy("source").agg(F.min_by(unit, F.struct(F.abs(F.col("size") - F.col("_gap")), unit)).alias("_extra"))
+        out = ends.join(extra.withColumnRenamed("source", "_b"), _same("_s", "_b"), "left")
+        return session.materialise(out.select("_s", "source_size", "target", "_rate", "_at", "_last", "_extra"), "mix-ends")
 
     def decide(self, rows: DataFrame) -> DataFrame:
         """Add source_size, target and copies to rows with draw, tie hash and weight."""
         df = _rank(self._with(rows, self.plan), self.cap)
-        here = F.struct(F.col("_rank").alias("_rank"), F.col("doc_id").alias("doc_id"), F.col("_tie").alias("_tie"))
-        chosen = F.col("_part") & ((F.col("_bucket") < F.col("_at")) | ((F.col("_bucket") == F.col("_at")) & F.coalesce(here <= F.col("_last"), F.lit(False))))
+        chosen = F.col("_part") & (_within() | F.coalesce(F.struct("_rank", "doc_id", "_tie") == F.col("_extra"), F.lit(False)))
         return df.withColumn("copies", F.col("_whole") + F.coalesce(chosen, F.lit(False)).cast("long"))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catlink.llm import decontam, mixing, quality, sharding, simhash
+from catlink.llm import decontam, mixing, quality, sharding, simhash, tokens
 from catlink.llm.common import table
 
 SHARDS = 40
@@ -41,5 +42,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op5_simhash, op7_mixing)}
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the token files, read back from them."""
+    return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op5_simhash, op7_mixing, op10_token_files)}
 ORACLE: dict[str, str] = {}
