@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catlink.llm import decontam, mixing, quality, sharding, simhash, tokens
+from catlink.llm import chat, decontam, licences, mixing, quality, rules, sharding, simhash, tokens
 from catlink.llm.common import table
 
 SHARDS = 40
@@ -37,15 +37,39 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families found in every document: the most probable confirmed one, all confirmed ones, and the unknown paragraphs."""
+    df = licences.scan(table(spark, folder, "documents"))
+    sure, odd = F.filter("found", lambda x: x["family"] != "unknown"), F.filter("found", lambda x: x["family"] == "unknown")
+    best = F.array_max(F.transform(sure, lambda x: F.struct(x["probability"], x["family"])))["family"]
+    return df.select(
+        "doc_id", "n_paragraphs", best.alias("licence"), F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"),
+        F.size(sure).cast("long").alias("n_confirmed"), F.size(odd).cast("long").alias("n_unknown"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often the mix takes each document."""
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every document and the verdict of the learned decision list."""
+    df = rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation that ends in a reply, against the same one ending in a stale reply."""
+    df = chat.preferences(*chat.stale_replies(table(spark, folder, "conversations")))
+    mask = lambda c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), "")
+    return df.select(
+        F.col("pair").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", mask("chosen_train").alias("chosen_mask"), "rejected", mask("rejected_train").alias("rejected_mask"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place in the token files, read back from them."""
     return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op5_simhash, op7_mixing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op5_simhash, op6_licences, op7_mixing, op8_rules, op9_chat, op10_token_files)}
 ORACLE: dict[str, str] = {}
