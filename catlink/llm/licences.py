@@ -133,7 +133,9 @@ class Model:
 
 def _sampled(docs: DataFrame, s: Settings) -> list[str]:
     size = F.octet_length("text")
-    some = docs.filter(size.between(1, s.longest)).select(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("k"), "text").orderBy("k", "text").limit(s.sample)
+    rows = docs.filter(size.between(1, s.longest)).select(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("k"), "text")
+    last = rows.select("k").orderBy("k").limit(s.sample).agg(F.max("k")).first()[0]
+    some = rows.filter(F.col("k") <= F.lit(last)).orderBy("k", "text").limit(s.sample)
     return [x for r in some.collect() for x in r["text"].split("\n") if _words(x)]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catlink.llm import chat, decontam, licences, mixing, quality, rules, sharding, simhash, tokens
+from catlink.llm import chat, decontam, licences, mixing, quality, repeats, rules, sharding, simhash, tokens
 from catlink.llm.common import table
 
 SHARDS = 40
@@ -31,6 +31,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the passages of 200 bytes that occur twice anywhere."""
+    df = repeats.remove(table(spark, folder, "documents"), keep_first=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return df.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     df = simhash.groups(table(spark, folder, "documents"))
@@ -71,5 +78,5 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op5_simhash, op6_licences, op7_mixing, op8_rules, op9_chat, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_repeats, op5_simhash, op6_licences, op7_mixing, op8_rules, op9_chat, op10_token_files)}
 ORACLE: dict[str, str] = {}
