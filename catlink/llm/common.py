@@ -24,6 +24,12 @@ def uniform(*parts: Column | str) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` of the rows, all if there are no more: those whose key draws below ``size`` over their number."""
+    n = rows.count()
+    return rows if n <= size else rows.filter(uniform(F.lit("sample"), F.col(key)) < size / n)
+
+
 def word_count(text: Column) -> Column:
     """Number of words between ASCII white space; none in a null text."""
     return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")

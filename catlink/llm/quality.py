@@ -15,14 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.llm.common import Rolling, chain, pieces, runs
+from catlink.llm.common import Rolling, chain, pieces, runs, sampled
 
 DIMENSIONS = 1 << 18
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled rows that are learned from at most, those of the least hash. ``shards``: learners whose weights are averaged."""
+    """``sample``: labelled rows that are learned from, about, drawn by hash where there are more. ``shards``: learners whose weights are averaged."""
 
     sample: int = 24_000
     shards: int = 6
@@ -138,14 +138,14 @@ def held_out(key: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
-    """Fit on at most ``settings.sample`` labelled rows. Zeros (score 0.5) if the labels do not hold both classes.
+    """Fit on about ``settings.sample`` labelled rows, all if there are fewer. Zeros (score 0.5) if the labels do not hold both classes.
 
     Texts are turned into sparse rows where they lie; each shard of the sample is learned in a task of its own, in hash order, and the
     weights of the shards are averaged.
     """
     spark = docs.sparkSession
     turn = F.md5(F.col("doc_id").cast("string"))
-    picked = labelled(labels).select(F.col("doc_id").alias("_id"), "y", turn.alias("turn")).orderBy("turn", "_id").limit(settings.sample)
+    picked = sampled(labelled(labels), "doc_id", settings.sample).select(F.col("doc_id").alias("_id"), "y", turn.alias("turn"))
     texts = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))
     rows = texts.select("y", "turn", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_sparse, "y int, turn string, ids array<int>, vals array<float>")
 

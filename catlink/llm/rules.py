@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catlink import session
+from catlink.llm.common import sampled
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -23,7 +24,7 @@ _GAP = r"[\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled rows that are learned from at most, those of the least hash. ``precision``: share of rejected rows on the pruning third that must be bad."""
+    """``sample``: labelled rows that are learned from, about, drawn by hash where there are more. ``precision``: share of rejected rows on the pruning third that must be bad."""
 
     sample: int = 20_000
     bins: int = 24
@@ -136,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     """
     y = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg(F.col("quality").cast("double")) < 0.5).cast("int").alias("bad"))
     turn = F.md5(F.col("doc_id").cast("string"))
-    picked = y.select(F.col("doc_id").alias("_id"), "bad", turn.alias("_turn")).orderBy("_turn", "_id").limit(settings.sample)
+    picked = sampled(y, "doc_id", settings.sample).select(F.col("doc_id").alias("_id"), "bad", turn.alias("_turn"))
     rows = statistics(docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))).filter(~base_failed())
     rows = session.materialise(rows.select("bad", "_turn", *[f().alias(n) for n, f in FEATURES.items()]), "rule-rows")
     if rows.select("bad").distinct().count() < 2:
