@@ -249,7 +249,8 @@ def remove(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, grain
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.crc32(text.cast("binary")).cast("long").alias("crc"), "doc_id", text.alias("text"))
     plain = keyed.select("k", "crc", "text")
-    often = _scan(plain.select("k", "crc", "text"), length, grain, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h")
+    often = _scan(plain, length, grain, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h")
+    often = session.materialise(often, "repeat-anchors")
     rows = session.materialise(_scan(plain, length, grain, True).join(often, "h", "left_semi"), "repeat-rows")
     place = F.struct("k", "crc", "lo", "n")
     groups = session.materialise(rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("first")), "repeat-groups")
