@@ -24,7 +24,7 @@ DIMENSIONS = 1 << 18
 class Settings:
     """``sample``: labelled rows that are learned from, about, drawn by hash where there are more. ``shards``: learners whose weights are averaged."""
 
-    sample: int = 24_000
+    sample: int = 9_000
     shards: int = 6
     epochs: int = 3
     alpha: float = 2.0

@@ -19,15 +19,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from catlink import session
-from catlink.llm.common import ragged
+from catlink.llm.common import Rolling, pieces, ragged
 
 END = 1
 PER_FILE = 20_000
 """Documents of a file, about."""
 BLOCK = 1 << 16
 """Ids of a block at least, but for the last of a file; a document is never split."""
-CACHE = 400_000
-"""Distinct pieces that a worker remembers; it starts anew beyond that."""
+CACHE = 800_000
+"""Distinct pieces that a worker remembers, by two 64-bit hashes each; beyond that it forgets those met in one step only."""
+STEP = 4 << 20
+"""Bytes of text that are encoded at a time."""
 _SEPARATORS = "§¶•†‡¤"
 
 
@@ -35,66 +37,79 @@ class Encoder:
     """Ids of many texts by one tokenizer file, without special tokens."""
 
     def __init__(self, path: str):
+        import os
+
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         alone = {s: self.tokenizer.encode(s, add_special_tokens=False).ids for s in _SEPARATORS}
         self.mark = next(s for s, ids in alone.items() if len(ids) == 1)
         self.mark_id = alone[self.mark][0]
+        self.rolling = [Rolling(7), Rolling(8)]
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.starts, self.lengths = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.length, self.hits, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the pieces that later steps met again, the more frequent half of the room at most."""
+        least = 1
+        while (self.hits >= least).sum() > CACHE // 2:
+            least *= 2
+        keep = np.flatnonzero(self.hits >= least)
+        self.ids = self.ids[ragged(self.length[keep].astype(np.int64), self.start[keep])]
+        self.h1, self.h2, self.length, self.hits = self.h1[keep], self.h2[keep], self.length[keep], self.hits[keep]
+        self.start = np.cumsum(self.length, dtype=np.int64) - self.length
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode pieces many at a time, with a mark between them; pieces that would hide a mark go alone."""
-        for i in range(0, len(words), 2000):
-            some = words[i:i + 2000]
-            odd = [w for w in some if self.mark in w or "<|" in w]
-            some = [w for w in some if not (self.mark in w or "<|" in w)]
-            ids = self._plain(f" {self.mark} ".join(some)) if some else np.zeros(0, np.int32)
-            cut = np.flatnonzero(ids == self.mark_id)
-            if some and len(cut) == len(some) - 1:
-                self._keep(some, ids, np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(ids)]]))
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, number of each): many are encoded at a time, with a mark between them; those that would hide a mark go alone."""
+        parts, lengths = [np.zeros(0, np.int32)], np.zeros(len(words), np.int32)
+        for i in range(0, len(words), 500):
+            some = words[i:i + 500]
+            ids = self._plain(f" {self.mark} ".join(some))
+            at = np.flatnonzero(ids == self.mark_id)
+            if len(at) == len(some) - 1 and not any("<|" in w or self.mark in w for w in some):
+                lengths[i:i + len(some)] = np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
+                parts.append(ids[ids != self.mark_id])
             else:
-                odd += some
-            for w in odd:
-                ids = self._plain(w)
-                self._keep([w], ids, np.zeros(1, np.int64), np.array([len(ids)]))
-
-    def _keep(self, words: list[str], ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        n, m = len(self.known), len(words)
-        while n + m > len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.starts[n:n + m], self.lengths[n:n + m] = self.used + start, end - start
-        self.used += len(ids)
-        self.known.update(zip(words, range(n, n + m), strict=True))
+                each = [self._plain(w) for w in some]
+                lengths[i:i + len(some)] = [len(x) for x in each]
+                parts += each
+        return np.concatenate(parts), lengths
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text starts (one more at the end). Null counts as empty."""
+        if len(self.h1) > CACHE:
+            self._forget()
         split = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
         offsets = np.asarray(split.offsets).astype(np.int64)
         coded = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
-        words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > max(CACHE, len(words)):
-            self.clear()
-        new = [w for w in words if w not in self.known]
-        self._learn(new)
-        known = self.known
-        at = np.fromiter((known[w] for w in words), np.int64, len(words))[np.asarray(coded.indices)] if words else np.zeros(0, np.int64)
-        lengths = self.lengths[at]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return self.ids[ragged(lengths, self.starts[at])], ends[offsets]
+        pairs = [(r.over(data).of(at[:-1], at[1:])) for _, _, data, at in pieces(coded.dictionary) for r in self.rolling]
+        h1, h2 = (np.concatenate([np.zeros(0, np.uint64), *pairs[i::2]]) for i in (0, 1))
+        nr = np.searchsorted(self.h1, h1)
+        known = np.zeros(len(h1), bool)
+        inside = np.flatnonzero(nr < len(self.h1))
+        known[inside] = (self.h1[nr[inside]] == h1[inside]) & (self.h2[nr[inside]] == h2[inside])
+        start, length = np.zeros(len(h1), np.int64), np.zeros(len(h1), np.int32)
+        start[known], length[known] = self.start[nr[known]], self.length[nr[known]]
+        self.hits[nr[known]] += 1
+        new = ~known
+        ids, length[new] = self._learn(coded.dictionary.filter(pa.array(new)).to_pylist())
+        start[new] = len(self.ids) + np.cumsum(length[new], dtype=np.int64) - length[new]
+        self.ids = np.concatenate([self.ids, ids])
+        order = np.argsort(np.concatenate([self.h1, h1[new]]), kind="stable")
+        for name, more in (("h1", h1), ("h2", h2), ("start", start), ("length", length), ("hits", np.zeros(len(h1), np.int32))):
+            setattr(self, name, np.concatenate([getattr(self, name), more[new]])[order])
+        at = np.asarray(coded.indices)
+        counts = length[at].astype(np.int64)
+        return self.ids[ragged(counts, start[at])], np.concatenate([[0], np.cumsum(counts)])[offsets]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -159,8 +174,9 @@ def encode(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, tail = _encoder(tokenizer), end.to_bytes(width, "little")
         for whole in batches:
-            for i in range(0, whole.num_rows, 2000):
-                batch = whole.slice(i, 2000)
+            size = np.cumsum(np.asarray(pc.binary_length(whole.column("text")).fill_null(0)).astype(np.int64))
+            for part in np.split(np.arange(whole.num_rows), np.flatnonzero(np.diff(size // STEP)) + 1):
+                batch = whole.slice(part[0], len(part)) if len(part) else whole.slice(0, 0)
                 doc = batch.column("doc_id")
                 file = np.where(np.asarray(doc.is_null()), 0, np.searchsorted(cuts, np.asarray(doc.fill_null(0)), "right"))
                 ids, at = e.encode(batch.column("text"))
