@@ -41,7 +41,8 @@ def _by_id(view: DataFrame, known: DataFrame, prefix: str) -> DataFrame:
 def _by_name(view: DataFrame, known: DataFrame, prefix: str) -> DataFrame:
     decoded = view.select("gid", "name", "url", "edits_pending", name_key(urls.decode_name("url", prefix)).alias("_key"))
     names = known.select(name_key("name").alias("_key"), "id")
-    return decoded.join(names, "_key").select(*LINK_COLUMNS)
+    found = decoded.join(names, "_key").groupBy("gid", "name", "url", "edits_pending").agg(F.min("id").alias("id"))
+    return found.select(*LINK_COLUMNS)
 
 
 def resolve_links(kind: str, view: DataFrame, b: Catalog, sites: Sites) -> DataFrame:

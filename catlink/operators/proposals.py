@@ -517,7 +517,7 @@ def database_relations(a: Catalog, sites: Sequence[str] = DATABASE_SITES, links:
     return edges.join(listed, "url_id").join(kinds, "link").select("id", "link_type", F.lit(LINK_TYPE["database_page"]).alias("new_link_type"))
 
 
-def seven_inch_formats(a: Catalog, processed: DataFrame, prefix: str = "http://www.encyclopedisque.fr/images/", limit: int | None = 100) -> DataFrame:
+def seven_inch_formats(a: Catalog, processed: DataFrame, prefix: str = "http://www.encyclopedisque.fr/images/", limit: int | None = None) -> DataFrame:
     """Releases with an image link of the sleeve site whose medium should be a 7-inch.
 
     The format is absent or just "vinyl", the image belongs to no other release, and the release
@@ -533,9 +533,8 @@ def seven_inch_formats(a: Catalog, processed: DataFrame, prefix: str = "http://w
     rel = a.release.select(F.col("id").alias("release"), "gid", "name", "artist_credit")
     credit = a.artist_credit.select(F.col("id").alias("artist_credit"), F.col("name").alias("credit_name"))
     out = rows.join(rel, "release").join(credit, "artist_credit").join(processed.select("gid").distinct(), "gid", "left_anti")
-    out = out.orderBy("artist_credit", "release", "url", "format")
     if limit is not None:
-        out = out.limit(limit)
+        out = out.orderBy("artist_credit", "release", "url", "format").limit(limit)
     note = text('Setting format to 7" based on attached link to Encyclopedisque (', F.col("url"), ")")
     return out.select(F.col("release").alias("id"), "gid", "name", "url", "format", "credit_name", F.lit(SEVEN_INCH).alias("new_format"), note.alias("note"))
 

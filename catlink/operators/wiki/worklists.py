@@ -38,7 +38,7 @@ def _cut(df: DataFrame, order: Sequence, limit: int | None) -> DataFrame:
     return df if limit is None else df.orderBy(*order).limit(limit)
 
 
-def artists(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = 10000, countries: Sequence[str] | None = None) -> DataFrame:
+def artists(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = None, countries: Sequence[str] | None = None) -> DataFrame:
     """(id, gid, name, country): artists without a page in the language.
 
     The artist's country is unknown or accepted by the language. Artists of a known country come first.
@@ -54,7 +54,7 @@ def artists(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = 10000,
     return _cut(rows, [F.asc_nulls_last("country"), "id"], limit)
 
 
-def release_groups(a: Catalog, lang: str, ledger: DataFrame, first_limit: int | None = 100000, limit: int | None = 1000,
+def release_groups(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = None,
                    countries: Sequence[str] | None = None) -> DataFrame:
     """(id, gid, name, credit_name, type_name): albums without a page in the language.
 
@@ -69,19 +69,19 @@ def release_groups(a: Catalog, lang: str, ledger: DataFrame, first_limit: int |
         people = a.artist.select(F.col("id").alias("artist"), "country").join(codes, "country", "left_semi").select("artist")
         one = a.artist_credit_name.join(people, "artist", "left_semi").groupBy("artist_credit").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("artist_credit")
         rows = rows.join(one, "artist_credit", "left_semi")
-    rows = _cut(rows.select("id", "gid", "name", "artist_credit", "type_name"), ["artist_credit", "id"], first_limit)
+    rows = rows.select("id", "gid", "name", "artist_credit", "type_name")
     credits = a.artist_credit.select(F.col("id").alias("artist_credit"), F.col("name").alias("credit_name"))
     rows = not_processed(rows.join(credits, "artist_credit"), ledger, lang)
     return _cut(rows, ["artist_credit", "id"], limit).select("id", "gid", "name", "credit_name", "type_name")
 
 
-def labels(a: Catalog, ledger: DataFrame, limit: int | None = 10000) -> DataFrame:
+def labels(a: Catalog, ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """(id, gid, name): labels without an encyclopedia page in any language."""
     rows = _without_page(a, "label", None).filter(F.col("id") >= FIRST_ORDINARY_ID).select("id", "gid", "name")
     return _cut(not_processed(rows, ledger), ["id"], limit)
 
 
-def artists_in_script(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = 10000) -> DataFrame:
+def artists_in_script(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """(id, gid, name, in_script): artists without any page who have releases in the language's country.
 
     Names not written in the language's script are flagged, so that they can go straight to the ledger.
@@ -94,7 +94,7 @@ def artists_in_script(a: Catalog, lang: str, ledger: DataFrame, limit: int | Non
     return rows.withColumn("in_script", has_script("name", *LANGUAGE_SCRIPTS[lang]))
 
 
-def artists_lacking_data(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = 50) -> DataFrame:
+def artists_lacking_data(a: Catalog, lang: str, ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """Artists with a settled page link who lack country, type, gender or dates, with their first address."""
     t = F.col("type")
     born, gender = F.col("begin_date_year").isNull(), F.col("gender").isNull()

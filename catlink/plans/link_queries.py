@@ -44,22 +44,37 @@ def _stored_sql(kind: str) -> str:
         UNION ALL SELECT gid, name, url || '-gone', id, edits_pending FROM bl_{kind} WHERE id % 11 = 3)"""
 
 
+def _named_sql(kind: str) -> str:
+    return f"""(SELECT l.gid, l.name, l.url, min(b.id) AS id, l.edits_pending FROM al_{kind} l JOIN b_{kind} b
+        ON lower(b.name) = lower(substr(url_decode(replace(l.url, '+', ' ')), {len(B + kind + '/') + 1})) GROUP BY ALL)"""
+
+
 def _current_sql(kind: str, path: str) -> str:
     if kind == "artist":
-        return f"""(SELECT l.gid, l.name, l.url, b.id, l.edits_pending FROM al_artist l JOIN b_artist b
-            ON lower(b.name) = lower(substr(url_decode(replace(l.url, '+', ' ')), {len(B + 'artist/') + 1})))"""
+        return _named_sql("artist")
+    if kind == "label":
+        return _named_sql("label")
     number = f"try_cast(regexp_extract(url, '^http://b\\.example/{path}/([0-9]+)', 1) AS BIGINT)"
     return f"(SELECT gid, name, url, {number} AS id, edits_pending FROM al_{kind} WHERE {number} IS NOT NULL)"
 
 
 def _sync(c, kind: str):
-    known = {"release": lambda: c.b.release, "artist": lambda: None}[kind]()
-    return links.sync_changes(_stored(c, kind), links.sync_candidates(kind, getattr(c.a, f"{kind}_link"), c.b, SITES), known)
+    return links.sync_changes(_stored(c, kind), links.sync_candidates(kind, getattr(c.a, f"{kind}_link"), c.b, SITES), _known_ids(c, kind))
+
+
+def _known_ids(c, kind: str):
+    return {"release": lambda: c.b.release, "release_group": lambda: c.b.master}.get(kind, lambda: None)()
+
+
+def _unchanged(c, kind: str):
+    """What a sync of the current state would add: nothing."""
+    return links.sync_changes(getattr(c.b, f"{kind}_link"), links.sync_candidates(kind, getattr(c.a, f"{kind}_link"), c.b, SITES), _known_ids(c, kind))[0]
 
 
-for _kind in ("release", "artist"):
-    _cur, _old = _current_sql(_kind, "release"), _stored_sql(_kind)
-    _known = " WHERE id IN (SELECT id FROM b_release)" if _kind == "release" else ""
+for _kind, _path, _table in (("release", "release", "b_release"), ("release_group", "master", "b_master"), ("artist", "", None), ("label", "", None)):
+    _cur, _old = _current_sql(_kind, _path), _stored_sql(_kind)
+    _known = f" WHERE id IN (SELECT id FROM {_table})" if _table else ""
+    Q.add(f"SELECT * FROM {_cur}{_known} EXCEPT SELECT gid, name, url, id, edits_pending FROM bl_{_kind}", f"{_kind}_sync_noop")(lambda c, k=_kind: _unchanged(c, k))
     _added = f"SELECT * FROM (SELECT * FROM {_cur} EXCEPT SELECT * FROM {_old}){_known}"
     _removed = f"SELECT * FROM {_old} EXCEPT SELECT * FROM {_cur}"
     Q.add(_added, f"{_kind}_sync_added")(lambda c, k=_kind: _sync(c, k)[0])
@@ -443,8 +458,7 @@ def database_relations(c):
 @Q.add("""SELECT r.id, r.gid, r.name, u.url, m.format, k.name AS credit_name, 29 AS new_format FROM a_release r JOIN a_medium m ON m.release = r.id JOIN a_l_release_url e ON e.entity0 = r.id
     JOIN a_link l ON l.id = e.link AND l.link_type = 78 JOIN a_url u ON u.id = e.entity1 JOIN a_artist_credit k ON k.id = r.artist_credit
     WHERE u.url LIKE 'http://www.encyclopedisque.fr/images/%' AND (m.format IS NULL OR m.format = 7)
-    AND NOT EXISTS (SELECT 1 FROM a_l_release_url x WHERE x.entity1 = u.id AND x.entity0 <> r.id) AND r.id % 3 <> 0
-    ORDER BY r.artist_credit, r.id LIMIT 100""")
+    AND NOT EXISTS (SELECT 1 FROM a_l_release_url x WHERE x.entity1 = u.id AND x.entity0 <> r.id) AND r.id % 3 <> 0""")
 def seven_inch_formats(c):
     processed = c.a.release.filter("id % 3 = 0").select("gid")
     return pr.seven_inch_formats(c.a, processed).drop("note")

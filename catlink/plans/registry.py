@@ -38,8 +38,6 @@ STORED = {
     "line", "a_url", "a_l_artist_artist", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
     "b_releases_extraartists", "w_page", "w_artist", "w_title",
 }
-# Views with long texts and the column to spread them by.
-TEXTS = {"documents": "doc_id", "w_page": "doc_id", "pages": "page_id"}
 
 
 class Ctx:
@@ -72,7 +70,7 @@ class Ctx:
                     df.write.parquet(path)
                     self._paths[needed] = path
             df = shapes.view(self.spark, self.folder, name, self._paths)
-            self._frames[name] = session.spread(df, TEXTS[name]) if name in TEXTS else df
+            self._frames[name] = df
         return self._frames[name]
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:

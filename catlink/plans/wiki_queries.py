@@ -25,13 +25,13 @@ def _ledger(c, kind: str):
 
 
 @Q.add(f"""SELECT a.id, a.gid, a.name, c.iso_code AS country FROM a_artist a LEFT JOIN a_country c ON c.id = a.country WHERE a.id > 2
-    AND a.id NOT IN ({_done('artist', 17900, 'http://en.wikipedia.org/wiki/')}) AND a.id % 12 <> 0 ORDER BY country NULLS LAST, a.id LIMIT 10000""")
+    AND a.id NOT IN ({_done('artist', 17900, 'http://en.wikipedia.org/wiki/')}) AND a.id % 12 <> 0""")
 def artists_without_page(c):
     return worklists.artists(c.a, "en", _ledger(c, "artist"))
 
 
 @Q.add(f"""SELECT a.id, a.gid, a.name, c.iso_code AS country FROM a_artist a LEFT JOIN a_country c ON c.id = a.country WHERE a.id > 2 AND (c.iso_code IS NULL OR c.iso_code IN ('FR', 'MC'))
-    AND a.id NOT IN ({_done('artist', 17900, 'http://fr.wikipedia.org/wiki/')}) AND NOT (a.id % 6 = 0 AND a.id % 12 <> 0) ORDER BY country NULLS LAST, a.id LIMIT 10000""")
+    AND a.id NOT IN ({_done('artist', 17900, 'http://fr.wikipedia.org/wiki/')}) AND NOT (a.id % 6 = 0 AND a.id % 12 <> 0)""")
 def artists_without_french_page(c):
     return worklists.artists(c.a, "fr", _ledger(c, "artist"))
 
@@ -39,25 +39,25 @@ def artists_without_french_page(c):
 @Q.add(f"""SELECT g.id, g.gid, g.name, k.name AS credit_name, t.name AS type_name FROM a_release_group g JOIN a_artist_credit k ON k.id = g.artist_credit LEFT JOIN a_release_group_type t ON t.id = g.type
     WHERE g.artist_credit > 2 AND g.id NOT IN ({_done('release_group', 8900, 'http://fr.wikipedia.org/wiki/')}) AND (g.type IS NULL OR t.name IN ('Album', 'EP', 'Soundtrack'))
     AND (SELECT count(c.iso_code) FROM a_artist_credit_name n JOIN a_artist a ON a.id = n.artist LEFT JOIN a_country c ON c.id = a.country AND c.iso_code IN ('FR', 'MC') WHERE n.artist_credit = g.artist_credit) = 1
-    AND NOT (g.id % 6 = 0 AND g.id % 12 <> 0) ORDER BY g.artist_credit, g.id LIMIT 1000""")
+    AND NOT (g.id % 6 = 0 AND g.id % 12 <> 0)""")
 def release_groups_without_page(c):
     return worklists.release_groups(c.a, "fr", _ledger(c, "release_group"))
 
 
-@Q.add(f"SELECT id, gid, name FROM a_label WHERE id > 2 AND id NOT IN ({_done('label', 21600)}) AND id % 6 <> 0 ORDER BY id LIMIT 10000")
+@Q.add(f"SELECT id, gid, name FROM a_label WHERE id > 2 AND id NOT IN ({_done('label', 21600)}) AND id % 6 <> 0")
 def labels_without_page(c):
     return worklists.labels(c.a, _ledger(c, "label"))
 
 
 @Q.add(f"""SELECT id, gid, name, false AS in_script FROM a_artist WHERE id > 2 AND id NOT IN ({_done('artist', 17900)}) AND id % 6 <> 0
-    AND id IN (SELECT n.artist FROM a_artist_credit_name n JOIN a_release r ON r.artist_credit = n.artist_credit WHERE r.country = 3) ORDER BY id LIMIT 10000""")
+    AND id IN (SELECT n.artist FROM a_artist_credit_name n JOIN a_release r ON r.artist_credit = n.artist_credit WHERE r.country = 3)""")
 def artists_with_korean_releases(c):
     return worklists.artists_in_script(c.a, "ko", _ledger(c, "artist"))
 
 
 @Q.add(f"""SELECT a.id, a.gid, min(u.url) AS url FROM a_artist a JOIN a_l_artist_url e ON e.entity0 = a.id AND e.link = 17900 AND e.edits_pending = 0 JOIN a_url u ON u.id = e.entity1
     WHERE (a.country IS NULL OR a.type IS NULL OR (coalesce(a.type, 1) = 1 AND (a.begin_date_year IS NULL OR a.gender IS NULL)) OR (coalesce(a.type, 2) = 2 AND a.begin_date_year IS NULL))
-    AND u.url LIKE 'http://en.wikipedia.org/wiki/%' AND a.id % 6 <> 0 GROUP BY a.id, a.gid ORDER BY a.id LIMIT 50""")
+    AND u.url LIKE 'http://en.wikipedia.org/wiki/%' AND a.id % 6 <> 0 GROUP BY a.id, a.gid""")
 def artists_lacking_data(c):
     return worklists.artists_lacking_data(c.a, "en", _ledger(c, "artist")).select("id", "gid", "url")
 

@@ -45,12 +45,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = stored_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute a scan that would leave cores idle (few or unsplittable files); others stay as they are.
-
-    For plain scans only: of a large table every core has tasks already, so nothing moves.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from catlink.config import Catalog
 from catlink.functions.text import name_key
+from catlink.operators.keys import numbered
 
 
 def read_catalog(spark: SparkSession, folder: str, schemas: dict[str, str], names: Iterable[str] | None = None) -> Catalog:
@@ -118,11 +119,10 @@ def mark_done(items: DataFrame, finished: DataFrame, key: str, done: str = "done
 
 def log_event(log: DataFrame, events: DataFrame) -> DataFrame:
     """Log rows for ``events (updated, event[, timest])``, numbered after the last one."""
-    last = log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))
+    last = F.coalesce(log.agg(F.max("id")).scalar(), F.lit(0))
     stamped = events if "timest" in events.columns else events.withColumn("timest", F.current_timestamp())
-    numbered = stamped.withColumn("_k", F.lit(1)).join(last.withColumn("_k", F.lit(1)), "_k")
-    order = W.partitionBy("_k").orderBy("updated", "event")
-    return numbered.select((F.col("_last") + F.row_number().over(order)).alias("id"), "updated", "event", "timest")
+    rows = numbered(stamped, [], ["updated", "event"], F.coalesce("updated", F.lit("")), "_nr")
+    return rows.select((last + F.col("_nr")).cast("long").alias("id"), "updated", "event", "timest")
 
 
 def latest_events(log: DataFrame, n: int = 4) -> DataFrame:
