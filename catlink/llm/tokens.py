@@ -24,9 +24,9 @@ from catlink.llm.common import Rolling, pieces, ragged
 END = 1
 PER_FILE = 20_000
 """Documents of a file, about."""
-BLOCK = 1 << 16
+BLOCK = 1 << 15
 """Ids of a block at least, but for the last of a file; a document is never split."""
-CACHE = 800_000
+CACHE = 400_000
 """Distinct pieces that a worker remembers, by two 64-bit hashes each; beyond that it forgets those met in one step only."""
 STEP = 4 << 20
 """Bytes of text that are encoded at a time."""
@@ -185,6 +185,7 @@ def encode(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_
                 yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), doc, pa.array(out, pa.binary())], ["file", "doc_id", "ids"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         at, nr, names, parts, n = None, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -211,6 +212,13 @@ def encode(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_
     return session.materialise(blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>")), "token-ids")
 
 
+def _release() -> None:
+    """Give back what encoding held in this worker; later stages need none of it."""
+    if _encoders:
+        _encoders.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def _plain(batch: pa.RecordBatch, r: int) -> np.ndarray:
     return np.frombuffer(batch.column("ids")[r].as_buffer(), f"<u{batch.column('width')[r].as_py()}")
 
@@ -218,6 +226,7 @@ def _plain(batch: pa.RecordBatch, r: int) -> np.ndarray:
 def ranks(blocks: DataFrame) -> DataFrame:
     """(id, rank, n): all ids that occur, the most frequent first; ties go to the smaller id. Counts are added up by task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         total = np.zeros(1, np.int64)
         for batch in batches:
             for r in range(batch.num_rows):
@@ -243,6 +252,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, per_file:
     shared = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         for batch in batches:
             for r in range(batch.num_rows):
                 control, data = pack(shared.value[_plain(batch, r)])
@@ -269,6 +279,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         for batch in batches:
             for r in range(batch.num_rows):
                 lengths = np.asarray(batch.column("lengths")[r].values)
