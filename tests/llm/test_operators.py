@@ -1,0 +1,236 @@
+"""The corpus operators on small tables, against plain forms of their contracts."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from catlink.llm import chat, decontam, licences, mixing, quality, queries, repeats, rules, sharding, simhash, tokens
+
+DATA = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, source string, score double, _u string"
+LONG = " ".join(f"word{i} and other{i % 7}" for i in range(3000))
+ODD = [
+    (None, "one two three four five", "en", None, 1.0, "x"), (1, None, None, "a", None, None), (2, "", "en", "a", 1.0, None), (3, LONG, "en", "b", 1.0, "y"),
+    (4, LONG, "en", "b", 1.0, "y"), (4, LONG, "en", "b", 1.0, "y"), (5, " \n\t ", "en", "b", None, "z"), (6, "Ünïcode § text <|endoftext|> x", "fr", "c", 0.0, "z"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{DATA}/labels.parquet")
+
+
+def test_sharding(spark, odd, none):
+    rows = queries.op1_sharding(spark, DATA).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 40)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(40))
+    got = sharding.assign(odd, sharding.layout(3)).collect()
+    assert len(got) == len(ODD) and {r.size for r in got if r.doc_id == 1} == {16}
+    assert len({r.shard for r in got if r.doc_id == 4}) == 1 and len({(r.shard, r.slot) for r in got}) == len(ODD)
+    assert sharding.assign(none, sharding.layout(3)).count() == 0
+
+
+def test_shards_take_by_weight(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    tree = [sharding.Shard(0, "a", "r", 3.0), sharding.Shard(1, "b", "q", 1.0), sharding.Shard(2, "b", "p", 0.0)]
+    n = Counter(r.s for r in sharding.place(ids, tree, "doc_id", "s").collect())
+    assert set(n) == {0, 1} and abs(n[0] / 4000 - 0.75) < 0.03
+
+
+def test_quality(spark, odd, none, labels):
+    q = {r.doc_id: r.quality for r in labels.collect()}
+    rows = queries.op2_quality(spark, DATA).collect()
+    assert all(r.held_out == brute.held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    unseen = [(r.predicted, q[r.doc_id]) for r in rows if r.doc_id in q and r.held_out]
+    assert np.mean([a == b for a, b in unseen]) >= 0.9
+    assert quality.classify(odd, labels).count() == len(ODD) and quality.classify(none, labels).count() == 0
+    one_class = labels.filter("quality = 1")
+    assert {r.score for r in quality.classify(odd, one_class).collect()} == {0.5}
+    assert quality.keep_good(odd, labels).columns == odd.columns
+
+
+def test_decontamination(spark, odd, none, docs):
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    want = brute.decontamination(docs, [(r.item_id, r.text) for r in bench.collect()])
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in queries.op3_decontamination(spark, DATA).collect()}
+    assert got == want
+    items = [(1, "two THREE"), (2, None), (None, "five"), (3, ""), (4, " ".join(LONG.split()[50:75])), (4, "x")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for block in (decontam.BLOCK, 3):
+        rows = decontam.hits(odd, bench, block).collect()
+        plain = brute.decontamination([(i, r[1]) for i, r in enumerate(ODD)], items)
+        want = Counter((ODD[i][0], v[0], v[1], v[2]) for i, v in plain.items())
+        assert Counter((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"])) for r in rows) == want
+        kept = decontam.keep_clean(odd, bench, block)
+        assert kept.columns == odd.columns and kept.count() == sum(v[1] == 0 for v in plain.values())
+    assert decontam.hits(none, bench).count() == 0 and decontam.hits(odd, bench.limit(0)).filter("size(spans) > 0").count() == 0
+
+
+@pytest.mark.parametrize("limit", [repeats.LIMIT, 2])
+def test_repeats(spark, docs, limit):
+    want = brute.repeats(docs, 40)
+    rows = repeats.remove(spark.read.parquet(f"{DATA}/documents.parquet"), 40, False, 16, limit).collect()
+    assert {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in rows} == want
+
+
+def test_repeats_keep_first(spark, odd, none):
+    rows = [(1, "abcdefghij" + "K" * 3), (2, "xx" + "abcdefghij"), (3, "abcdefghij" * 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id: bytes(r.kept) for r in repeats.remove(df, 10, True, 8).collect()}
+    assert kept[1] == b"abcdefghijKKK" and kept[2] == b"xx" and kept[3] == b""
+    rows = repeats.remove(odd, 40, False, 16).collect()
+    assert len(rows) == len(ODD) and all(r.kept == b"" for r in rows if r.doc_id in (3, 4))
+    assert repeats.remove(none, 40, True, 16).count() == 0
+
+
+def test_longest_factors():
+    data = np.frombuffer(b"abcdabcdXabcd", np.uint8)
+    start = np.arange(10)
+    earlier, shared = repeats.longest_factors(np.concatenate([data, np.zeros(8, np.uint8)]), start, np.zeros(10, np.int64), 8)
+    assert not earlier.any() and not shared.any()
+
+
+def test_simhash(spark, odd, none, docs):
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op5_simhash(spark, DATA).collect()}
+    assert got == brute.simhash(docs)
+    assert simhash.groups(odd).count() == len(ODD) and simhash.groups(none).count() == 0
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.filter("doc_id IS NOT NULL").collect()) == [1, 3, 6]
+
+
+def test_anchors_meet_all_close_pairs(spark):
+    draw = np.random.default_rng(1)
+    base = [int(x) for x in draw.integers(0, 1 << 63, 40)]
+    fps = set(base)
+    for x in base:
+        for n in (1, 2, 3, 4):
+            y = x
+            for b in draw.choice(64, n, replace=False):
+                y ^= 1 << int(b)
+            fps.add(y)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    got = {(r.u, r.v) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fp bigint")).collect()}
+    mask = (1 << 64) - 1
+    assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u bigint, v bigint")
+    got = {r.node: r.root for r in simhash.components(edges).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {101: 100}
+
+
+def test_licences(spark, odd, none):
+    lines = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit", "All rights reserved.": "all-rights-reserved"}
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").join(queries.op6_licences(spark, DATA), "doc_id").collect():
+        for line, family in lines.items():
+            assert (family in r.families.split(",")) == (line in r.text.split("\n"))
+    assert licences.scan(odd).count() == len(ODD) and licences.scan(none).count() == 0
+
+
+def test_mixing(spark, odd, none):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = queries.op7_mixing(spark, DATA).join(docs.select("doc_id", "source"), "doc_id").collect()
+    sizes, taken, target = Counter(), Counter(), {}
+    for r in rows:
+        sizes[r.source] += r["size"]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 3 * r["size"]
+    want = brute.targets(dict(sizes))
+    assert all(abs(want[s] - target[s]) <= 1e-6 * want[s] for s in want)
+    assert abs(sum(taken.values()) - sum(sizes.values())) < 0.05 * sum(sizes.values())
+    assert mixing.mix(odd).count() == len(ODD) and mixing.mix(none).count() == 0
+    assert mixing.apply(odd).columns == odd.columns
+    capped = spark.createDataFrame([("a", 10), ("b", 1000), (None, 1000), ("d", 0)], "source string, source_size bigint")
+    got = {r.source: r.target for r in mixing.targets(capped).collect()}
+    want = brute.targets({"a": 10, "b": 1000, None: 1000, "d": 0})
+    assert all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
+def test_heavier_documents_are_likelier(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") < 1500, "a").otherwise("b").alias("source"), F.when(F.col("id") % 2 == 0, 3.0).otherwise(1.0).alias("w"))
+    rows = mixing.mix(df, (1, 3), 3, "w").filter("source = 'a'").collect()
+    even, uneven = (sum(r.copies for r in rows if r.doc_id % 2 == k) for k in (0, 1))
+    assert even > 2 * uneven and abs(sum(r.taken for r in rows) - rows[0].target) <= 2
+
+
+def test_rules(spark, odd, none, labels, docs):
+    text = dict(docs)
+    rows = queries.op8_rules(spark, DATA).collect()
+    assert all(brute.statistics(text[r.doc_id]) == (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows)
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    assert all(r.kept for r in rows if r.doc_id in good and not r.base_failed) and any(r.rejected_by for r in rows)
+    got = rules.judge(odd, labels).collect()
+    assert len(got) == len(ODD) and not any(r.kept for r in got if r.doc_id in (None, 1, 2, 5))
+    assert rules.judge(none, labels).count() == 0 and rules.learn(odd, labels.limit(0)) == []
+
+
+def test_preferences(spark):
+    schema = "pair bigint, turn bigint, role string, text string"
+    a = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "x"), (3, 0, None, None), (None, 1, "user", "q"), (4, 0, "user", "u")]
+    b = [(1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", "why"), (2, 0, "user", "x"), (3, 0, "user", ""), (3, 1, "assistant", "z")]
+    got = {r.pair: r for r in chat.preferences(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
+    assert set(got) == {1, 3, 4}
+    assert got[1].prompt == "<|user|>\nhi<|end|>\n" and got[1].chosen == "<|assistant|>\nyes<|end|>\n" and got[1].chosen_train == [True] and got[1].rejected_train == [True, False]
+    assert got[3].n_prompt_turns == 1 and got[3].chosen == "" and got[4].prompt == "" and got[4].rejected == ""
+    empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert chat.preferences(*chat.stale_replies(empty)).count() == 0
+    assert queries.op9_chat(spark, DATA).filter("chosen = rejected").count() == 0
+
+
+def test_token_files(spark, odd, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    rows = tokens.round_trip(odd, path, per_file=3).orderBy("start").collect()
+    ids = [[*t.encode(r[1] or "", add_special_tokens=False).ids, 1] for r in ODD]
+    assert [r.n_tokens for r in rows] == [len(x) for x in sorted_by_id(ids)]
+    assert [r.ids_crc32 for r in rows] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in sorted_by_id(ids)]
+    assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows[:-1]]]).tolist()
+    assert tokens.round_trip(none, path).count() == 0
+    values = np.array([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1, 7], np.uint32)
+    assert (tokens.unpack(*tokens.pack(values), len(values)) == values).all()
+
+
+def sorted_by_id(ids):
+    order = sorted(range(len(ODD)), key=lambda i: (ODD[i][0] is not None, ODD[i][0] or 0))
+    return [ids[i] for i in order]
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    sizes = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, DATA)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+        sizes.append(docs.count())
+    assert sizes[0] > sizes[1] > sizes[2] >= sizes[3]
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    assert len(rows) == sizes[4]
