@@ -27,7 +27,8 @@ def main() -> None:
     wanted = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = (
         session.builder("catlink-bench").master(f"local[{cpus}]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g")).getOrCreate()
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
+        .config(session.FOLDER, os.environ.get("BENCH_SCRATCH", "/tmp/catlink-checkpoint")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     ctx = Ctx.of(spark, folder)

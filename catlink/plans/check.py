@@ -8,6 +8,7 @@ import time
 
 import duckdb
 
+from catlink import session
 from catlink.plans import queries, shapes
 
 
@@ -61,7 +62,8 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g")
+        .config(session.FOLDER, "/tmp/catlink-checkpoint").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), 0
