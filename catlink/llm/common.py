@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 CHUNK = 1 << 20
 """Bytes of text that one numpy step takes; a longer text is a step of its own."""
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+"""Bytes of rows that go to a Python worker at a time; a longer row is a batch of its own."""
+
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -18,6 +24,37 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def in_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` over batches of bounded bytes. Sets Spark's bound to ``BATCH_BYTES`` where the session has a larger one.
+
+    A worker gives its free memory back after every batch and at the end of its task, so that it holds what one batch needs at most.
+    """
+    conf = df.sparkSession.conf
+    digits, unit = re.fullmatch(r"(\d+)([kmg]?)b?", conf.get(BATCH).lower()).groups()
+    if int(digits) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        conf.set(BATCH, str(BATCH_BYTES))
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        yield from run(each())
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system: Arrow's, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def uniform(*parts: Column | str) -> Column:
     """A draw in (0, 1) that depends on the parts alone: 52 bits of an MD5 digest. Null parts count as ``-``."""
     text = F.concat_ws("|", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("-")) for p in parts])

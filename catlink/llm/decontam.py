@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.llm.common import Rolling, chain, pieces, ragged, runs
+from catlink.llm.common import Rolling, chain, in_batches, pieces, ragged, runs
 
 WINDOW = 10
 SHINGLE = 3
@@ -117,7 +117,7 @@ def _frequencies(docs: DataFrame, hashes: np.ndarray, sizes: list[int]) -> DataF
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(sieve.values[some].view(np.int64)), pa.array(counts[some])], ["shingle", "df"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+    return in_batches(docs.select("text"), run, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
 
 
 class _Block:
@@ -233,7 +233,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, _key string, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
     shared = _blocks(docs, benchmark, block) or [None]
-    parts = [docs.select("doc_id", "text").mapInArrow(run_with(b), schema) for b in shared]
+    parts = [in_batches(docs.select("doc_id", "text"), run_with(b), schema) for b in shared]
     if len(parts) == 1:
         return parts[0].drop("_key")
     # Blocks meet again by document; equal rows are counted and given back as often as they came.
@@ -271,5 +271,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> Dat
         return run
 
     for shared in _blocks(docs, benchmark, block):
-        docs = docs.mapInArrow(run_with(shared), schema)
+        docs = in_batches(docs, run_with(shared), schema)
     return docs

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.llm.common import Rolling, chain, pieces, runs
+from catlink.llm.common import Rolling, chain, in_batches, pieces, runs
 
 DIMENSIONS = 1 << 15
 CONTAINED = 0.8
@@ -228,4 +228,4 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             kind_ = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("contained", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(found, kind_)], ["doc_id", "n_paragraphs", "found"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, {SCHEMA}")

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.llm.common import Rolling, chain, pieces, runs, sampled
+from catlink.llm.common import Rolling, chain, in_batches, pieces, runs, sampled
 
 DIMENSIONS = 1 << 18
 
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     turn = F.md5(F.col("doc_id").cast("string"))
     picked = sampled(labelled(labels), "doc_id", settings.sample).select(F.col("doc_id").alias("_id"), "y", turn.alias("turn"))
     texts = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id"))
-    rows = texts.select("y", "turn", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_sparse, "y int, turn string, ids array<int>, vals array<float>")
+    rows = in_batches(texts.select("y", "turn", F.coalesce("text", F.lit("")).alias("text")), _sparse, "y int, turn string, ids array<int>, vals array<float>")
 
     def learn(key, table):
         table = table.sort_by("turn")
@@ -188,7 +188,7 @@ def score(docs: DataFrame, weights: np.ndarray, into: str = "score", scale: floa
 
     plain = docs.select(*[F.col(f"`{c}`") for c in kept])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{fields}, `{into}` double")
+    return in_batches(plain, run, f"{fields}, `{into}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from catlink import session
-from catlink.llm.common import Rolling, chain, pieces, ragged
+from catlink.llm.common import Rolling, chain, in_batches, pieces, ragged
 
 LENGTH = 200
 GRAIN = 64
@@ -90,7 +90,7 @@ def _scan(keyed: DataFrame, length: int, grain: int, whole: bool) -> DataFrame:
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
 
-    return keyed.mapInArrow(run, "h long, c long, k long, crc long, lo int, n int" if whole else "h long")
+    return in_batches(keyed, run, "h long, c long, k long, crc long, lo int, n int" if whole else "h long")
 
 
 def _words(data: np.ndarray, start: np.ndarray, length: int) -> list[np.ndarray]:
@@ -266,13 +266,13 @@ def remove(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, grain
     def cut(some: DataFrame) -> DataFrame:
         some = some.groupBy("k", "crc").agg(F.collect_list("w").alias("want"))
         texts = placed.join(some, ["k", "crc"]).select("k", "crc", "text", "want").dropDuplicates(["k", "crc"])
-        return texts.mapInArrow(_cut(length), "h long, k long, crc long, lo int, n int, bytes binary")
+        return in_batches(texts, _cut(length), "h long, k long, crc long, lo int, n int, bytes binary")
 
-    ordered = cut(want.filter("NOT hot")).repartition("h").sortWithinPartitions("h", "k", "crc", "lo").mapInArrow(_compare(length, limit), _RANGE)
-    each = cut(want.filter("hot")).select("k", "crc", "lo", "n", "bytes").mapInArrow(_each(length), "w1 long, w2 long, k long, crc long, lo int")
+    ordered = in_batches(cut(want.filter("NOT hot")).repartition("h").sortWithinPartitions("h", "k", "crc", "lo"), _compare(length, limit), _RANGE)
+    each = in_batches(cut(want.filter("hot")).select("k", "crc", "lo", "n", "bytes"), _each(length), "w1 long, w2 long, k long, crc long, lo int")
     spot = F.struct("k", "crc", "lo")
     found = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m"), F.min(spot).alias("first")).filter("m > 1")
     single = each.join(found, ["w1", "w2"]).select("k", "crc", F.col("lo").alias("a"), (F.col("lo") + length).alias("z"), (spot != F.col("first")).alias("earlier"))
     ranges = settled.union(ordered).union(single).groupBy("k", "crc").agg(F.collect_list(F.struct("a", "z", "earlier")).alias("ranges"))
     joined = placed.join(ranges, ["k", "crc"], "left").select("doc_id", "text", "ranges")
-    return joined.mapInArrow(_erase(keep_first), f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return in_batches(joined, _erase(keep_first), f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catlink import session
+from catlink.llm.common import in_batches
 
 DISTANCE = 3
 WORDS = 3
@@ -55,7 +56,7 @@ def _prints(words: int):
 def prints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id and fp (64 bits as a signed long) of every whole text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_prints(words), f"doc_id {kind}, fp long")
+    return in_batches(docs.select("doc_id", "text"), _prints(words), f"doc_id {kind}, fp long")
 
 
 def _half(fp: Column, half: int) -> Column:

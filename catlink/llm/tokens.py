@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from catlink import session
-from catlink.llm.common import Rolling, pieces, ragged
+from catlink.llm.common import Rolling, give_back, in_batches, pieces, ragged
 
 END = 1
 PER_FILE = 20_000
@@ -28,7 +28,7 @@ BLOCK = 1 << 15
 """Ids of a block at least, but for the last of a file; a document is never split."""
 CACHE = 400_000
 """Distinct pieces that a worker remembers, by two 64-bit hashes each; beyond that it forgets those met in one step only."""
-STEP = 4 << 20
+STEP = 2 << 20
 """Bytes of text that are encoded at a time."""
 _SEPARATORS = "§¶•†‡¤"
 
@@ -206,9 +206,9 @@ def encode(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_
         if names:
             yield flush()
 
-    coded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tokenize, "file int, doc_id long, ids binary")
+    coded = in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tokenize, "file int, doc_id long, ids binary")
     filed = coded.repartition(len(cuts) + 1, "file").sortWithinPartitions("file", "doc_id", "ids")
-    blocks = filed.mapInArrow(gather, "file int, block int, doc_ids array<long>, lengths array<long>, width int, ids binary")
+    blocks = in_batches(filed, gather, "file int, block int, doc_ids array<long>, lengths array<long>, width int, ids binary")
     return session.materialise(blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>")), "token-ids")
 
 
@@ -216,7 +216,7 @@ def _release() -> None:
     """Give back what encoding held in this worker; later stages need none of it."""
     if _encoders:
         _encoders.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def _plain(batch: pa.RecordBatch, r: int) -> np.ndarray:
@@ -237,7 +237,7 @@ def ranks(blocks: DataFrame) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
-    counts = blocks.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = in_batches(blocks.select("ids", "width"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return counts.select("id", (F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).cast("long").alias("rank"), "n")
 
 
@@ -262,7 +262,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, per_file:
                     ["file", "block", "doc_ids", "lengths", "control", "data"])
 
     kept = plain.schema["doc_ids"].dataType.simpleString()
-    plain.mapInArrow(run, f"file int, block int, doc_ids {kept}, lengths array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
+    in_batches(plain, run, f"file int, block int, doc_ids {kept}, lengths array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -291,7 +291,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(first[0], pa.int32()), pa.array(first[1], pa.int32()), batch.column("doc_ids")[r].values, pa.array(end - lengths), pa.array(lengths), pa.array(sums, pa.int64())],
                     ["file", "block", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
-    decoded = blocks.mapInArrow(run, f"file int, block int, doc_id {kind}, inside long, n_tokens long, ids_crc32 long")
+    decoded = in_batches(blocks, run, f"file int, block int, doc_id {kind}, inside long, n_tokens long, ids_crc32 long")
     return decoded.join(heads, ["file", "block"]).select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
