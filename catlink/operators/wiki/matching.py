@@ -141,7 +141,8 @@ def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, title
 
     ``entities`` is (id, name), ``candidates`` (id, title), ``pages`` (title, page) and ``titles``
     (id, name). The page text is joined only to titles of entities that are candidates for it,
-    and only counts and the first three names leave the join.
+    and only counts and the first three names leave the join. A title that several pages share
+    counts each item once.
     """
     own = entities.select("id", F.col("name").alias("_own"), mangle_name("name").alias("_self"))
     t = titles.select("id", F.col("name").alias("item")).distinct().join(own, "id").withColumn("_item", mangle_name("item"))
@@ -157,7 +158,7 @@ def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, title
         .join(looked_for, "id")
         .join(pages.select("title", "page"), "title")
         .filter(F.col("_item").isNull() | F.col("page").contains(F.col("_item")))
-        .select("id", "title", "item")
+        .select("id", "title", "item").distinct()
     )
     found = hits.groupBy("id", "title").agg(F.count("item").alias("n_found"))
     first = note_list(hits.filter("item IS NOT NULL"), ["id", "title"], "item", 3).withColumnRenamed("notes", "first_found")
@@ -207,6 +208,16 @@ def _proposal(rows: DataFrame, entities: DataFrame, lang: str, rule: MentionRule
 # Complete matchers -------------------------------------------------------------------------------------
 
 
+def in_language(pages: DataFrame, lang: str) -> DataFrame:
+    """Pages of one encyclopedia; pages without a ``lang`` column are all of that language."""
+    return pages.filter(F.col("lang") == lang) if "lang" in pages.columns else pages
+
+
+def candidate_pages(pages: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Pages that some entity is a candidate for, so that no other text is ever brought into comparison form."""
+    return pages.join(candidates.select("title").distinct(), "title", "left_semi")
+
+
 def artist_titles(a: Catalog) -> DataFrame:
     """(id, name): release group and release titles of each artist."""
     acn = a.artist_credit_name.select("artist_credit", F.col("artist").alias("id"))
@@ -238,8 +249,9 @@ def match_artists(worklist: DataFrame, pages: DataFrame, titles: DataFrame, lang
     """
     use = lang if lang in ("ja", "ko") else "artist"
     rule = RULES[use]
+    pages = in_language(pages, lang)
     candidates = match_titles(worklist, pages)
-    good = usable_pages(pages, use)
+    good = usable_pages(candidate_pages(pages, candidates), use)
     rows = mentions(worklist, candidates, good, titles, rule)
     if use == "artist" and lang != "en":
         named = rows.join(worklist.select("id", "country"), "id")
@@ -250,8 +262,9 @@ def match_artists(worklist: DataFrame, pages: DataFrame, titles: DataFrame, lang
 
 def match_labels(worklist: DataFrame, pages: DataFrame, artists: DataFrame, lang: str = "en") -> DataFrame:
     """(gid, url, note): the page of each label on the worklist (id, gid, name)."""
+    pages = in_language(pages, lang)
     candidates = match_titles(worklist, pages, skip=())
-    rows = mentions(worklist, candidates, usable_pages(pages, "label"), artists, RULES["label"])
+    rows = mentions(worklist, candidates, usable_pages(candidate_pages(pages, candidates), "label"), artists, RULES["label"])
     return _proposal(first_accepted(rows, candidates), worklist, lang, RULES["label"])
 
 
@@ -262,8 +275,9 @@ NOT_AUTO = ("Compilation", "Soundtrack")
 
 def match_release_groups(worklist: DataFrame, pages: DataFrame, tracks: DataFrame, lang: str) -> DataFrame:
     """(gid, url, note, auto): the album page of each release group (id, gid, name, credit_name, type_name)."""
+    pages = in_language(pages, lang)
     candidates = match_titles(worklist, pages, skip=())
-    good = usable_pages(pages, "release_group").filter(is_album_page("text", lang))
+    good = usable_pages(candidate_pages(pages, candidates), "release_group").filter(is_album_page("text", lang))
     credit = worklist.select("id", mangle_name("credit_name").alias("_credit"))
     on_page = candidates.join(credit, "id").join(good.select("title", "page"), "title").filter(F.col("page").contains(F.col("_credit"))).select("id", "title")
     rows = mentions(worklist, on_page, good, tracks, RULES["release_group"])

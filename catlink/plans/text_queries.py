@@ -66,14 +66,14 @@ def barcode_clean(c):
     return c.b.raw_identifier.select("release_id", v.alias("cleaned"), X.is_barcode(v).alias("valid"), X.find_barcode("value").alias("found"))
 
 
-@Q.add("""SELECT r.id, try_cast(CASE WHEN regexp_matches(r.released, '^[0-9]{4}') THEN left(r.released, 4) END AS INT) AS year,
-    coalesce(CAST(a.date_year AS VARCHAR), '') || CASE WHEN a.date_month IS NULL THEN '' ELSE '-' || lpad(CAST(a.date_month AS VARCHAR), 2, '0')
-      || CASE WHEN a.date_day IS NULL THEN '' ELSE '-' || lpad(CAST(a.date_day AS VARCHAR), 2, '0') END END AS date
-    FROM b_release r JOIN a_release a ON 2 * a.id = r.id""")
+@Q.add("""SELECT coalesce(r.id, 2 * a.id) AS id, try_cast(CASE WHEN regexp_matches(r.released, '^[0-9]{4}') THEN left(r.released, 4) END AS INT) AS year,
+    CASE WHEN a.id IS NOT NULL THEN coalesce(CAST(a.date_year AS VARCHAR), '') || CASE WHEN a.date_month IS NULL THEN '' ELSE '-' || lpad(CAST(a.date_month AS VARCHAR), 2, '0')
+      || CASE WHEN a.date_day IS NULL THEN '' ELSE '-' || lpad(CAST(a.date_day AS VARCHAR), 2, '0') END END END AS date
+    FROM b_release r FULL JOIN a_release a ON 2 * a.id = r.id""")
 def release_dates(c):
     left = c.b.release.select("id", X.release_year("released").alias("year"))
     right = c.a.release.select((F.col("id") * 2).alias("id"), X.partial_date("date_year", "date_month", "date_day").alias("date"))
-    return left.join(right, "id")
+    return left.join(right, "id", "full")
 
 
 @Q.add("""SELECT id, nullif(regexp_extract(profile, '^([^.]+\\.?)', 1), '') AS sentence, array_to_string(aliases, ', ') AS joined,
@@ -124,16 +124,16 @@ def script_filter(c):
 
 @Q.add("""SELECT id, duration, CAST(split_part(duration, ':', 1) AS INT) * 60 + CAST(split_part(duration, ':', 2) AS INT) AS seconds,
     CAST(length / 1000 AS INT) // 60 || ':' || lpad(CAST(CAST(length / 1000 AS INT) % 60 AS VARCHAR), 2, '0') AS shown
-    FROM (SELECT b.id, b.duration, a.length FROM b_track b JOIN a_track a ON 2 * a.id = b.id)""")
+    FROM (SELECT coalesce(b.id, 2 * a.id) AS id, b.duration, a.length FROM b_track b FULL JOIN a_track a ON 2 * a.id = b.id)""")
 def track_durations(c):
     a = c.a.track.select((F.col("id") * 2).alias("id"), X.format_seconds(F.col("length") / 1000).alias("shown"))
-    return c.b.track.select("id", "duration", X.duration_seconds("duration").alias("seconds")).join(a, "id")
+    return c.b.track.select("id", "duration", X.duration_seconds("duration").alias("seconds")).join(a, "id", "full")
 
 
-@Q.add("""SELECT id, CAST(position AS INT) AS number, title FROM (SELECT id, position, title FROM b_track WHERE position <> '')""")
+@Q.add("""SELECT id, try_cast(position AS INT) AS number, CASE WHEN position <> '' THEN title END AS title FROM b_track""")
 def track_lines(c):
     line = F.concat("position", F.lit(". "), "title")
-    return c.b.track.filter("position <> ''").select("id", X.track_number(line).alias("number"), X.track_title(line).alias("title"))
+    return c.b.track.select("id", X.track_number(line).alias("number"), X.track_title(line).alias("title"))
 
 
 _WORDS = "regexp_extract_all(s, '\\w+(?:''\\w+)*|\\W+')"
@@ -281,7 +281,7 @@ def album_form(c):
 @Q.add("""SELECT k, artist, k + 10 AS artist_id, p_name || CASE WHEN k % 3 = 2 THEN ' (feat. Guest)' ELSE '' END AS album, CASE WHEN k % 5 <> 0 THEN k END AS album_id,
     CASE k % 3 WHEN 0 THEN 'EP' WHEN 1 THEN 'Single' END AS album_type, CASE WHEN k % 4 <> 0 THEN DATE '2011-01-05' END AS release_date,
     CASE WHEN k % 5 <> 0 THEN 'http://itunes.apple.com/us/album/id' || CAST(k AS VARCHAR) END AS album_url
-    FROM (SELECT p_partkey AS k, p_brand AS artist, p_name FROM part WHERE p_partkey > 0)""")
+    FROM (SELECT p_partkey AS k, p_brand AS artist, p_name FROM part)""")
 def store_feed(c):
     k = F.col("p_partkey")
     ks = k.cast("string")
@@ -291,7 +291,7 @@ def store_feed(c):
         F.lit('<item xmlns:itms="http://phobos.apple.com/rss/1.0/modules/itms/"><itms:artist>'), "p_brand", F.lit("</itms:artist><itms:artistLink>http://s.example/artist/id"),
         (k + 10).cast("string"), F.lit("?x=1</itms:artistLink><itms:album>"), "p_name", suffix, F.lit("</itms:album><itms:albumLink>http://s.example/"),
         F.when(k % 5 == 0, "song").otherwise("album"), F.lit("/id"), ks, F.lit("</itms:albumLink><itms:releasedate>"), date, F.lit("</itms:releasedate></item>"))
-    rows = feeds.parse_feed(c.view("part").filter("p_partkey > 0").select(item.alias("item")))
+    rows = feeds.parse_feed(c.view("part").select(item.alias("item")))
     return rows.select((F.col("artist_id") - 10).alias("k"), "artist", "artist_id", "album", "album_id", "album_type", "release_date", "album_url")
 
 

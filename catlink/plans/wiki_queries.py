@@ -109,10 +109,12 @@ _MENTIONS = f"""WITH cand AS ({_match_sql(True)}), pg AS ({_USABLE}), names AS (
       FROM cand c JOIN pg p ON p.title = c.title JOIN total t ON t.id = c.id)"""
 
 
-def _artist_mentions(c):
+def _artist_mentions(c, lang=None):
     people, pages = c.view("w_artist"), c.view("w_page")
+    pages = matching.in_language(pages, lang) if lang else pages
     candidates = matching.match_titles(people, pages)
-    return matching.mentions(people, candidates, matching.usable_pages(pages, "artist"), c.view("w_title"), matching.RULES["artist"]), candidates
+    good = matching.usable_pages(matching.candidate_pages(pages, candidates), "artist")
+    return matching.mentions(people, candidates, good, c.view("w_title"), matching.RULES["artist"]), candidates
 
 
 @Q.add(_MENTIONS + """ SELECT id, title, n_titles, n_found, n_found / n_titles AS ratio, array_to_string(found[1:3], '|') AS first_found,
@@ -176,7 +178,7 @@ def mention_ratio_release_group(c):
     return rows.select("id", "title", "n_titles", "n_found", "accepted")
 
 
-@Q.add(_MENTIONS + """, best AS (SELECT id, title, n_found, found FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY NOT exact, title) AS rn FROM r
+@Q.add(_MENTIONS.replace("w_page", "(SELECT * FROM w_page WHERE lang = 'en')") + """, best AS (SELECT id, title, n_found, found FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY NOT exact, title) AS rn FROM r
       WHERE n_found / n_titles >= CASE WHEN length(own) > 15 THEN 0.15 ELSE 0.3 END) WHERE rn = 1)
     SELECT w.gid, 'http://en.wikipedia.org/wiki/' || replace(url_encode(replace(b.title, ' ', '_')), '%2F', '/') AS url, n_found,
       md5('Matched based on the name. The page mentions ' || CASE n_found WHEN 1 THEN 'album "' || found[1] || '"' WHEN 2 THEN 'albums "' || found[1] || '" and "' || found[2] || '"'
@@ -185,7 +187,7 @@ def mention_ratio_release_group(c):
 def artist_page_proposals(c):
     people, pages = c.view("w_artist"), c.view("w_page")
     found = matching.match_artists(people, pages, c.view("w_title"), "en")
-    rows, candidates = _artist_mentions(c)
+    rows, candidates = _artist_mentions(c, "en")
     n = matching.first_accepted(rows, candidates).select("id", "n_found").join(people.select("id", "gid"), "id").select("gid", "n_found")
     return found.join(n, "gid").select("gid", "url", "n_found", F.md5("note").alias("note"))
 

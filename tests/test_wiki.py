@@ -64,6 +64,20 @@ def test_label_match(spark):
     assert [r.note for r in matching.match_labels(work, page, people).collect()] == ['Matched based on the name. The page mentions artists "Another One" and "Somebody".']
 
 
+def test_language_and_repeated_titles(spark):
+    """Only pages of the language are compared, and two pages of one title count an item once."""
+    work = spark.createDataFrame([(1, "g1", "Cool Records"), (2, "g2", "Odd Records")], "id int, gid string, name string")
+    text = "Artists: Somebody, Another One. [[Category:Record labels]]"
+    page = spark.createDataFrame(
+        [("Cool Records", text, "en"), ("Cool Records", text, "fr"), ("Cool Records", text, "en"), ("Odd Records", text, "fr")], "title string, text string, lang string")
+    people = spark.createDataFrame([(i, n) for i in (1, 2) for n in ("Somebody", "Another One")], "id int, name string")
+    got = matching.match_labels(work, page, people).collect()
+    assert [(r.gid, r.note) for r in got] == [("g1", 'Matched based on the name. The page mentions artists "Another One" and "Somebody".')]
+    cand = spark.createDataFrame([(1, "Cool Records")], "id int, title string")
+    rows = matching.mentions(work, cand, matching.usable_pages(page, "label"), people, matching.RULES["label"]).collect()
+    assert [(r.n_found, r.ratio, r.first_found) for r in rows] == [(2, 1.0, ["Another One", "Somebody"])]
+
+
 def test_country_needs_agreement(spark):
     box = "{{Infobox musical artist\n| origin = [[Lyon]], [[France|FR]]\n}}"
     items = [
