@@ -408,11 +408,11 @@ def upsert_latest(c):
     return tables.upsert(state0, new, ["user_id"], ["event_id"], keep_old=["value"])
 
 
-@Q.add("""SELECT user_id, event_type, min(event_id) AS event_id FROM events e WHERE event_id % 2 = 1
+@Q.add("""SELECT user_id, event_type, min(event_id) AS event_id FROM events e WHERE event_id % 20 <> 0
     AND NOT EXISTS (SELECT 1 FROM events o WHERE o.event_id % 20 = 0 AND o.user_id = e.user_id AND o.event_type = e.event_type) GROUP BY ALL""")
 def insert_ignore(c):
     ev = c.view("events").select("user_id", "event_type", "event_id")
-    return tables.insert_ignore(ev.filter("event_id % 20 = 0"), ev.filter("event_id % 2 = 1"), ["user_id", "event_type"], ["event_id"])
+    return tables.insert_ignore(ev.filter("event_id % 20 = 0"), ev.filter("event_id % 20 <> 0"), ["user_id", "event_type"], ["event_id"])
 
 
 @Q.add("""SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
