@@ -146,7 +146,13 @@ def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One document of each group, that of the smallest id, with the columns it had. Of rows that repeat this id one stays."""
-    ids = groups(docs, words).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each group, with the columns it had: that of the smallest id, null last, and of equal ids that of the least text hash.
+
+    Rows are told apart by id and text, so groups of null ids and of repeated ids keep one document each. Of rows that repeat both one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"))
+    found = groups(docs.select(key.alias("doc_id"), "text"), words)
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_first")).distinct()
+    hashed = docs.withColumn("_hash", F.md5(F.coalesce("text", F.lit(""))))
+    kept = hashed.join(first, (F.col("_hash") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_hash"]).drop("_hash")

@@ -123,6 +123,15 @@ def test_simhash(spark, odd, none, docs):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.filter("doc_id IS NOT NULL").collect()) == [1, 3, 6]
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (8, d), (9, c), (None, d), (7, d)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, a), (None, b), (7, c), (7, d)])
+    kept = simhash.keep_one(spark.createDataFrame([(1, a), (5, a), (5, b)], "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (5, b)])
+
+
 def test_anchors_meet_all_close_pairs(spark):
     draw = np.random.default_rng(1)
     base = [int(x) for x in draw.integers(0, 1 << 63, 40)]
