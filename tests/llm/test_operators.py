@@ -132,6 +132,35 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (5, b)])
 
 
+def test_keep_one_of_near_copies(spark):
+    draw = np.random.default_rng(3)
+    texts, edits = [], (0, 1, 2, 3, 4, 5, 6, 8)
+    for i in range(30):
+        ws = [f"w{x}" for x in draw.integers(0, 4000, 120)]
+        for k in edits:
+            new = list(ws)
+            for at in draw.choice(120, k, replace=False):
+                new[at] = f"{i}x{k}x{at}"
+            texts.append(" ".join(new).upper() if k == 1 else " ".join(new))
+    texts += ["a b c", "A b  c", "a b d"]
+
+    def shingles(t):
+        ws = t.lower().split()
+        return {tuple(ws[j:j + 5]) for j in range(max(1, len(ws) - 4))}
+
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    n_far = 0
+    for v in range(len(texts)):
+        for u in range(v):
+            if len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v]):
+                a, b = sorted((root[u], root[v]))
+                root = [a if x == b else x for x in root]
+                n_far += (simhash.fingerprint(texts[u].encode()) ^ simhash.fingerprint(texts[v].encode())).bit_count() > 3
+    assert n_far > 30
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+
+
 def test_anchors_meet_all_close_pairs(spark):
     draw = np.random.default_rng(1)
     base = [int(x) for x in draw.integers(0, 1 << 63, 40)]
