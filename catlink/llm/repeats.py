@@ -81,16 +81,16 @@ def _scan(keyed: DataFrame, length: int, grain: int, whole: bool) -> DataFrame:
     """All stretches of all texts: h, or also c, key, lo and n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sums = np.asarray(batch.column("k")), np.asarray(batch.column("crc"))
+            keys, sums = np.asarray(batch.column("k")), np.asarray(batch.column("mark"))
             for first, _, data, offsets in pieces(batch.column("text")):
                 h, c, row, lo, n = _stretches(data, offsets, length, grain)
                 if whole:
                     row = row + first
-                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(keys[row]), pa.array(sums[row]), pa.array(lo, pa.int32()), pa.array(n, pa.int32())], ["h", "c", "k", "crc", "lo", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(keys[row]), pa.array(sums[row]), pa.array(lo, pa.int32()), pa.array(n, pa.int32())], ["h", "c", "k", "mark", "lo", "n"])
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
 
-    return keyed.mapInArrow(run, "h long, c long, k long, crc long, lo int, n int" if whole else "h long")
+    return keyed.mapInArrow(run, "h long, c long, k long, mark long, lo int, n int" if whole else "h long")
 
 
 def _words(data: np.ndarray, start: np.ndarray, length: int) -> list[np.ndarray]:
@@ -139,14 +139,14 @@ def _ranges(which: np.ndarray, earlier: np.ndarray, owner: np.ndarray, start: np
     return owner[at[first]], start[at[first]], start[at[last]] + length, earlier[at[first]]
 
 
-_RANGE = "k long, crc long, a int, z int, earlier boolean"
+_RANGE = "k long, mark long, a int, z int, earlier boolean"
 
 
 def _compare(length: int, limit: int):
     """Suffix order among the stretches of each anchor; rows come sorted by anchor and position."""
     def work(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows).combine_chunks()
-        h, k, crc, lo, n = (np.asarray(t[c].combine_chunks()) for c in ("h", "k", "crc", "lo", "n"))
+        h, k, mark, lo, n = (np.asarray(t[c].combine_chunks()) for c in ("h", "k", "mark", "lo", "n"))
         blob = t["bytes"].combine_chunks().cast(pa.large_binary())
         offsets = np.frombuffer(blob.buffers()[1], np.int64, len(blob) + 1, blob.offset * 8)
         data, base = np.frombuffer(blob.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0]
@@ -155,7 +155,7 @@ def _compare(length: int, limit: int):
         earlier, shared = longest_factors(data, start, np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))[owner], length)
         o, a, z, e = _ranges(shared, earlier, owner, start, length)
         shift = lo[o] - base[o]
-        return pa.RecordBatch.from_arrays([pa.array(k[o]), pa.array(crc[o]), pa.array(a + shift, pa.int32()), pa.array(z + shift, pa.int32()), pa.array(e, pa.bool_())], ["k", "crc", "a", "z", "earlier"])
+        return pa.RecordBatch.from_arrays([pa.array(k[o]), pa.array(mark[o]), pa.array(a + shift, pa.int32()), pa.array(z + shift, pa.int32()), pa.array(e, pa.bool_())], ["k", "mark", "a", "z", "earlier"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -186,11 +186,11 @@ def _cut(length: int):
             for r in range(batch.num_rows):
                 text = (batch.column("text")[r].as_py() or "").encode()
                 want = batch.column("want")[r].as_py()
-                k, crc = batch.column("k")[r].as_py(), batch.column("crc")[r].as_py()
+                k, mark = batch.column("k")[r].as_py(), batch.column("mark")[r].as_py()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([w["h"] for w in want], pa.int64()), pa.array([k] * len(want), pa.int64()), pa.array([crc] * len(want), pa.int64()), pa.array([w["lo"] for w in want], pa.int32()),
+                    pa.array([w["h"] for w in want], pa.int64()), pa.array([k] * len(want), pa.int64()), pa.array([mark] * len(want), pa.int64()), pa.array([w["lo"] for w in want], pa.int32()),
                     pa.array([w["n"] for w in want], pa.int32()), pa.array([text[w["lo"]:w["lo"] + w["n"] - 1 + length] for w in want], pa.binary())],
-                    ["h", "k", "crc", "lo", "n", "bytes"])
+                    ["h", "k", "mark", "lo", "n", "bytes"])
 
     return run
 
@@ -200,14 +200,14 @@ def _each(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = _hashers()
         for batch in batches:
-            k, crc, lo, n = (np.asarray(batch.column(c)) for c in ("k", "crc", "lo", "n"))
+            k, mark, lo, n = (np.asarray(batch.column(c)) for c in ("k", "mark", "lo", "n"))
             for first, end, data, offsets in pieces(batch.column("bytes")):
                 size = n[first:end].astype(np.int64)
                 s, o = ragged(size, offsets[:-1]), np.repeat(np.arange(first, end), size)
                 one.over(data), two.over(data)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(one.of(s, s + length).view(np.int64)), pa.array(two.of(s, s + length).view(np.int64)), pa.array(k[o]), pa.array(crc[o]),
-                    pa.array(s - offsets[o - first] + lo[o], pa.int32())], ["w1", "w2", "k", "crc", "lo"])
+                    pa.array(one.of(s, s + length).view(np.int64)), pa.array(two.of(s, s + length).view(np.int64)), pa.array(k[o]), pa.array(mark[o]),
+                    pa.array(s - offsets[o - first] + lo[o], pa.int32())], ["w1", "w2", "k", "mark", "lo"])
 
     return run
 
@@ -242,37 +242,39 @@ def remove(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, grain
 
     ``keep_first`` leaves the first copy of what repeats, in order of doc_id (null first) and place; otherwise every copy goes. Null texts
     are empty; repeated rows repeat one another; rows that share an id and a text are given the same spans, so that under ``keep_first``
-    they keep theirs alike; an empty table gives no rows. ``grain`` is from 8 to ``length``.
+    they keep theirs alike; an empty table gives no rows. ``grain`` is from 8 to ``length``. Documents are told apart by id and a 64-bit
+    hash of the text, which matters only where ids repeat or are null.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.crc32(text.cast("binary")).cast("long").alias("crc"), "doc_id", text.alias("text"))
-    plain = keyed.select("k", "crc", "text")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.xxhash64(text).alias("mark"), "doc_id", text.alias("text"))
+    plain = keyed.select("k", "mark", "text")
     often = _scan(plain, length, grain, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h")
     often = session.materialise(often, "repeat-anchors")
     rows = session.materialise(_scan(plain, length, grain, True).join(often, "h", "left_semi"), "repeat-rows")
-    place = F.struct("k", "crc", "lo", "n")
+    place = F.struct("k", "mark", "lo", "n")
     groups = session.materialise(rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("first")), "repeat-groups")
     # Stretches that occur twice or more are settled as they are.
     settled = rows.join(groups.filter("m > 1").select("h", "c", "first"), ["h", "c"]).select(
-        "k", "crc", F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1 + length).alias("z"), (place != F.col("first")).alias("earlier"))
+        "k", "mark", F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1 + length).alias("z"), (place != F.col("first")).alias("earlier"))
     # Where an anchor has different stretches, the first of each is compared with the others.
     mixed = groups.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    want = groups.join(mixed, "h").select("first.k", "first.crc", F.struct("h", "first.lo", "first.n").alias("w"), (F.col("kinds") > limit).alias("hot"))
+    want = groups.join(mixed, "h").select("first.k", "first.mark", F.struct("h", "first.lo", "first.n").alias("w"), (F.col("kinds") > limit).alias("hot"))
     # The texts are dealt out by document once: this exchange is the same for all that is joined with it.
-    placed = keyed.repartition("k", "crc")
+    placed = keyed.repartition("k", "mark")
 
     def cut(some: DataFrame) -> DataFrame:
-        some = some.groupBy("k", "crc").agg(F.collect_list("w").alias("want"))
-        texts = placed.join(some, ["k", "crc"]).select("k", "crc", "text", "want").dropDuplicates(["k", "crc"])
-        return texts.mapInArrow(_cut(length), "h long, k long, crc long, lo int, n int, bytes binary")
+        some = some.groupBy("k", "mark").agg(F.collect_list("w").alias("want"))
+        texts = placed.join(some, ["k", "mark"]).select("k", "mark", "text", "want").dropDuplicates(["k", "mark"])
+        return texts.mapInArrow(_cut(length), "h long, k long, mark long, lo int, n int, bytes binary")
 
-    ordered = cut(want.filter("NOT hot")).repartition("h").sortWithinPartitions("h", "k", "crc", "lo").mapInArrow(_compare(length, limit), _RANGE)
-    each = cut(want.filter("hot")).select("k", "crc", "lo", "n", "bytes").mapInArrow(_each(length), "w1 long, w2 long, k long, crc long, lo int")
-    spot = F.struct("k", "crc", "lo")
+    ordered = cut(want.filter("NOT hot")).repartition("h").sortWithinPartitions("h", "k", "mark", "lo").mapInArrow(_compare(length, limit), _RANGE)
+    each = cut(want.filter("hot")).select("k", "mark", "lo", "n", "bytes").mapInArrow(_each(length), "w1 long, w2 long, k long, mark long, lo int")
+    spot = F.struct("k", "mark", "lo")
     found = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m"), F.min(spot).alias("first")).filter("m > 1")
-    single = each.join(found, ["w1", "w2"]).select("k", "crc", F.col("lo").alias("a"), (F.col("lo") + length).alias("z"), (spot != F.col("first")).alias("earlier"))
-    ranges = settled.union(ordered).union(single).groupBy("k", "crc").agg(F.collect_list(F.struct("a", "z", "earlier")).alias("ranges"))
-    joined = placed.join(ranges, ["k", "crc"], "left").select("doc_id", "text", "ranges")
+    single = each.join(found, ["w1", "w2"]).select("k", "mark", F.col("lo").alias("a"), (F.col("lo") + length).alias("z"), (spot != F.col("first")).alias("earlier"))
+    # Rows that share an id and a text find the same ranges; a set holds them once.
+    ranges = settled.union(ordered).union(single).groupBy("k", "mark").agg(F.collect_set(F.struct("a", "z", "earlier")).alias("ranges"))
+    joined = placed.join(ranges, ["k", "mark"], "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(_erase(keep_first), f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

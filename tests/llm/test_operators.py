@@ -108,6 +108,17 @@ def test_repeats_keep_first(spark, odd, none):
     assert repeats.remove(none, 40, True, 16).count() == 0
 
 
+def test_repeats_of_null_ids_with_equal_checksums(spark):
+    passage = "".join(f"{i:03d}" for i in range(20))
+    by = {zlib.crc32(f"{passage}A{i}".encode()): i for i in range(300_000)}
+    i, j = next((by[c], j) for j in range(1_000_000) if (c := zlib.crc32(f"B{j:09d}{passage}".encode())) in by)
+    texts = [f"{passage}A{i}", f"B{j:09d}{passage}"]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    assert sorted(bytes(r.kept).decode() for r in repeats.remove(df, 40, False, 16).collect()) == [f"A{i}", f"B{j:09d}"]
+    rows = repeats.remove(spark.createDataFrame([(None, texts[0])] * 30, df.schema), 40, False, 16).collect()
+    assert len(rows) == 30 and all(r.kept == b"" for r in rows)
+
+
 def test_longest_factors():
     data = np.frombuffer(b"abcdabcdXabcd", np.uint8)
     start = np.arange(10)
