@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catlink.llm import chat, decontam, licences, mixing, quality, repeats, rules, sharding, simhash, tokens
+from catlink.llm import bpe, chat, decontam, licences, mixing, quality, repair, repeats, rules, sharding, simhash, tokens, trie
 from catlink.llm.common import table
 
 SHARDS = 40
@@ -78,5 +78,28 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_repeats, op5_simhash, op6_licences, op7_mixing, op8_rules, op9_chat, op10_token_files)}
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and their text again, as digests."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    df = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer), tokenizer)
+    return df.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, the cheapest edits that mend it, and what they leave."""
+    return repair_digests(repair.repair(repair.damage(table(spark, folder, "conversations"))))
+
+
+def repair_digests(df: DataFrame) -> DataFrame:
+    text = F.array_join(F.transform("repaired", lambda x: F.concat(x["role"], F.lit(":"), x["text"])), "\n")
+    return df.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(text.cast("binary"), 256).alias("repaired_sha256"))
+
+
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the prefix trie of all conversations, rebuilt so that many share their first turns."""
+    return trie.nodes_of(trie.rebuilt(trie.digests(table(spark, folder, "conversations"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_repeats, op5_simhash, op6_licences, op7_mixing, op8_rules, op9_chat, op10_token_files, op11_bpe, op12_repair, op13_trie)}
 ORACLE: dict[str, str] = {}

@@ -114,3 +114,97 @@ def statistics(text):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+def repaired(rows):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha)} of (conv_id, turn, role, text), by plain search."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        k = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        here = convs[conv]
+        if k:
+            text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+            here += [(turn, "user" if k == 4 else role, text)] * (2 if k == 3 else 1)
+    return {conv: _repaired(here) for conv, here in convs.items()}
+
+
+def _repaired(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(f"{len(r[1])}:{r[1]}{r[2]}".encode()).hexdigest()))
+    known = [r[0] for r in rows if r[0] is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    seen, faults = set(), []
+    for _, role, text in rows:
+        solid = text.rstrip(" \t\n\r\v\f")
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+        faults.append(fault)
+        seen.add((role, text))
+    initials = [r[1][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    ways = {"": (0, "", ())}  # the end of what is kept so far: "", s, u or a
+
+    def moves(state, role):
+        return role if role + state in ("s", "u", "us", "au", "ua") else None
+
+    def inserted(ways):
+        for _ in range(3):
+            for state, (cost, audit, kept) in list(ways.items()):
+                new = "a" if state == "u" else "u"
+                ways[new] = min(ways.get(new, (10**9,)), (cost + 5, audit + "I", (*kept, ("assistant" if new == "a" else "user", ""))))
+        return ways
+
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        then = {}
+        for state, (cost, audit, kept) in inserted(ways).items():
+            options = [(state, 2, "D", kept)]
+            if fault not in ("blank", "duplicate"):
+                late = 5 * (fault == "truncated")
+                if moves(state, role[:1]):
+                    options.append((role[:1], late, "K", (*kept, (role, text))))
+                new = "a" if state == "u" else "u"
+                options.append((new, 1 + late, "R", (*kept, ("assistant" if new == "a" else "user", text))))
+            for to, c, letter, left in options:
+                then[to] = min(then.get(to, (10**9,)), (cost + c, audit + letter, left))
+        ways = then
+    cost, audit, kept = min(inserted(ways)[s] for s in ("", "a") if s in ways)
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
+    return gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, digest
+
+
+def rebuilt(rows):
+    """{conv_id: [(role, text)]}"""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = role or "", text or ""
+        own[conv].append(((turn is not None, turn or 0, hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()), (role, text)))
+    own = {c: [t for _, t in sorted(x)] for c, x in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4 if c is not None else 0
+        base = own.get(c - c % 20, []) if h else []
+        out[c] = base[:h] + turns[h:]
+    return out
+
+
+def trie(convs):
+    """Sorted rows (conv_id, depth, parent, n_convs, n_children, n_leaves, saved, sha) of {conv_id: turns}."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    order = lambda c: (c is None, c or 0)
+    rep = {k: min(v, key=order) for k, v in members.items()}
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for k in members:
+        if k:
+            children[k[:-1]] += 1
+    for k, v in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(v) - 1) * len(SPACE_WORD.findall(k[-1][1])) if k else 0
+    out = []
+    for k, v in members.items():
+        ends = sorted((c for c in v if len(convs[c]) == len(k)), key=lambda c: (c is not None, c or 0))
+        sha = hashlib.sha256(",".join("" if c is None else str(c) for c in ends).encode()).hexdigest()
+        out.append((rep[k], len(k), rep[k[:-1]] if k else None, len(v), children[k], leaves[k], saved[k], sha))
+    return sorted(out, key=repr)
