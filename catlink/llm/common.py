@@ -67,6 +67,14 @@ def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
     return rows if n <= size else rows.filter(uniform(F.lit("sample"), F.col(key)) < size / n)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """The name, with underscores before it until no column of the table has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words between ASCII white space; none in a null text."""
     return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")

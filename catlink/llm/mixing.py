@@ -48,7 +48,9 @@ def _ratio(u: Column, p: Column) -> Column:
 def _keyed(docs: DataFrame, weight: str | None) -> DataFrame:
     """Rows with the columns the decision takes: draw, tie hash and weight."""
     w = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(1.0)), F.lit(0.0)) if weight else F.lit(1.0)
-    return docs.withColumns({"_u": uniform("doc_id"), "_tie": F.md5(F.coalesce(F.col("text"), F.lit(""))), "_weight": w, "_sized": F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
+    tie = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    u = F.when(F.col("doc_id").isNull(), uniform("doc_id", tie)).otherwise(uniform("doc_id"))  # null ids draw by their texts, so that none is hot
+    return docs.withColumns({"_u": u, "_tie": tie, "_weight": w, "_sized": F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
 
 
 def _rank(df: DataFrame, cap: float) -> DataFrame:
@@ -134,7 +136,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, weight: str
 
 
 def apply(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, weight: str | None = None) -> DataFrame:
-    """The mixed documents with the columns they had: each row as often as it is taken."""
+    """The mixed documents with the columns they had: each row as often as it is taken.
+
+    The row travels as one struct, so no column of the table can clash with a name used here.
+    """
     m = Mix(docs, weights, cap, weight)
-    out = m.decide(_keyed(docs, weight)).filter("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    given = [F.col(f"`{weight}`").alias("_given")] if weight else []
+    keyed = _keyed(docs.select("doc_id", "text", "source", *given, F.struct("*").alias("_row")), "_given" if weight else None).drop("text")
+    out = m.decide(keyed).filter("copies > 0")
+    return out.select("_row", F.explode(F.expr("sequence(1L, copies)")).alias("_copy")).select("_row.*")

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.llm.common import Rolling, chain, in_batches, pieces, runs, sampled
+from catlink.llm.common import Rolling, chain, in_batches, pieces, runs, sampled, unused
 
 DIMENSIONS = 1 << 18
 
@@ -201,5 +201,6 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents that are not rejected (score of 0.5 or more), with the columns they had."""
     w = train(docs, labels, settings)
-    out = score(docs, w, "_quality_score", settings.scale).filter("_quality_score >= 0.5")
+    into = unused("score", docs)
+    out = score(docs, w, into, settings.scale).filter(F.col(into) >= 0.5)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

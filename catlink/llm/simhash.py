@@ -5,33 +5,23 @@ are the words of a covering code of radius 1: the (31, 26) Hamming code with one
 anchor, its own, and is replicated to every anchor within radius plus threshold, 2 bits (at most 17). A half that differs in at most 1
 bit therefore meets the own anchor of one fingerprint among the replicas of the other, and only there are they compared.
 
-``keep_one`` removes near copies by a wider rule, a Jaccard similarity of 0.8 of 5-word shingles. Pairs of 0.8 differ in about 10 of 64
-bits, which no covering of 64 bits finds at a bearable cost; its candidates come from MinHash bands and are checked by their whole sets.
+``keep_one`` keeps one document of each group so linked.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catlink import session
-from catlink.llm.common import Rolling, chain, in_batches, pieces, runs
+from catlink.llm.common import in_batches
 
 DISTANCE = 3
 WORDS = 3
-NEAR_WORDS = 5
-SIMILARITY = 0.8
-BANDS, BAND = 25, 5
-"""MinHash bands and hashes in each: two texts of similarity j share no band with probability (1 - j**5)**25."""
 _STEP = 1 << 14
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -165,106 +155,16 @@ def _key() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _hash().alias("hash"))
 
 
-def _sets(words: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
-    """The sorted distinct hashes of the word shingles of each text. A text of fewer words is one shingle; one without words has none."""
-    def of(column: pa.Array) -> Iterator[np.ndarray]:
-        rolling = Rolling(8)
-        for first, end, data, offsets in pieces(column):
-            start, stop = runs(~_SPACE[data], offsets)
-            h = rolling.over(data, _LOWER).of(start, stop)
-            cut = np.searchsorted(start, offsets)
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                n = max(min(1, b - a), b - a - words + 1)
-                yield np.unique(chain(*[h[a + j:a + j + n] for j in range(min(words, b - a))])) if n else h[:0]
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One document of each group of ``groups``, with the columns it had: that of the smallest id, null last, and of equal ids that of the
+    least text hash.
 
-    return of
-
-
-def _marks(words: int):
-    """Digest and size of the shingle set of every text, and the keys of its MinHash bands."""
-    draw = np.random.default_rng(11)
-    turn, factor = draw.integers(0, 1 << 32, BANDS * BAND, np.uint32), draw.integers(0, 1 << 31, BANDS * BAND, np.uint32) * np.uint32(2) + np.uint32(1)
-    number, of = np.arange(BANDS, dtype=np.uint64), _sets(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digest, size, bands = [], [], []
-            for found in of(batch.column("text")):
-                digest.append(hashlib.md5(found.tobytes()).hexdigest())
-                size.append(len(found))
-                if not len(found):
-                    bands.append([])
-                    continue
-                short = (found >> np.uint64(32)).astype(np.uint32)
-                least = np.array([((short ^ t) * f).min() for t, f in zip(turn, factor, strict=True)], np.uint64).reshape(BANDS, BAND)
-                bands.append(chain(number, *least.T).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(digest, pa.string()), pa.array(size, pa.int32()), pa.array(bands, pa.list_(pa.int64()))], ["key", "s", "n", "bands"])
-
-    return run
-
-
-def _shingles(words: int):
-    of = _sets(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [x.view(np.int64) for x in of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("s"), pa.array(found, pa.list_(pa.int64()))], ["s", "shingles"])
-
-    return run
-
-
-def near_copies(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """key (id and text hash of a row) and first (the least key of its component), once for each id and text.
-
-    Components are linked by pairs of texts whose sets of word shingles have a Jaccard similarity of ``similarity`` or more. Candidates
-    share a MinHash band and are checked by their whole sets: a pair of similarity 0.8 is missed once in 20,000, a closer one less often.
-    Equal sets are one node. Each node of a band is first checked against the least one; then all pairs of a band that this
-    did not connect are.
-    """
-    hashed = docs.select(_key().alias("key"), "text")
-    kind = hashed.schema["key"].dataType.simpleString()
-    rows = session.materialise(in_batches(hashed, _marks(words), f"key {kind}, s string, n int, bands array<long>"), "near-rows")
-    nodes = session.materialise(rows.groupBy("s").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near-nodes")
-    banded = nodes.select("s", "n", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("s", "n")).alias("u")).filter("m > 1")
-    banded = session.materialise(banded.join(shared.select("band", "u"), "band"), "near-bands")
-
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        close = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-9
-        pairs = session.materialise(pairs.filter(close).select("u", "v").distinct(), f"{name}-pairs")
-        wanted = nodes.join(pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct(), "s").select("s", "least")
-        texts = hashed.join(wanted, F.col("key.hash").eqNullSafe(F.col("least.hash")) & F.col("key.id").eqNullSafe(F.col("least.id"))).select("s", "text").dropDuplicates(["s"])
-        sets = session.materialise(in_batches(texts, _shingles(words), "s string, shingles array<long>"), f"{name}-sets")
-        both = pairs.join(sets.select(F.col("s").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("s").alias("v"), F.col("shingles").alias("y")), "v")
-        common = F.size(F.array_intersect("x", "y"))
-        return both.filter(common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).select("u", "v")
-
-    stars = banded.filter("s != u.s").select(F.col("u.s").alias("u"), F.col("s").alias("v"), F.col("u.n").alias("nu"), F.col("n").alias("nv"))
-    first = components(confirmed(stars, "near-stars"), "near-first")
-    placed = session.materialise(banded.join(first, F.col("s") == F.col("node"), "left").select("band", "s", "n", F.coalesce("root", "s").alias("root")), "near-placed")
-    # Pairs of different components of a band are listed first, so that no pair inside one is formed.
-    of = placed.select("band", "root").distinct()
-    apart = of.alias("a").join(of.alias("b"), "band").filter("a.root < b.root").select("band", F.col("a.root").alias("ru"), F.col("b.root").alias("rv"))
-    rest = apart.join(placed.select("band", F.col("root").alias("ru"), F.col("s").alias("u"), F.col("n").alias("nu")), ["band", "ru"])
-    rest = rest.join(placed.select("band", F.col("root").alias("rv"), F.col("s").alias("v"), F.col("n").alias("nv")), ["band", "rv"])
-    rest = confirmed(rest.filter(F.col("u") != F.col("v")), "near-rest")
-    root = placed.select("s", "root").distinct()
-    rest = rest.join(root.select(F.col("s").alias("u"), F.col("root").alias("ru")), "u").join(root.select(F.col("s").alias("v"), F.col("root").alias("rv")), "v")
-    second = components(rest.select(F.col("ru").alias("u"), F.col("rv").alias("v")), "near-second")
-    final = root.join(second.withColumnRenamed("root", "to"), F.col("root") == F.col("node"), "left").select("s", F.coalesce("to", "root").alias("root"))
-    named = nodes.select("s", "least").join(final, "s", "left").select("s", "least", F.coalesce("root", "s").alias("root"))
-    named = named.join(named.groupBy("root").agg(F.min("least").alias("first")), "root").select("s", "first")
-    return rows.join(named, "s").select("key", "first").distinct()
-
-
-def keep_one(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each component of near copies, with the columns it had: that of the smallest id, null last, and of equal ids that of
-    the least text hash.
-
-    Rows are told apart by id and text, so groups of null ids and of repeated ids keep one document each. Of rows that repeat both one stays.
+    Rows are told apart by id and text, so a group of null ids keeps one document, and groups that share a repeated id keep one each. Of rows
+    that repeat both one stays, that of the least hash of its columns. Null and empty texts are one group. An empty table gives no rows. The
+    row travels as one struct, so no column of the table can clash with a name used here.
     """
-    first = near_copies(docs, words, similarity).filter(F.col("key").eqNullSafe(F.col("first"))).select(F.col("key.id").alias("_id"), F.col("key.hash").alias("_first"))
-    hashed = docs.withColumn("_hash", _hash())
-    kept = hashed.join(first, (F.col("_hash") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    of = groups(docs.select(_key().alias("doc_id"), "text"), words)
+    first = of.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
+    rows = docs.select(_key().alias("key"), F.struct("*").alias("row")).join(first, "key", "left_semi")
+    plain = [f"row.`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return rows.groupBy("key").agg(F.min_by("row", F.xxhash64(*plain)).alias("row")).select("row.*")

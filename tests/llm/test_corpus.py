@@ -143,33 +143,24 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (5, b)])
 
 
-def test_keep_one_of_near_copies(spark):
-    draw = np.random.default_rng(3)
-    texts, edits = [], (0, 1, 2, 3, 4, 5, 6, 8)
-    for i in range(30):
-        ws = [f"w{x}" for x in draw.integers(0, 4000, 120)]
-        for k in edits:
-            new = list(ws)
-            for at in draw.choice(120, k, replace=False):
-                new[at] = f"{i}x{k}x{at}"
-            texts.append(" ".join(new).upper() if k == 1 else " ".join(new))
-    texts += ["a b c", "A b  c", "a b d"]
-
-    def shingles(t):
-        ws = t.lower().split()
-        return {tuple(ws[j:j + 5]) for j in range(max(1, len(ws) - 4))}
-
-    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
-    n_far = 0
-    for v in range(len(texts)):
-        for u in range(v):
-            if len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v]):
-                a, b = sorted((root[u], root[v]))
-                root = [a if x == b else x for x in root]
-                n_far += (simhash.fingerprint(texts[u].encode()) ^ simhash.fingerprint(texts[v].encode())).bit_count() > 3
-    assert n_far > 30
-    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+def test_keep_one_follows_the_links(spark, docs):
+    kept = simhash.keep_one(spark.read.parquet(f"{DATA}/documents.parquet"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute.simhash(docs).values()})
+    text = " ".join(f"{x}{i}" for x in "ab" for i in range(60))
+    rows = spark.createDataFrame([(5, text, "k5"), (3, text.upper(), "k3"), (9, "other words here", "k9")], "doc_id bigint, text string, row string")
+    assert sorted((r.doc_id, r.row) for r in simhash.keep_one(rows).collect()) == [(3, "k3"), (9, "k9")]
+
+
+def test_stages_leave_clashing_columns_alone(spark, labels):
+    names = ["_u", "_hash", "_first", "target", "copies", "source_size", "_quality_score", "score", "_row", "row", "key", "_copy", "spans", "n_words", "shard"]
+    texts = [(f"word{i} {' '.join(f'w{i}x{j}' for j in range(40))}", f"s{i % 3}") for i in range(30)]
+    rows = [(i, t, src, *[f"{n}-{i}" for n in names]) for i, (t, src) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([(1, "none of these")], "item_id bigint, text string")
+    for out in (quality.keep_good(df, labels), simhash.keep_one(df), decontam.keep_clean(df, bench), mixing.apply(df, (1, 1, 3))):
+        assert out.columns == df.columns
+        assert {tuple(r) for r in out.collect()} <= set(rows)
+    assert simhash.keep_one(df).count() == len(rows) and {r.source for r in mixing.apply(df).collect()} == {"s0", "s1", "s2"}
 
 
 def test_anchors_meet_all_close_pairs(spark):
