@@ -16,7 +16,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: Jaccard similarity of 0.8 or more of 5-word shingles."""
+    """One document of each group whose fingerprints of 3-word shingles link at 3 or fewer differing bits."""
     return simhash.keep_one(docs)
 
 
@@ -36,7 +36,7 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("quality classifier", quality_stage), ("near-dedup", near_duplicates_stage), ("benchmark decontamination", decontamination_stage),
+    ("quality classifier", quality_stage), ("SimHash near-dedup", near_duplicates_stage), ("benchmark decontamination", decontamination_stage),
     ("mixing sources", mixing_stage), ("sharding", sharding_stage),
 ]
 
