@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from catlink import session
@@ -26,7 +27,7 @@ PER_FILE = 20_000
 """Documents of a file, about."""
 BLOCK = 1 << 15
 """Ids of a block at least, but for the last of a file; a document is never split."""
-CACHE = 400_000
+CACHE = 1_000_000
 """Distinct pieces that a worker remembers, by two 64-bit hashes each; beyond that it forgets those met in one step only."""
 STEP = 2 << 20
 """Bytes of text that are encoded at a time."""
@@ -155,61 +156,42 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _files(docs: DataFrame, per_file: int) -> list:
-    """Ascending document ids at which a new file begins; a column-pruned pass."""
-    n = docs.count()
-    parts = max(1, -(-n // per_file))
-    if parts == 1:
-        return []
-    cuts = docs.select(F.percentile_approx("doc_id", F.lit([i / parts for i in range(1, parts)]), max(10_000, 4 * parts))).first()[0]
-    return sorted(set(cuts or []))
+def _values(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids of a binary column, where each row's begin and the last end)."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64) // width
+    ids = np.frombuffer(column.buffers()[2], f"<u{width}") if column.buffers()[2] is not None else np.zeros(0, f"<u{width}")
+    return ids[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def encode(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_FILE, block: int = BLOCK) -> DataFrame:
-    """Blocks of plain ids: (file, block, doc_ids, lengths, width in bytes, ids), stored. Null document ids come first."""
+def encode(docs: DataFrame, tokenizer: str, end: int = END) -> tuple[DataFrame, int]:
+    """((doc_id, h, nr, ids), width): the plain ids of every document with the end id, ``width`` bytes each, stored.
+
+    ``h`` is a hash of the text and ``nr`` counts the rows of a task: both tell rows of one id apart, so that no id is hot.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    cuts = np.array(_files(docs, per_file), np.int64)
-    width = 2 if _encoder(tokenizer).size <= 1 << 16 else 4
+    width = 2 if max(_encoder(tokenizer).size, end + 1) <= 1 << 16 else 4
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, tail = _encoder(tokenizer), end.to_bytes(width, "little")
+        e, seen = _encoder(tokenizer), 0
         for whole in batches:
             size = np.cumsum(np.asarray(pc.binary_length(whole.column("text")).fill_null(0)).astype(np.int64))
             for part in np.split(np.arange(whole.num_rows), np.flatnonzero(np.diff(size // STEP)) + 1):
-                batch = whole.slice(part[0], len(part)) if len(part) else whole.slice(0, 0)
-                doc = batch.column("doc_id")
-                file = np.where(np.asarray(doc.is_null()), 0, np.searchsorted(cuts, np.asarray(doc.fill_null(0)), "right"))
+                if not len(part):
+                    continue
+                batch = whole.slice(part[0], len(part))
                 ids, at = e.encode(batch.column("text"))
-                raw = ids.astype(f"<u{width}").tobytes()
-                out = [raw[width * a:width * b] + tail for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), doc, pa.array(out, pa.binary())], ["file", "doc_id", "ids"])
+                n = batch.num_rows
+                ends = at[1:] + np.arange(n)
+                out, own = np.full(len(ids) + n, end, f"<u{width}"), np.ones(len(ids) + n, bool)
+                own[ends] = False
+                out[own] = ids
+                offsets = np.concatenate([[0], (ends + 1) * width]).astype(np.int32)
+                coded = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(np.arange(seen, seen + n)), coded], ["doc_id", "h", "nr", "ids"])
+                seen += n
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _release()
-        at, nr, names, parts, n = None, 0, [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([
-                pa.array([at], pa.int32()), pa.array([nr], pa.int32()), pa.array([names], pa.list_(pa.int64())),
-                pa.array([[len(p) // width for p in parts]], pa.list_(pa.int64())), pa.array([width], pa.int32()), pa.array([b"".join(parts)], pa.binary())],
-                ["file", "block", "doc_ids", "lengths", "width", "ids"])
-
-        for batch in batches:
-            for file, doc, ids in zip(batch.column("file").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if names and (file != at or n >= block):
-                    yield flush()
-                    nr, names, parts, n = (nr + 1 if file == at else 0), [], [], 0
-                at = file
-                names.append(doc)
-                parts.append(ids)
-                n += len(ids) // width
-        if names:
-            yield flush()
-
-    coded = in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tokenize, "file int, doc_id long, ids binary")
-    filed = coded.repartition(len(cuts) + 1, "file").sortWithinPartitions("file", "doc_id", "ids")
-    blocks = in_batches(filed, gather, "file int, block int, doc_ids array<long>, lengths array<long>, width int, ids binary")
-    return session.materialise(blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>")), "token-ids")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    return session.materialise(in_batches(rows, tokenize, f"doc_id {kind}, h long, nr long, ids binary"), "token-ids"), width
 
 
 def _release() -> None:
@@ -219,50 +201,69 @@ def _release() -> None:
         give_back()
 
 
-def _plain(batch: pa.RecordBatch, r: int) -> np.ndarray:
-    return np.frombuffer(batch.column("ids")[r].as_buffer(), f"<u{batch.column('width')[r].as_py()}")
-
-
-def ranks(blocks: DataFrame) -> DataFrame:
+def ranks(coded: DataFrame, width: int) -> DataFrame:
     """(id, rank, n): all ids that occur, the most frequent first; ties go to the smaller id. Counts are added up by task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _release()
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for r in range(batch.num_rows):
-                n = np.bincount(_plain(batch, r))
-                if len(n) > len(total):
-                    total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
-                total[:len(n)] += n
+            n = np.bincount(_values(batch.column("ids"), width)[0])
+            if len(n) > len(total):
+                total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
+            total[:len(n)] += n
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
-    counts = in_batches(blocks.select("ids", "width"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = in_batches(coded.select("ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return counts.select("id", (F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).cast("long").alias("rank"), "n")
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, per_file: int = PER_FILE, block: int = BLOCK) -> None:
-    """Write the file set: ``path/ranks`` and ``path/blocks``. The table of ranks is as long as the vocabulary at most."""
+    """Write the file set: ``path/ranks`` and ``path/blocks``. The table of ranks is as long as the vocabulary at most.
+
+    Files are ranges of (doc_id, h, nr), so a task writes one file at a time and holds one block of it.
+    """
     spark = docs.sparkSession
-    plain = encode(docs, tokenizer, end, per_file, block)
-    ranks(plain).write.parquet(f"{path}/ranks")
+    coded, width = encode(docs, tokenizer, end)
+    ranks(coded, width).write.parquet(f"{path}/ranks")
     rows = spark.read.parquet(f"{path}/ranks").select("id", "rank").toArrow()
     table = np.zeros(max(rows["id"].to_pylist(), default=0) + 1, np.uint32)
     table[np.asarray(rows["id"])] = np.asarray(rows["rank"])
     shared = spark.sparkContext.broadcast(table)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _release()
+        file, nr, docs_, lengths, parts, n = TaskContext.get().partitionId(), 0, [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            control, data = pack(shared.value[np.concatenate(parts)])
+            ids, sizes = pa.concat_arrays(docs_), np.concatenate(lengths)
+            whole = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), x) for x in (ids, pa.array(sizes))]
+            return pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), pa.array([nr], pa.int32()), *whole, pa.array([control], pa.binary()), pa.array([data], pa.binary())],
+                                              ["file", "block", "doc_ids", "lengths", "control", "data"])
+
         for batch in batches:
-            for r in range(batch.num_rows):
-                control, data = pack(shared.value[_plain(batch, r)])
-                one = batch.slice(r, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [*[one.column(c) for c in ("file", "block", "doc_ids", "lengths")], pa.array([control], pa.binary()), pa.array([data], pa.binary())],
-                    ["file", "block", "doc_ids", "lengths", "control", "data"])
+            doc, (ids, at) = batch.column("doc_id"), _values(batch.column("ids"), width)
+            first = 0
+            while first < len(doc):
+                # documents up to the one that fills the block
+                stop = min(int(np.searchsorted(at, at[first] + block - n)), len(doc))
+                docs_.append(doc.slice(first, stop - first))
+                lengths.append(np.diff(at[first:stop + 1]))
+                parts.append(ids[at[first]:at[stop]].copy())
+                n += int(at[stop] - at[first])
+                first = stop
+                if n >= block:
+                    yield flush()
+                    nr, docs_, lengths, parts, n = nr + 1, [], [], [], 0
+        if docs_:
+            yield flush()
 
-    kept = plain.schema["doc_ids"].dataType.simpleString()
-    in_batches(plain, run, f"file int, block int, doc_ids {kept}, lengths array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("nr")]
+    files = max(1, -(-coded.count() // per_file))
+    filed = coded.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    in_batches(filed, gather, f"file int, block int, doc_ids array<{kind}>, lengths array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -298,7 +299,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str, end: int = END, per_file: int = PER_FILE) -> DataFrame:
     """Write the file set to the shared folder and read it back.
 
-    Null and empty texts hold the end id alone; documents of equal ids follow one another in order of their token ids; an empty table gives empty files.
+    Null and empty texts hold the end id alone; documents of equal ids follow one another in order of a hash of their text; an empty table gives empty files.
     """
     path = session.stored_path(docs.sparkSession, "token-files")
     write(docs, path, tokenizer, end, per_file)

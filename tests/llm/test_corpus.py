@@ -55,6 +55,18 @@ def test_sharding(spark, odd, none):
     assert sharding.assign(none, sharding.layout(3)).count() == 0
 
 
+def test_sharding_equals_plain_form(spark, docs):
+    text = dict(docs)
+    for r in queries.op1_sharding(spark, DATA).collect():
+        raw = (text[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law) == (len(raw) + 16, zlib.crc32(raw), "key")
+    copies = spark.createDataFrame([(None, "same")] * 300 + [(7, f"t{i}") for i in range(100)], "doc_id bigint, text string")
+    got = defaultdict(list)
+    for r in sharding.assign(copies.repartition(5), sharding.layout(3)).collect():
+        got[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in got.values()) and sum(map(len, got.values())) == 400
+
+
 def test_shards_take_by_weight(spark):
     ids = spark.range(4000).withColumnRenamed("id", "doc_id")
     tree = [sharding.Shard(0, "a", "r", 3.0), sharding.Shard(1, "b", "q", 1.0), sharding.Shard(2, "b", "p", 0.0)]
@@ -259,6 +271,26 @@ def test_token_files(spark, odd, none):
     assert (tokens.unpack(*tokens.pack(values), len(values)) == values).all()
 
 
+def test_token_files_of_the_table(spark, docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start, want = 0, {}
+    for doc, text in sorted(docs):
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        want[doc] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op10_token_files(spark, DATA).collect()} == want
+
+
+def test_token_files_of_repeated_and_null_ids(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(None, "same text")] * 200 + [(None, f"other {i}") for i in range(50)] + [("b", "x"), ("a", None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(4)
+    got = tokens.round_trip(df, path, per_file=20).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 250 + ["a", "b"] and [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
+
+
 def sorted_by_id(ids):
     order = sorted(range(len(ODD)), key=lambda i: (ODD[i][0] is not None, ODD[i][0] or 0))
     return [ids[i] for i in order]
