@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from catlink.functions import markup
 from catlink.functions.text import col
 
 # Per-language page patterns.
@@ -26,75 +31,62 @@ PERSONDATA_FIELDS_FR = {
     "lieu de décès": "place of death",
 }
 
-# Template body up to its closing braces; one level of templates inside it is skipped whole.
-# The quantifiers are possessive so that matching stays linear and does not recurse.
-_BODY = r"((?:[^{}]++|\{\{(?s:.*?)\}\}|\{(?!\{)|\}(?!\}))*+)\}\}"
+
+def _scanned(scan: Callable[[pa.Array], list], kind: str, arrow: pa.DataType, text: Column | str) -> Column:
+    """A column scanned in Arrow batches by one of the functions of ``markup``."""
+    return F.arrow_udf(lambda x: pa.array(scan(x), arrow), kind)(col(text))
+
+
+def _plain(x: pa.Array) -> list:
+    return [v if v is None else v.decode() for v in markup.without_markup(x)]
+
+
+def _first(x: pa.Array) -> list:
+    return [v if v is None else v.decode() for v in markup.first_paragraphs(x)]
 
 
 def remove_markup(text: Column | str) -> Column:
     """Drop templates (nested) and comments.
 
-    Two depth counters run over the marks. Text is kept only while both are exactly zero, so
-    a stray closing mark, which makes its counter negative, also hides what follows.
+    The depths of both are prefix sums over the marks. Text is kept only while both are exactly zero, so
+    a stray closing mark, which makes its depth negative, also hides what follows. Texts without marks stay in the JVM.
     """
     t = col(text)
-    tokens = F.regexp_extract_all(t, F.lit(r"(?s)(\{\{|\}\}|<!--|-->|[^{}<\-]++|.)"), F.lit(1))
-    start = F.struct(F.lit(0).alias("template"), F.lit(0).alias("comment"), F.array().cast("array<string>").alias("kept"))
-
-    def step(state: Column, token: Column) -> Column:
-        template = state["template"] + F.when(token == "{{", 1).when(token == "}}", -1).otherwise(0)
-        comment = state["comment"] + F.when(token == "<!--", 1).when(token == "-->", -1).otherwise(0)
-        visible = ~token.isin("{{", "}}", "<!--", "-->") & (state["template"] == 0) & (state["comment"] == 0)
-        kept = F.when(visible, F.concat(state["kept"], F.array(token))).otherwise(state["kept"])
-        return F.struct(template.alias("template"), comment.alias("comment"), kept.alias("kept"))
-
-    cleaned = F.reduce(tokens, start, step, lambda s: F.array_join(s["kept"], ""))
-    return F.when(t.rlike(r"\{\{|\}\}|<!--|-->"), cleaned).otherwise(t)
+    return F.when(t.rlike(r"\{\{|\}\}|<!--|-->"), _scanned(_plain, "string", pa.string(), F.when(t.rlike(r"\{\{|\}\}|<!--|-->"), t))).otherwise(t)
 
 
 def first_paragraph(text: Column | str) -> Column:
-    body = F.regexp_replace(remove_markup(text), r"^\s+|\s+\z", "")
-    return F.try_element_at(F.split(body, "\n\n", 2), F.lit(1))
+    """What comes before the first empty line once markup is gone."""
+    return _scanned(_first, "string", pa.string(), text)
 
 
 def categories(text: Column | str, lang: str) -> Column:
     return F.regexp_extract_all(col(text), F.lit(CATEGORY[lang]), F.lit(1))
 
 
-def _fields(body: Column) -> Column:
-    """``| name = value`` lines -> array of (name, value), the last line of a name winning."""
-    lines = F.filter(F.split(body, r"\r\n|\n|\r"), lambda line: line.contains("="))
-
-    def strip(x: Column) -> Column:
-        return F.regexp_replace(x, r"^\s+|\s+\z", "")
-
-    def entry(line: Column) -> Column:
-        name = F.lower(F.regexp_replace(strip(F.substring_index(line, "=", 1)), r"^[| ]+", ""))
-        value = strip(F.substr(line, F.length(F.substring_index(line, "=", 1)) + 2))
-        return F.struct(name.alias("name"), value.alias("value"))
-
-    none = F.array().cast("array<struct<name:string,value:string>>")
-    return F.reduce(F.transform(lines, entry), none, lambda kept, e: F.concat(F.filter(kept, lambda old: old["name"] != e["name"]), F.array(e)))
+_MAP = pa.map_(pa.string(), pa.string())
 
 
 def infobox(text: Column | str, lang: str) -> Column:
     """Map of the first artist infobox; the infobox type is under ``_type``. Empty if there is none."""
-    pattern = r"(?s)\{\{Infobox (" + INFOBOX_TYPES[lang] + r")[^|]*" + _BODY
-    kind, body = F.regexp_extract(col(text), pattern, 1), F.regexp_extract(col(text), pattern, 2)
-    head = F.array(F.struct(F.lit("_type").alias("name"), kind.alias("value")))
-    fields = F.filter(_fields(body), lambda e: e["name"] != "_type")
-    return F.when(kind == "", F.create_map().cast("map<string,string>")).otherwise(F.map_from_entries(F.concat(head, fields)))
+    head = re.compile(r"\{\{Infobox (" + INFOBOX_TYPES[lang] + ")")
+
+    def scan(x: pa.Array) -> list:
+        found = (markup.template(t, head) for t in x.to_pylist())
+        return [[] if f is None else [("_type", f[0]), *((k, v) for k, v in f[1].items() if k != "_type")] for f in found]
+
+    return _scanned(scan, "map<string,string>", _MAP, text)
 
 
 def persondata(text: Column | str, lang: str) -> Column:
     """Map of the person-data template, field names in English."""
-    pattern = r"(?s)\{\{" + PERSONDATA_NAMES[lang] + r"[^|]*" + _BODY
-    fields = _fields(F.regexp_extract(col(text), pattern, 1))
-    as_map = F.map_from_entries(fields)
-    if lang == "fr":
-        known = F.create_map(*[F.lit(x) for pair in PERSONDATA_FIELDS_FR.items() for x in pair])
-        as_map = F.transform_keys(as_map, lambda k, _: F.coalesce(F.try_element_at(known, k), k))
-    return as_map
+    head, known = re.compile(r"\{\{" + PERSONDATA_NAMES[lang]), PERSONDATA_FIELDS_FR if lang == "fr" else {}
+
+    def scan(x: pa.Array) -> list:
+        found = (markup.template(t, head) for t in x.to_pylist())
+        return [[] if f is None else list({known.get(k, k): v for k, v in f[1].items()}.items()) for f in found]
+
+    return _scanned(scan, "map<string,string>", _MAP, text)
 
 
 def page_struct(title: Column | str, text: Column | str, lang: str) -> list[Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from catlink.config import MISSING_ARTIST, Catalog
 from catlink.functions import text as X, urls
+from catlink.operators.keys import first_by
 
 # Format descriptions that decide the release status.
 UNOFFICIAL = ("Unofficial Release", "Partially Unofficial")
@@ -146,9 +147,9 @@ def new_albums(listed: DataFrame, stored: DataFrame, prefix: str = "cdbaby:") ->
 
 
 def store_new(pages: DataFrame, stored: DataFrame, prefix: str = "cdbaby:") -> DataFrame:
-    """Parsed albums that are not stored yet, marked as not imported."""
-    fresh = pages.withColumn("_id", F.concat(F.lit(prefix), "cdbaby_id"))
-    fresh = fresh.dropDuplicates(["_id"])
+    """Parsed albums that are not stored yet, marked as not imported. Of several pages of one album the least in all columns counts, title first."""
+    fresh = pages.withColumn("_id", F.concat(F.lit(prefix), "cdbaby_id")).filter("_id IS NOT NULL")
+    fresh = first_by(fresh, ["_id"], ["title"])
     status = F.struct(F.lit(False).alias("imported"), F.current_timestamp().alias("added"))
     return fresh.join(stored.select("_id").distinct(), "_id", "left_anti").withColumn("status", status)
 
@@ -177,11 +178,12 @@ def new_artists(albums: DataFrame, artists: DataFrame, prefix: str = "cdbaby:")
 def mark_imported(albums: DataFrame, imported: DataFrame) -> DataFrame:
     """Albums after an import run ``(_id, mbid)``: identifier set and status flipped."""
     done = imported.select("_id", F.col("mbid").alias("_mbid"))
-    flag = F.col("status.imported") | F.col("_mbid").isNotNull()
+    flag = F.coalesce(F.col("status.imported"), F.lit(False)) | F.col("_mbid").isNotNull()
+    status = F.when(F.col("status").isNotNull(), F.col("status")).otherwise(F.from_json(F.lit("{}"), albums.schema["status"].dataType))
     return (
         albums.join(done, "_id", "left")
         .withColumn("mbid", F.coalesce("_mbid", "mbid"))
-        .withColumn("status", F.col("status").withField("imported", flag))
+        .withColumn("status", status.withField("imported", flag))
         .select(*albums.columns)
     )
 

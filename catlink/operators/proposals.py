@@ -433,24 +433,29 @@ def country_patterns(countries: DataFrame, search: DataFrame) -> DataFrame:
     return with_search.select(F.col("id").alias("country_id"), F.explode(X.array_concat(own, "search")).alias("pattern")).distinct()
 
 
-def country_by_prefix(texts: DataFrame, column: str, patterns: DataFrame) -> DataFrame:
+def country_by_prefix(texts: DataFrame, column: str, patterns: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     """``texts`` with each country one of whose ``LIKE`` patterns matches the text; a country once per row.
 
-    The first two characters are an equality key, so each text meets only the patterns that
-    begin alike; patterns that begin with a wildcard go under a shorter key.
+    A pattern's letters up to its first wildcard are an equality key. A text is looked up under its beginnings of just the lengths that occur among
+    the patterns, so it meets only patterns whose whole literal beginning it has, whatever many texts begin alike; a pattern that begins
+    with a wildcard has the empty key. With ``key``, columns that tell the texts apart, only those and the country are
+    deduplicated, and the texts are joined back to what matched.
     """
-    head = F.regexp_extract("pattern", r"(?s)^([^%_\\]{0,2})", 1)
-    keyed = patterns.select("country_id", "pattern", head.alias("_key"))
+    head = F.regexp_extract("pattern", r"(?s)^([^%_\\]*)", 1)
+    keyed = patterns.select("country_id", "pattern", head.alias("_key")).distinct()
+    lengths = sorted(r[0] for r in keyed.select(F.length("_key")).distinct().collect())  # as many as the longest name has letters, at most
     low = F.lower(column)
-    keys = F.array_distinct(F.array(F.lit(""), F.left(low, F.lit(1)), F.left(low, F.lit(2))))
-    rows = texts.filter(F.col(column).isNotNull()).withColumn("_key", F.explode(keys)).join(keyed, "_key")
-    return rows.filter(F.expr(f"lower(`{column}`) LIKE pattern")).drop("_key", "pattern").distinct()
+    starts = F.array_distinct(F.array(*[F.left(low, F.lit(n)) for n in lengths])) if lengths else F.array().cast("array<string>")
+    rows = texts.filter(F.col(column).isNotNull()).withColumn("_key", F.explode(starts)).join(keyed, "_key").filter(F.expr(f"lower(`{column}`) LIKE pattern"))
+    if not key:
+        return rows.drop("_key", "pattern").distinct()
+    return texts.join(rows.select(*key, "country_id").distinct(), [*key])
 
 
 def country_from_comment(artists: DataFrame, patterns: DataFrame) -> DataFrame:
     """(country_id, gid, name, comment) of artists without a country whose comment begins with one."""
     ok = (F.col("country").isNull()) & ~F.col("comment").contains("?") & ~F.col("comment").rlike(r"(?i)^[a-z]+[-/]")
-    return country_by_prefix(artists.filter(ok).select("gid", "name", "comment"), "comment", patterns).select("country_id", "gid", "name", "comment")
+    return country_by_prefix(artists.filter(ok).select("gid", "name", "comment"), "comment", patterns, ["gid"]).select("country_id", "gid", "name", "comment")
 
 
 def country_from_profile(a: Catalog, b: Catalog, patterns: DataFrame) -> DataFrame:
@@ -459,9 +464,9 @@ def country_from_profile(a: Catalog, b: Catalog, patterns: DataFrame) -> DataFra
     The comment is the first sentence of the profile.
     """
     open_artists = a.artist.filter("country IS NULL").select("gid", "id").join(a.artist_link.select("id").distinct(), "id", "left_semi").select("gid").distinct()
-    rows = b.artist_link.select("id", "gid", "name").join(b.artist.select("id", "profile"), "id").join(open_artists, "gid", "left_semi")
+    rows = b.artist_link.select("id", "gid", "name").distinct().join(b.artist.select("id", "profile"), "id").join(open_artists, "gid", "left_semi")
     ok = ~F.col("profile").contains("?") & ~F.col("profile").rlike(r"(?i)^[a-z]+[-/]")
-    hit = country_by_prefix(rows.filter(ok).select("id", "gid", "name", "profile"), "profile", patterns)
+    hit = country_by_prefix(rows.filter(ok).select("id", "gid", "name", "profile"), "profile", patterns, ["id", "gid", "name"])
     return hit.select("country_id", "gid", "name", X.first_sentence("profile").alias("comment"))
 
 

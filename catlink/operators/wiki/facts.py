@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catlink.config import GROUP, PERSON, LINK_TYPE, Catalog
@@ -16,7 +17,6 @@ from catlink.operators.evidence import text
 from catlink.sources.dictionaries import US_STATES, demonyms
 
 
-
 def _strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -88,18 +88,38 @@ def _linked_places(pages: DataFrame, places: DataFrame, lang: str) -> DataFrame:
     ])
 
 
-def category_countries(cats: Column, lang: str) -> Column:
-    """(code, category) for each nationality word in a category and each state after "from"."""
-    clean = F.transform(cats, lambda c: F.replace(c, F.lit("_"), F.lit(" ")))
-    words = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("code")) for n, c in demonyms(lang)])
-    states = F.array(*[F.lit("from " + s) for s in US_STATES])
+_CODES = "array<struct<code:string,category:string>>"
 
-    def of(category: Column) -> Column:
-        by_word = F.transform(F.filter(words, lambda w: category.contains(w["name"])), lambda w: F.struct(w["code"].alias("code"), category.alias("category")))
-        by_state = F.transform(F.filter(states, lambda s: category.endswith(s)), lambda s: F.struct(F.lit("US").alias("code"), category.alias("category")))
-        return F.concat(by_word, by_state)
 
-    return F.flatten(F.transform(clean, of))
+def category_countries(cats: Column, lang: str) -> Column:
+    """(code, category) for each nationality word in a category and each state after "from", where the category ends with it.
+
+    All words are one automaton, so a category is read once however long the dictionary is.
+    """
+    words, states = dict(demonyms(lang)), frozenset(US_STATES)
+
+    def found(lists: pa.Array) -> pa.Array:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for word, code in words.items():
+            automaton.add_word(word, (word, code))
+        automaton.make_automaton()
+        out = []
+        for categories in lists.to_pylist():
+            here = []
+            for category in categories or ():
+                clean = category.replace("_", " ")
+                here += [{"code": code, "category": clean} for _, code in sorted({hit for _, hit in automaton.iter(clean)})]
+                at = clean.find("from ")
+                while at >= 0:
+                    if clean[at + 5:] in states:
+                        here.append({"code": "US", "category": clean})
+                    at = clean.find("from ", at + 1)
+            out.append(here)
+        return pa.array(out, pa.list_(pa.struct([("code", pa.string()), ("category", pa.string())])))
+
+    return F.arrow_udf(found, _CODES)(cats)
 
 
 def country(pages: DataFrame, places: DataFrame, lang: str) -> DataFrame:

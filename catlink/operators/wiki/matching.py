@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from catlink.config import Catalog
@@ -14,34 +15,7 @@ from catlink.functions.urls import quote_title, wiki_base
 from catlink.functions.wikitext import categories
 from catlink.operators.keys import first_by, note_list
 
-# Title search ------------------------------------------------------------------------------------
-
-
-def tokens(c: Column | str) -> Column:
-    """Lower-case words of a title, each once."""
-    low = F.lower(F.col(c) if isinstance(c, str) else c)
-    return F.array_distinct(F.regexp_extract_all(low, F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)))
-
-
-def search_titles(entities: DataFrame, titles: DataFrame, k: int = 50) -> DataFrame:
-    """(id, title, score, rank): the ``k`` best titles that contain all words of the name.
-
-    The score is the share of the title's words that the name has; ties go by title. Each name is
-    looked up under its rarest word only, which finds every title with all its words while
-    frequent words never join; names with the same words are looked up once.
-    """
-    t = titles.select("title").distinct().withColumn("_words", tokens("title")).filter(F.size("_words") > 0)
-    by_word = t.select("title", "_words", F.explode("_words").alias("_word"))
-    frequency = by_word.groupBy("_word").agg(F.count(F.lit(1)).alias("_df"))
-    e = entities.select("id", F.sort_array(tokens("name")).alias("_query")).filter(F.size("_query") > 0)
-    queries = e.select("_query").distinct()
-    known = queries.select("_query", F.explode("_query").alias("_word")).join(frequency, "_word", "left")
-    rarest = known.groupBy("_query").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("n"), "_word")).alias("_r")).filter("_r.n > 0")
-    hits = rarest.select("_query", F.col("_r._word").alias("_word")).join(by_word, "_word").filter(F.size(F.array_except("_query", "_words")) == 0)
-    scored = hits.select("_query", "title", (F.size("_query") / F.size("_words")).alias("score"))
-    w = W.partitionBy("_query").orderBy(F.desc("score"), "title")
-    top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return e.join(top, "_query").select("id", "title", "score", "rank")
+# Title matching ----------------------------------------------------------------------------------
 
 
 # Titles of works are not candidates for artists.
@@ -136,13 +110,52 @@ RULES = {
 }
 
 
+# Items that one automaton looks for; a page with more of them is read once for each such share of them.
+ITEMS_AT_ONCE = 50_000
+
+
+def _found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(title, item) of every item that occurs in the page of its row: one automaton of all its items, one pass over the text."""
+    import ahocorasick
+
+    for batch in batches:
+        titles, found = [], []
+        for title, page, items in zip(*[batch.column(c) for c in ("title", "page", "items")], strict=True):
+            automaton = ahocorasick.Automaton()
+            wanted = items.as_py()
+            for i, item in enumerate(wanted):
+                automaton.add_word(item, i)
+            automaton.make_automaton()
+            hit: set[int] = set()
+            for _, i in automaton.iter(page.as_py()):
+                hit.add(i)
+                if len(hit) == len(wanted):
+                    break
+            titles += [title.as_py()] * len(hit)
+            found += [wanted[i] for i in hit]
+        yield pa.RecordBatch.from_arrays([pa.array(titles, pa.string()), pa.array(found, pa.string())], names=["title", "_item"])
+
+
+def items_on_pages(wanted: DataFrame, pages: DataFrame, at_once: int = ITEMS_AT_ONCE) -> DataFrame:
+    """Distinct (title, _item) of ``wanted`` whose item occurs in a page of that title (``title``, ``page``).
+
+    All items looked for in a page travel to it as arrays of ``at_once`` or fewer, so the text of a page is joined and read once, however
+    many entities and items it is a candidate for. Empty items occur nowhere.
+    """
+    wanted = wanted.select("title", "_item").filter("_item <> ''").distinct()
+    # The shares follow from the number of items of a title; nearly every title has one.
+    shares = wanted.groupBy("title").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("_shares"))
+    shared = wanted.join(shares, "title").groupBy("title", F.pmod(F.xxhash64("_item"), F.col("_shares")).alias("_share")).agg(F.collect_list("_item").alias("items"))
+    rows = pages.select("title", "page").join(shared.select("title", "items"), "title")
+    return rows.mapInArrow(_found_in, "title string, _item string").distinct()
+
+
 def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, titles: DataFrame, rule: MentionRule) -> DataFrame:
     """(id, title, n_titles, n_found, ratio, first_found, accepted) per candidate page.
 
     ``entities`` is (id, name), ``candidates`` (id, title), ``pages`` (title, page) and ``titles``
-    (id, name). The page text is joined only to titles of entities that are candidates for it,
-    and only counts and the first three names leave the join. A title that several pages share
-    counts each item once.
+    (id, name). A page is searched once for all titles of all its candidates; only the pairs found
+    leave it. A title that several pages share counts each item once.
     """
     own = entities.select("id", F.col("name").alias("_own"), mangle_name("name").alias("_self"))
     t = titles.select("id", F.col("name").alias("item")).distinct().join(own, "id").withColumn("_item", mangle_name("item"))
@@ -150,20 +163,15 @@ def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, title
     if rule.drop_short:
         t = t.filter(F.length("_item") > rule.min_length)
     totals = t.groupBy("id", "_own").agg(F.count(F.lit(1)).alias("n_titles")).filter(F.col("n_titles") >= rule.min_titles)
-    # one row without title per entity keeps candidate pages that mention nothing
-    none = totals.select("id", F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("_item"))
-    looked_for = t.filter(F.length("_item") > rule.min_length).select("id", "item", "_item").unionByName(none)
-    hits = (
-        candidates.select("id", "title").distinct()
-        .join(looked_for, "id")
-        .join(pages.select("title", "page"), "title")
-        .filter(F.col("_item").isNull() | F.col("page").contains(F.col("_item")))
-        .select("id", "title", "item").distinct()
-    )
-    found = hits.groupBy("id", "title").agg(F.count("item").alias("n_found"))
-    first = note_list(hits.filter("item IS NOT NULL"), ["id", "title"], "item", 3).withColumnRenamed("notes", "first_found")
+    pairs = candidates.select("id", "title").distinct()
+    looked_for = pairs.join(t.filter(F.length("_item") > rule.min_length).select("id", "item", "_item"), "id")
+    hits = looked_for.join(items_on_pages(looked_for, pages), ["title", "_item"]).select("id", "title", "item")
+    found = hits.groupBy("id", "title").agg(F.count(F.lit(1)).alias("n_found"))
+    first = note_list(hits, ["id", "title"], "item", 3).withColumnRenamed("notes", "first_found")
     rows = (
-        found.join(totals, "id").join(first, ["id", "title"], "left")
+        pairs.join(pages.select("title").distinct(), "title", "left_semi").join(totals, "id")
+        .join(found, ["id", "title"], "left").join(first, ["id", "title"], "left")
+        .withColumn("n_found", F.coalesce("n_found", F.lit(0)))
         .withColumn("ratio", F.col("n_found") / F.col("n_titles"))
     )
     accepted = F.col("n_found") >= rule.min_found
@@ -260,11 +268,16 @@ def match_artists(worklist: DataFrame, pages: DataFrame, titles: DataFrame, lang
     return _proposal(first_accepted(rows, candidates), worklist, lang, rule)
 
 
+def label_mentions(worklist: DataFrame, pages: DataFrame, artists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(mention rows, candidates) of labels: pages about record labels that have the label's name."""
+    candidates = match_titles(worklist, pages, skip=())
+    good = usable_pages(candidate_pages(pages, candidates), "label")
+    return mentions(worklist, candidates, good, artists, RULES["label"]), candidates
+
+
 def match_labels(worklist: DataFrame, pages: DataFrame, artists: DataFrame, lang: str = "en") -> DataFrame:
     """(gid, url, note): the page of each label on the worklist (id, gid, name)."""
-    pages = in_language(pages, lang)
-    candidates = match_titles(worklist, pages, skip=())
-    rows = mentions(worklist, candidates, usable_pages(candidate_pages(pages, candidates), "label"), artists, RULES["label"])
+    rows, candidates = label_mentions(worklist, in_language(pages, lang), artists)
     return _proposal(first_accepted(rows, candidates), worklist, lang, RULES["label"])
 
 
@@ -273,14 +286,18 @@ AUTO_RATIO = 0.75
 NOT_AUTO = ("Compilation", "Soundtrack")
 
 
-def match_release_groups(worklist: DataFrame, pages: DataFrame, tracks: DataFrame, lang: str) -> DataFrame:
-    """(gid, url, note, auto): the album page of each release group (id, gid, name, credit_name, type_name)."""
-    pages = in_language(pages, lang)
+def release_group_mentions(worklist: DataFrame, pages: DataFrame, tracks: DataFrame, lang: str) -> tuple[DataFrame, DataFrame]:
+    """(mention rows with ``auto``, candidates) of release groups: album pages with the group's name that also mention its artist."""
     candidates = match_titles(worklist, pages, skip=())
     good = usable_pages(candidate_pages(pages, candidates), "release_group").filter(is_album_page("text", lang))
-    credit = worklist.select("id", mangle_name("credit_name").alias("_credit"))
-    on_page = candidates.join(credit, "id").join(good.select("title", "page"), "title").filter(F.col("page").contains(F.col("_credit"))).select("id", "title")
-    rows = mentions(worklist, on_page, good, tracks, RULES["release_group"])
+    credit = candidates.join(worklist.select("id", mangle_name("credit_name").alias("_item")), "id")
+    credited = credit.join(items_on_pages(credit, good), ["title", "_item"], "left_semi").select("id", "title").unionByName(credit.filter("_item = ''").select("id", "title"))
+    rows = mentions(worklist, credited, good, tracks, RULES["release_group"])
     auto = (F.col("ratio") > AUTO_RATIO) & ~F.coalesce(F.col("type_name").isin(*NOT_AUTO), F.lit(False))
-    rows = rows.join(worklist.select("id", "type_name"), "id").withColumn("auto", auto).drop("type_name")
+    return rows.join(worklist.select("id", "type_name"), "id").withColumn("auto", auto).drop("type_name"), candidates
+
+
+def match_release_groups(worklist: DataFrame, pages: DataFrame, tracks: DataFrame, lang: str) -> DataFrame:
+    """(gid, url, note, auto): the album page of each release group (id, gid, name, credit_name, type_name)."""
+    rows, candidates = release_group_mentions(worklist, in_language(pages, lang), tracks, lang)
     return _proposal(first_accepted(rows, candidates), worklist, lang, RULES["release_group"], with_artist=True)

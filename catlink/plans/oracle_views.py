@@ -145,3 +145,12 @@ def oracle(sql: str) -> str:
         return own
     head = "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in order)
     return f"{head},\n{own[5:]}" if own.startswith("WITH ") else f"{head}\n{own}"
+
+
+def ratio(a: str, b: str) -> str:
+    """Twice the longest common subsequence over both lengths, by the plain dynamic programme: one row of cells for each letter of ``b``."""
+    cell = "greatest(row_[i_], CASE WHEN same_[i_] = 1 THEN coalesce(row_[i_ - 1], 0) + 1 ELSE 0 END)"
+    same = f"list_transform(string_split({b}, ''), lambda y_: list_transform(string_split({a}, ''), lambda x_: CASE WHEN x_ = y_ THEN 1 ELSE 0 END))"
+    step = f"list_transform(range(1, len(same_) + 1), lambda j_: CAST(list_max(list_transform(range(1, j_ + 1), lambda i_: {cell})) AS INTEGER))"
+    start = f"list_transform(string_split({a}, ''), lambda x_: 0)"
+    return f"(2.0 * list_last(list_reduce({same}, lambda row_, same_: {step}, {start})) / (length({a}) + length({b})))"

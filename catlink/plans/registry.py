@@ -12,6 +12,7 @@ from catlink import session
 from catlink.config import Catalog, Sites
 from catlink.functions import wikitext
 from catlink.operators import catalog as prep, evidence, links
+from catlink.operators.wiki import search
 from catlink.plans import shapes
 from catlink.sources import dictionaries
 
@@ -36,7 +37,7 @@ class _Views(Catalog):
 # Views with joins or aggregations of their own, kept as tables like a catalog's real ones.
 STORED = {
     "line", "a_url", "a_l_artist_artist", "b_releases_labels", "b_masters_artists", "b_releases_artists", "b_tracks_artists", "b_tracks_extraartists",
-    "b_releases_extraartists", "w_page", "w_artist", "w_title",
+    "b_releases_extraartists", "w_page", "w_page_fr", "w_artist", "w_title",
 }
 
 
@@ -114,6 +115,14 @@ class Ctx:
         pages = self.view("w_page").select(F.col("doc_id").cast("string").alias("_id"), "text")
         return self.keep("parsed_pages", pages.select(*wikitext.page_struct("_id", "text", "en")))
 
+    @cached_property
+    def parsed_french_pages(self) -> DataFrame:
+        return self.keep("parsed_french_pages", self.view("w_page_fr").select(*wikitext.page_struct("title", "text", "fr"), "doc_id"))
+
+    @cached_property
+    def title_index(self) -> search.TitleIndex:
+        return search.build_index(self.view("w_page"))
+
     @cached_property
     def countries(self) -> DataFrame:
         return prep.country_mapping(dictionaries.country_names(self.spark), self.a.country)

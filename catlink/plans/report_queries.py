@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catlink.config import VINYL_FORMATS
+from catlink.operators import links
 from catlink.plans.oracle_views import enc
 from catlink.plans.registry import SITES, Registry
 from catlink.reports import artists, coverage, images, info, structure
@@ -90,13 +91,6 @@ def track_alignment(c):
     return structure.track_alignment(c.a, c.b, SITES).drop("note")
 
 
-@Q.add(None)
-def structure_report(c):
-    """The whole text report; its parts are checked one by one and the texts in the tests."""
-    r = structure.structure_report(c.a, c.b, SITES)
-    return r.select("release_id", "release_gid", "status", F.md5("note").alias("note"))
-
-
 _POS = f"SELECT release_id, position, rn FROM ({_BT})"
 
 
@@ -114,17 +108,70 @@ def release_credit_tracks(c):
     return structure.release_credit_rows(c.b)
 
 
-@Q.add(f"""WITH own AS (SELECT t.release_id, t.id AS track_id, l.gid, x.artist_name || CASE WHEN x.anv = '' THEN '' ELSE ' credited as ' || x.anv END AS artist,
+_TRACK_CREDITS = f"""WITH own AS (SELECT t.release_id, t.id AS track_id, l.gid, x.artist_name || CASE WHEN x.anv = '' THEN '' ELSE ' credited as ' || x.anv END AS artist,
       x.role_name || CASE WHEN x.role_details IS NULL THEN '' ELSE ' [' || x.role_details || ']' END AS role, t.position
       FROM b_track t JOIN b_tracks_extraartists x ON x.track_id = t.id LEFT JOIN bl_artist l ON l.id = x.artist_id WHERE t.position <> ''),
     cov AS (SELECT t.release_id, t.id AS track_id, c.gid, c.artist, c.role, t.position FROM ({_CREDIT_TRACKS}) c JOIN b_track t ON t.release_id = c.release_id AND t.position = c.position WHERE c.position <> '')
     SELECT *, count(*) AS n FROM (SELECT * FROM own WHERE track_id IN (SELECT track_id FROM own WHERE gid IS NOT NULL)
-      UNION ALL SELECT * FROM cov WHERE track_id IN (SELECT track_id FROM cov WHERE gid IS NOT NULL)) GROUP BY ALL""")
+      UNION ALL SELECT * FROM cov WHERE track_id IN (SELECT track_id FROM cov WHERE gid IS NOT NULL)) GROUP BY ALL"""
+
+
+@Q.add(_TRACK_CREDITS)
 def track_credits(c):
     rows = structure.track_credits(c.b)
     return rows.groupBy("release_id", "track_id", "gid", "artist", "role", "position").agg(F.count(F.lit(1)).alias("n"))
 
 
+_LINKED = "(SELECT r.id AS release_id, r.title, l.gid AS release_gid FROM b_release r LEFT JOIN (SELECT DISTINCT id, gid FROM bl_release) l ON l.id = r.id)"
+_PEOPLE = "(SELECT e.entity1 AS entity, p.gid, p.name, k.phrase FROM a_l_artist_%s e JOIN a_artist p ON p.id = e.entity0 LEFT JOIN phrase k ON k.link = e.link)"
+_A_CREDIT = f"'    ' || coalesce(x.phrase, '') || ': ' || x.name || ' - {A}artist/' || x.gid || {CRLF}"
+_B_CREDIT = f"'    ' || coalesce(x.role, '') || ': ' || x.artist || coalesce(' - {A}artist/' || x.gid, '') || {CRLF}"
+_TIME = "CASE WHEN x.%s IS NULL THEN '' ELSE ' (' || CAST(x.%s // 60000 AS VARCHAR) || ':' || lpad(CAST(x.%s // 1000 %% 60 AS VARCHAR), 2, '0') || ')' END"
+
+
+def _time(c: str) -> str:
+    return _TIME % (c, c, c)
+
+
+_SIDES = f"""(SELECT r.release_id, r.release_gid, t.rn, x.recording, x.recording_gid, rec.name AS recording_name, rec.length AS recording_length, tr.name AS track_name, tr.length AS track_length, tr.number
+    FROM {_LINKED} r JOIN ({_BT}) t ON t.release_id = r.release_id JOIN ({_AT}) x ON x.release_gid = r.release_gid AND x.rn = t.rn JOIN a_recording rec ON rec.id = x.recording
+    JOIN a_release ar ON ar.gid = r.release_gid JOIN a_medium m ON m.release = ar.id JOIN a_track tr ON tr.tracklist = m.tracklist AND tr.recording = x.recording)"""
+_WORKS = f"(SELECT DISTINCT s.release_id, s.release_gid, s.rn, w.id AS work, w.gid AS work_gid, w.name AS work_name FROM {_SIDES} s JOIN a_l_recording_work e ON e.entity0 = s.recording JOIN a_work w ON w.id = e.entity1)"
+_LINES = f"""SELECT release_id, release_gid, 1 AS section, 0 AS row_number, 0 AS part, '' AS place, 'Tracks / Recordings and works:' || {CRLF} || title || ' - {B}release/' || release_id || {CRLF} AS line FROM {_LINKED} r
+    UNION ALL SELECT r.release_id, r.release_gid, 1, 0, 1, '', {_B_CREDIT} FROM {_LINKED} r JOIN ({_CREDIT_TRACKS}) x ON x.release_id = r.release_id WHERE x.position = ''
+    UNION ALL SELECT r.release_id, r.release_gid, 1, 0, 2, '', a.name || ' - {A}release/' || a.gid || {CRLF} FROM {_LINKED} r JOIN a_release a ON a.gid = r.release_gid
+    UNION ALL SELECT DISTINCT r.release_id, r.release_gid, 1, 0, 3, '', {_A_CREDIT} FROM {_LINKED} r JOIN a_release a ON a.gid = r.release_gid JOIN {_PEOPLE % 'release'} x ON x.entity = a.id
+    UNION ALL SELECT r.release_id, r.release_gid, 2, x.rn, 0, '', coalesce(x.position, '') || '. ' || coalesce(x.title, '') || CASE WHEN coalesce(x.duration, '') = '' THEN '' ELSE ' (' || x.duration || ')' END || ' - B track' || {CRLF}
+      FROM {_LINKED} r JOIN ({_BT}) x ON x.release_id = r.release_id
+    UNION ALL SELECT r.release_id, r.release_gid, 2, t.rn, 1, '', {_B_CREDIT} FROM {_LINKED} r JOIN ({_BT}) t ON t.release_id = r.release_id JOIN (SELECT *, unnest(range(n)) FROM ({_TRACK_CREDITS})) x ON x.track_id = t.track_id
+    UNION ALL SELECT release_id, release_gid, 2, rn, 2, '', CASE WHEN track_name <> recording_name OR track_length <> recording_length THEN number || '. ' || track_name || {_time('track_length')} || ' - A track' || {CRLF} ELSE '' END
+      || number || '. ' || recording_name || {_time('recording_length')} || ' - {A}recording/' || recording_gid || {CRLF} FROM {_SIDES} x
+    UNION ALL SELECT DISTINCT s.release_id, s.release_gid, 2, s.rn, 3, '', {_A_CREDIT} FROM {_SIDES} s JOIN {_PEOPLE % 'recording'} x ON x.entity = s.recording
+    UNION ALL SELECT release_id, release_gid, 2, rn, 4, work_gid || '/0', '    Work: ' || work_name || ' - {A}work/' || work_gid || {CRLF} FROM {_WORKS}
+    UNION ALL SELECT DISTINCT s.release_id, s.release_gid, 2, s.rn, 4, s.work_gid || '/1', {_A_CREDIT} FROM {_WORKS} s JOIN {_PEOPLE % 'work'} x ON x.entity = s.work"""
+
+
+@Q.add(_LINES)
+def structure_lines(c):
+    """Releases, tracks, recordings and works with their credits, line by line."""
+    return structure.structure_lines(c.a, c.b, SITES, links.link_phrases(c.a)).filter("section > 0")
+
+
+@Q.add(f"""SELECT r.release_id, r.release_gid, md5(string_agg(line, '' ORDER BY section, row_number, part, place, line)) AS note FROM ({_LINES}) r GROUP BY ALL""")
+def structure_text(c):
+    """The part of each report that is not checks or information, as one text."""
+    report = structure.structure_report(c.a, c.b, SITES, links.link_phrases(c.a))
+    at = F.instr("note", "Tracks / Recordings and works:")
+    return report.select("release_id", "release_gid", F.md5(F.substr("note", at)).alias("note"))
+
+
+@Q.add(None)
+def structure_report(c):
+    """The whole text report; its parts are checked one by one and the texts in the tests."""
+    r = structure.structure_report(c.a, c.b, SITES, links.link_phrases(c.a))
+    return r.select("release_id", "release_gid", "status", F.md5("note").alias("note"))
+
+
 @Q.add(f"""WITH u AS (SELECT * FROM al_release WHERE edits_pending = 0 AND gid IN (SELECT gid FROM al_release GROUP BY gid HAVING count(url) = 1) AND url IN (SELECT url FROM al_release GROUP BY url HAVING count(gid) = 1)),
     img AS (SELECT l.gid, l.id, i.height, i.width, i.type, 'http://img.example/' || i.uri AS url FROM u JOIN a_release_meta m ON m.id = u.id AND m.amazon_asin IS NULL AND m.cover_art_presence = 'absent'
       JOIN bl_release l ON l.gid = u.gid JOIN b_releases_images x ON x.release_id = l.id JOIN b_image i ON i.id = x.image_id AND (i.type = 'primary' OR (i.height >= 500 AND i.width >= 500)))

@@ -150,6 +150,7 @@ _view("a_l_artist_release", """
 SELECT t AS id, s + 1 AS entity0, o AS entity1, CASE p % 3 WHEN 0 THEN 300 WHEN 1 THEN 601 ELSE 301 END AS link, 0 AS edits_pending
 FROM line WHERE n <= 3 AND p % 2 = 0""")
 _view("a_l_artist_recording", "SELECT t AS id, s + 1 AS entity0, t AS entity1, 1530 AS link, 0 AS edits_pending FROM line WHERE p % 12 = 0")
+_view("a_l_artist_work", "SELECT p_partkey AS id, 1 + p_partkey % 7 AS entity0, p_partkey AS entity1, 301 AS link, 0 AS edits_pending FROM part WHERE p_partkey % 8 = 0")
 _view("a_tag", "SELECT * FROM (VALUES (1, 'improper b link'), (2, 'rock')) AS v(id, name)")
 _view("a_artist_tag", "SELECT id AS artist, CASE WHEN id % 12 = 0 THEN 1 ELSE 2 END AS tag FROM a_artist WHERE id % 6 = 0")
 _view("a_release_group_type", "SELECT * FROM (VALUES (1, 'Album'), (2, 'Single'), (3, 'EP'), (4, 'Soundtrack'), (5, 'Interview')) AS v(id, name)")
@@ -271,13 +272,36 @@ SELECT CASE WHEN d.doc_id % 9 = 8 THEN 'Other ' || CAST(d.doc_id AS STRING) ELSE
     || d.text || chr(10)
     || CASE WHEN d.doc_id % 11 = 0 THEN '{{disambig}}' ELSE '' END
     || CASE d.doc_id % 6 WHEN 0 THEN '[[Category:French male singers|X]]' WHEN 1 THEN '[[Category:Singers from Texas]]' WHEN 2 THEN '[[Category:Female musicians]]' ELSE '' END
+    || CASE WHEN d.doc_id % 10 IN (1, 3) THEN '[[Category:Record labels]]' ELSE '' END
     || CASE d.doc_id % 8 WHEN 0 THEN '[[Category:1960 births]]' WHEN 1 THEN '[[Category:Musical groups established in 1970]]' WHEN 2 THEN '[[Category:Rock albums]]' ELSE '' END AS text,
   d.lang AS lang, d.doc_id AS doc_id
 FROM documents AS d JOIN w_artist AS a ON a.id = d.doc_id + 3""")
+# Titles of an artist: every line of its document, a benchmark text, works that no page mentions, and one with its own name.
 _view("w_title", " UNION ALL ".join(
-    [f"SELECT doc_id + 3 AS id, substr(text, {20 * j}, 14) AS name FROM documents WHERE doc_id % 7 < 5" for j in (1, 2, 3)]
+    ["SELECT DISTINCT doc_id + 3 AS id, trim(line) AS name FROM (SELECT doc_id, unnest(split(text, chr(10))) AS line FROM documents) AS l WHERE trim(line) <> ''",
+     "SELECT 3 + item_id % (SELECT count(*) FROM documents) AS id, text AS name FROM benchmark"]
     + [f"SELECT doc_id + 3, 'Unknown work {j} ' || CAST(doc_id AS STRING) FROM documents WHERE doc_id % 4 >= {j} - 2" for j in (1, 2, 3, 4, 5)]
+    + [f"SELECT doc_id + 3, 'Lost work {j} ' || CAST(doc_id AS STRING) FROM documents WHERE doc_id % 3 = 1" for j in range(1, 31)]
     + ["SELECT id, 'Best of ' || name FROM w_artist"]))
+_view("w_group", """
+SELECT id, 'g-' || CAST(id AS STRING) AS gid, name, CASE WHEN id % 6 = 1 THEN 'Nobody At All' ELSE 'Persón' END AS credit_name,
+  CASE id % 5 WHEN 0 THEN 'Compilation' WHEN 1 THEN 'Soundtrack' WHEN 2 THEN NULL ELSE 'Album' END AS type_name FROM w_artist""")
+_FRENCH_MONTH = "CASE doc_id % 12 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate("janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split())) + " END"
+_view("w_page_fr", f"""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Jean Durand ' WHEN 1 THEN 'Marie-Claire Petit ' WHEN 2 THEN 'Anne Petit ' ELSE 'Zork Petit ' END || CAST(doc_id AS STRING) AS title,
+  CASE WHEN doc_id % 2 = 0 THEN '{{{{Infobox Musique (artiste)' ELSE '{{{{Infobox Musique classique (personnalité)' END || ' <!-- x -->' || chr(10)
+    || '| nom = Persón {{{{nobr|a {{{{b|c=' || CAST(doc_id AS STRING) || '}}}}' || chr(10) || '| label = faux}}}}' || chr(10) || '| label = un' || chr(10) || '| Label = deux {{{{x|y}}}}' || chr(10)
+    || CASE doc_id % 5 WHEN 0 THEN '| charte = vocal' WHEN 1 THEN '| charte = groupe' ELSE '| charte = x' END || chr(10)
+    || CASE WHEN doc_id % 3 = 0 THEN '| naissance = {{{{Date de naissance|7|' || {_FRENCH_MONTH} || '|1950}}}}' ELSE '| style = rock' END || chr(10)
+    || CASE WHEN doc_id % 6 = 0 THEN '| décès = {{{{Date de décès|1|août|2001}}}}' ELSE '| site = rien' END || chr(10)
+    || CASE doc_id % 4 WHEN 0 THEN '| pays origine = [[France]]' WHEN 1 THEN '| pays origine = [[Belgique|belge]]' ELSE '| autre = 1' END || chr(10)
+    || '}}}}' || chr(10) || 'Persón de [[' || CASE WHEN doc_id % 7 = 0 THEN 'Canada' ELSE 'Nulle part' END || ']].' || chr(10) || chr(10) || text || chr(10)
+    || CASE doc_id % 6 WHEN 0 THEN '[[Catégorie:Chanteur français]]' WHEN 1 THEN '[[Catégorie:Chanteuse belge]]' WHEN 2 THEN '[[Catégorie:Groupe de rock]]' ELSE '' END
+    || CASE doc_id % 8 WHEN 0 THEN '[[Catégorie:Naissance en 1960]]' WHEN 1 THEN '[[Catégorie:Décès en 1999]]' WHEN 2 THEN '[[Catégorie:Groupe de musique formé en 1971]]' ELSE '' END
+    || CASE WHEN doc_id % 9 = 0 THEN chr(10) || '{{{{Métadonnées personne' || chr(10) || '| NOM = N' || CAST(doc_id AS STRING) || chr(10) || '| DATE DE NAISSANCE = 1944' || chr(10) || '| DATE DE DÉCÈS = 12 March 1990' || chr(10) || '}}}}' ELSE '' END AS text
+FROM documents""")
+_view("w_name_lines", "SELECT name || chr(9) || gender AS value FROM (VALUES ('# names', 'x'), ('Jean', 'male'), ('Marie', 'female'), ('Anne ', ' female'), ('', 'male')) AS v(name, gender)")
+_view("w_place_lines", "SELECT name || chr(9) || code AS value FROM (VALUES ('# titles', 'x'), ('France', 'FR'), ('Belgique', 'BE'), ('Canada', 'CA'), ('Allemagne', 'DE')) AS v(name, code)")
 _view("w_place", "SELECT * FROM (VALUES ('France', 'FR'), ('Canada', 'CA'), ('Germany', 'DE')) AS v(name, code)")
 
 
@@ -316,5 +340,6 @@ def view(spark: SparkSession, folder: str, name: str, stored: dict[str, str] | N
     bodies = {v: f"SELECT * FROM parquet.`{stored[v]}`" if v in stored else VIEWS[v] for v in views}
     text = " ".join([name, *bodies.values()])
     base = [b for b in BASE if re.search(rf"(?<![a-z_`/]){b}(?![a-z_./])", text)]
-    parts = [f"{n} AS ({q})" for n, q in {**base_tables(base, folder), **bodies}.items()]
+    # The one function that the two engines name differently.
+    parts = [f"{n} AS ({q})" for n, q in {**base_tables(base, folder), **{v: q.replace("unnest(", "explode(") for v, q in bodies.items()}}.items()]
     return spark.sql("WITH " + ",\n".join(parts) + f"\nSELECT * FROM {name}")

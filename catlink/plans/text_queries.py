@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catlink import schemas, session
 from catlink.functions import similarity, titlecase, urls, wikitext
 from catlink.functions import text as X
 from catlink.functions.titlecase import EXTRA_TITLE_INFO, SMALL_WORDS
-from catlink.operators import state
+from catlink.operators import catalog as prep, state
 from catlink.operators.keys import joined_text, note_list, partners
-from catlink.plans.oracle_views import catno, enc, key, mangle, quote, strip
+from catlink.plans.oracle_views import catno, enc, key, mangle, quote, ratio, strip
 from catlink.plans.registry import Registry
 from catlink.sources import dictionaries, feeds, tables
 
@@ -184,9 +185,9 @@ def iswc_format(c):
         F.col("p_partkey").alias("k"), X.format_iswc(raw).alias("iswc"), urls.rights_search_url("p_partkey", "i", "http://rights.example").alias("url"))
 
 
-@Q.add(None)
+@Q.add(f"SELECT k, round({ratio('a', 'b')}, 9) AS ratio FROM (SELECT p_partkey AS k, p_name AS a, lower(concat_ws(' ', p_type, p_brand)) AS b FROM part)")
 def similarity_ratio(c):
-    """Similarity of each part's name to its type and size text; checked against brute force in the tests."""
+    """Similarity of each part's name to its type and size text."""
     other = F.lower(F.concat_ws(" ", "p_type", "p_brand"))
     return c.view("part").select(F.col("p_partkey").alias("k"), F.round(similarity.ratio("p_name", other), 9).alias("ratio"))
 
@@ -265,17 +266,79 @@ def _albums(c):
     return feeds.parse_albums(c.view("orders").join(tracks, "o_orderkey", "left").select(F.to_json(doc).alias("doc")))
 
 
-@Q.add("""SELECT 'store:' || CAST(o AS VARCHAR) AS _id, 'mediums.0.track.' || CAST(j - 1 AS VARCHAR) || '.length' AS key,
-    CAST((p % 300) // 60 AS VARCHAR) || ':' || lpad(CAST((p % 300) % 60 AS VARCHAR), 2, '0') AS value
-    FROM (SELECT o, p, row_number() OVER (PARTITION BY o ORDER BY n, 'Track ' || CAST(p AS VARCHAR), p % 300) AS j FROM line)
-    UNION ALL SELECT 'store:' || CAST(o_orderkey AS VARCHAR), 'date.year', CAST(year(o_orderdate) AS VARCHAR) FROM orders
-    UNION ALL SELECT 'store:' || CAST(o_orderkey AS VARCHAR), 'labels.0.name', 'Label' FROM orders WHERE o_orderkey % 2 = 0
-    UNION ALL SELECT 'store:' || CAST(o_orderkey AS VARCHAR), 'edit_note', 'http://store.example/cd/' || CAST(o_orderkey AS VARCHAR) FROM orders""")
+_NUMBERED = "(SELECT o, p, n, row_number() OVER (PARTITION BY o ORDER BY n, 'Track ' || CAST(p AS VARCHAR), p % 300) - 1 AS j FROM line)"
+
+
+def _form_row(key: str, value: str, source: str = "orders", order: str = "o_orderkey", where: str = "true") -> str:
+    return f"SELECT 'store:' || CAST({order} AS VARCHAR) AS _id, {key} AS key, CAST({value} AS VARCHAR) AS value FROM {source} WHERE {where}"
+
+
+@Q.add(" UNION ALL ".join([
+    *[_form_row(f"'mediums.0.track.' || CAST(j AS VARCHAR) || '.{k}'", v, _NUMBERED, "o") for k, v in (
+        ("position", "n"), ("name", "'Track ' || CAST(p AS VARCHAR)"), ("length", "CAST((p % 300) // 60 AS VARCHAR) || ':' || lpad(CAST((p % 300) % 60 AS VARCHAR), 2, '0')"))],
+    *[_form_row(f"'{k}'", v) for k, v in (
+        ("artist_credit.names.0.artist.name", "'Artist ' || CAST(o_custkey AS VARCHAR)"), ("artist_credit.names.0.name", "'Artist ' || CAST(o_custkey AS VARCHAR)"), ("name", "o_orderpriority"),
+        ("date.year", "strftime(o_orderdate, '%Y')"), ("date.month", "strftime(o_orderdate, '%m')"), ("date.day", "strftime(o_orderdate, '%d')"),
+        ("edit_note", "'http://store.example/cd/' || CAST(o_orderkey AS VARCHAR)"), ("mediums.0.format", "'CD'"), ("mediums.0.position", "1"))],
+    _form_row("'labels.0.name'", "'Label'", where="o_orderkey % 2 = 0")]))
 def album_form(c):
-    from catlink.operators.catalog import album_form as form
+    return prep.album_form(_albums(c), "http://store.example/cd/")
+
+
+_ARTIST_MBID = "CASE WHEN o_custkey % 3 = 0 THEN 'm-' || CAST(o_custkey AS VARCHAR) END"
+
+
+def _store_artists(c):
+    known = c.view("orders").filter("o_custkey % 3 = 0").select(F.col("o_custkey").cast("string").alias("k")).distinct()
+    return known.select(F.concat(F.lit("store:"), "k").alias("_id"), F.concat(F.lit("m-"), "k").alias("mbid"))
+
+
+@Q.add(f"SELECT 'store:' || CAST(o_orderkey AS VARCHAR) AS _id, {_ARTIST_MBID} AS artist_mbid, 'album' AS type FROM orders")
+def reused_artist_ids(c):
+    return prep.reuse_artist_ids(_albums(c), _store_artists(c), "store:").select("_id", "artist_mbid", "type")
+
 
-    rows = form(_albums(c), "http://store.example/cd/")
-    return rows.filter(F.col("key").isin("date.year", "labels.0.name", "edit_note") | F.col("key").rlike(r"^mediums\.0\.track\.\d+\.length$"))
+@Q.add("SELECT DISTINCT 'store:' || CAST(o_custkey AS VARCHAR) AS _id, 'Artist ' || CAST(o_custkey AS VARCHAR) AS name FROM orders WHERE o_custkey % 3 <> 0")
+def new_store_artists(c):
+    artists = _store_artists(c)
+    return prep.new_artists(prep.reuse_artist_ids(_albums(c), artists, "store:"), artists, "store:")
+
+
+@Q.add("""SELECT 'store:' || CAST(o_orderkey AS VARCHAR) AS _id, CASE WHEN o_orderkey % 5 = 0 THEN 'r-' || CAST(o_orderkey AS VARCHAR) END AS mbid, (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0) OR o_orderkey % 5 = 0 AS imported FROM orders""")
+def imported_albums(c):
+    """Every seventh album has no status at all and counts as not imported."""
+    ran = c.view("orders").filter("o_orderkey % 5 = 0").select(F.col("o_orderkey").cast("string").alias("k"))
+    albums = _albums(c).withColumn("status", F.when(F.col("cdbaby_id").cast("long") % 7 != 0, F.col("status")))
+    rows = prep.mark_imported(albums, ran.select(F.concat(F.lit("store:"), "k").alias("_id"), F.concat(F.lit("r-"), "k").alias("mbid")))
+    return rows.select("_id", "mbid", "status.imported")
+
+
+@Q.add("SELECT 'store:' || CAST(o_orderkey AS VARCHAR) AS _id, o_orderpriority AS title, false AS imported FROM orders WHERE o_orderkey % 2 <> 0")
+def stored_new_albums(c):
+    """Each album comes on two pages of different titles; albums of even numbers are stored already."""
+    pages = _albums(c).drop("_id", "status")
+    twice = pages.unionByName(pages.withColumn("title", F.concat("title", F.lit(" 2"))))
+    stored = c.view("orders").filter("o_orderkey % 2 = 0").select(F.concat(F.lit("store:"), F.col("o_orderkey").cast("string")).alias("_id"))
+    return prep.store_new(twice, stored, "store:").select("_id", "title", "status.imported")
+
+
+@Q.add("""SELECT x.release_id, x.role_name, r.release_link_type, r.release_link_type_name, r.link_attribute_name FROM (SELECT DISTINCT release_id, role_name FROM b_releases_extraartists) x
+    JOIN roles r ON r.credit = x.role_name""")
+def roles_from_file(c):
+    """Credits by the role dictionary as it is read from its file, which is written here first."""
+    roles = c.view("roles")
+    path = session.stored_path(c.spark, "role-file")
+    every = [F.col(f).cast("string") if f in roles.columns else F.lit(None).cast("string") for f in schemas_of_roles()]
+    roles.select(*[F.coalesce(x, F.lit("\\N")) for x in every]).write.option("sep", "\t").option("quote", "").csv(path)
+    read = dictionaries.read_roles(c.spark, path)
+    credits = c.b.releases_extraartists.select("release_id", F.col("role_name")).distinct()
+    joined = credits.join(read, credits.role_name == read.credit)
+    return joined.select("release_id", "role_name", "release_link_type", "release_link_type_name", "link_attribute_name")
+
+
+def schemas_of_roles() -> list[str]:
+    """Column names of a role file, in order."""
+    return [part.split()[0] for part in schemas.ROLES.split(",")]
 
 
 @Q.add("""SELECT k, artist, k + 10 AS artist_id, p_name || CASE WHEN k % 3 = 2 THEN ' (feat. Guest)' ELSE '' END AS album, CASE WHEN k % 5 <> 0 THEN k END AS album_id,
@@ -323,12 +386,10 @@ def store_albums(c):
 
 @Q.add("""SELECT CAST(page_id AS VARCHAR) AS cdbaby_id, 'store:' || CAST(page_id AS VARCHAR) AS _id FROM pages WHERE page_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)""")
 def new_store_albums(c):
-    from catlink.operators.catalog import new_albums
-
     link = F.concat(F.lit('<a class="overlay-link" href="/cd/'), F.col("page_id").cast("string"), F.lit('">x</a>'), "html")
     listed = feeds.listing_ids(c.view("pages").select(link.alias("html")))
     stored = c.view("orders").filter("o_orderkey % 2 = 0").select(F.concat(F.lit("store:"), F.col("o_orderkey").cast("string")).alias("_id"))
-    return new_albums(listed, stored, "store:")
+    return prep.new_albums(listed, stored, "store:")
 
 
 @Q.add("""SELECT CAST(p_partkey AS VARCHAR) AS artist, p_name AS name, lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS ipicode FROM part WHERE p_partkey % 3 <> 0""")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catlink.config import LINK_TYPE
-from catlink.operators.wiki import facts, matching, worklists
+from catlink.operators.wiki import facts, matching, search, worklists
 from catlink.plans.oracle_views import mangle
 from catlink.plans.registry import Registry
+from catlink.sources import dictionaries
 from catlink.sources.dictionaries import demonyms
 
 Q = Registry()
@@ -65,13 +66,26 @@ def artists_lacking_data(c):
 # Titles ---------------------------------------------------------------------------------------------
 
 _TOKENS = "list_distinct(regexp_extract_all(lower(%s), '[\\p{L}\\p{N}_]+'))"
+_SCORES = f"""WITH q AS (SELECT DISTINCT list_sort({_TOKENS % 'name'}) AS query FROM w_artist), t AS (SELECT DISTINCT title, {_TOKENS % 'title'} AS words FROM w_page),
+    p AS (SELECT title, unnest(words) AS word FROM t), df AS (SELECT word, CAST(round(1000 * ln(1 + (SELECT count(*) FROM t WHERE len(words) > 0) / count(*))) AS BIGINT) AS weight FROM p GROUP BY word),
+    tw AS (SELECT title, sum(weight) AS title_weight FROM p JOIN df USING (word) GROUP BY title), qp AS (SELECT query, unnest(query) AS word FROM q),
+    qw AS (SELECT query, sum(coalesce(weight, 20000)) AS weight FROM qp LEFT JOIN df USING (word) GROUP BY query),
+    c AS (SELECT query, title, sum(df.weight) AS common, count(*) AS n FROM qp JOIN p USING (word) JOIN df USING (word) GROUP BY query, title),
+    s AS (SELECT query, title, n, common / (qw.weight + title_weight - common) AS score FROM c JOIN qw USING (query) JOIN tw USING (title)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, title) AS rank FROM s WHERE %s)
+    SELECT a.id, r.title, r.score, r.rank FROM w_artist a JOIN r ON r.query = list_sort({_TOKENS % 'a.name'})"""
 
 
-@Q.add(f"""WITH q AS (SELECT id, {_TOKENS % 'name'} AS words FROM w_artist), t AS (SELECT DISTINCT title, {_TOKENS % 'title'} AS words FROM w_page)
-    SELECT id, title, score, rank FROM (SELECT q.id, t.title, len(q.words) / len(t.words) AS score, row_number() OVER (PARTITION BY q.id ORDER BY len(q.words) / len(t.words) DESC, t.title) AS rank
-      FROM q JOIN t ON list_has_all(t.words, q.words)) WHERE rank <= 50""")
+@Q.add(_SCORES % "true" + " WHERE rank <= 50")
 def title_search(c):
-    return matching.search_titles(c.view("w_artist"), c.view("w_page"), 50)
+    """The 50 best titles for each name, any word sufficing."""
+    return search.search_titles(c.view("w_artist"), c.title_index)
+
+
+@Q.add(_SCORES % "n >= 2")
+def title_search_two_words(c):
+    """All titles that share two or more words with a name, ranked."""
+    return search.search_titles(c.view("w_artist"), c.title_index, None, 2)
 
 
 def _match_sql(skip: bool) -> str:
@@ -130,13 +144,6 @@ def best_candidate(c):
     return matching.first_accepted(rows, candidates).select("id", "title")
 
 
-@Q.add(_MENTIONS + """ SELECT w.gid, r.n_found FROM r JOIN w_artist w ON w.id = r.id WHERE n_found / n_titles >= CASE WHEN length(own) > 15 THEN 0.15 ELSE 0.3 END AND w.country IN ('FR', 'MC')""")
-def country_gate(c):
-    """Accepted pages whose artist comes from a country of the French encyclopedia."""
-    rows = _artist_mentions(c)[0].filter("accepted").join(c.view("w_artist").select("id", "gid", "country"), "id")
-    return matching.country_gate(rows.withColumn("page_country", F.lit(None).cast("string")), "fr").select("gid", "n_found")
-
-
 _JA = f"""WITH names AS (SELECT id, name, {mangle('name')} AS k FROM w_artist), cand AS ({_match_sql(True)}),
     item AS (SELECT DISTINCT t.id, t.name, {mangle('t.name')} AS m FROM w_title t JOIN names n ON n.id = t.id WHERE NOT contains({mangle('t.name')}, n.k)),
     r AS (SELECT c.id, c.title, (SELECT count(*) FROM item i WHERE i.id = c.id) AS n, (SELECT count(*) FROM item i WHERE i.id = c.id AND length(i.m) > 4 AND contains(p.page, i.m)) AS k
@@ -151,31 +158,60 @@ def mention_ratio_japanese(c):
     return rows.select("id", "title", "n_titles", "n_found", "accepted")
 
 
-@Q.add(f"""WITH names AS (SELECT id, name, {mangle('name')} AS k FROM w_artist), cand AS ({_match_sql(False)}),
-    pg AS (SELECT title, {mangle('text')} AS page FROM w_page),
-    item AS (SELECT DISTINCT t.id, t.name, {mangle('t.name')} AS m FROM w_title t JOIN names n ON n.id = t.id WHERE t.name <> n.name),
-    r AS (SELECT c.id, c.title, (SELECT count(*) FROM item i WHERE i.id = c.id) AS n, (SELECT count(*) FROM item i WHERE i.id = c.id AND length(i.m) > 5 AND contains(p.page, i.m)) AS k
-      FROM cand c JOIN pg p ON p.title = c.title)
-    SELECT id, title, n AS n_titles, k AS n_found, k >= 2 AS accepted FROM r WHERE n > 0""")
+def _plain_mentions(entities: str, pages: str, drop: str, item_filter: str, counts: str) -> str:
+    """Candidates with the number of their titles, and of those on the page, by plain containment."""
+    return f"""WITH names AS (SELECT id, name, {mangle('name')} AS k FROM {entities}), cand AS ({_match_sql(False).replace('w_artist', entities)}), pg AS ({pages}),
+    item AS (SELECT DISTINCT t.id, t.name, {mangle('t.name')} AS m FROM w_title t JOIN names n ON n.id = t.id WHERE {drop} AND {item_filter}),
+    r AS (SELECT c.id, c.title, c.exact, (SELECT count(*) FROM item i WHERE i.id = c.id) AS n, (SELECT count(*) FROM item i WHERE i.id = c.id AND {counts} AND contains(p.page, i.m)) AS k,
+        (SELECT list_sort(list(i.name)) FROM item i WHERE i.id = c.id AND {counts} AND contains(p.page, i.m)) AS found, p.page FROM cand c JOIN pg p ON p.title = c.title)"""
+
+
+def _note(kind: str, lead: str, n: str = "k") -> str:
+    """The note of a proposal: up to three names, then how many more."""
+    names = [f"found[{i}]" for i in (1, 2, 3)]
+    quoted = ["'\"' || " + x + " || '\"'" for x in names]
+    return (f"'Matched based on the name. The page mentions ' || {lead}CASE {n} WHEN 1 THEN '{kind} ' || {quoted[0]} WHEN 2 THEN '{kind}s ' || {quoted[0]} || ' and ' || {quoted[1]} "
+            f"WHEN 3 THEN '{kind}s ' || {quoted[0]} || ', ' || {quoted[1]} || ' and ' || {quoted[2]} "
+            f"ELSE '{kind}s ' || {quoted[0]} || ', ' || {quoted[1]} || ', ' || {quoted[2]} || ' and ' || CAST({n} - 3 AS VARCHAR) || ' more' END || '.'")
+
+
+_URL = "'http://en.wikipedia.org/wiki/' || replace(url_encode(replace(b.title, ' ', '_')), '%2F', '/') AS url"
+_BEST = "best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY NOT exact, title) AS rn FROM r WHERE %s) WHERE rn = 1)"
+_LABEL_PAGES = f"SELECT title, {mangle('text')} AS page FROM w_page WHERE contains({mangle('text')}, 'recordlabels') AND NOT contains({mangle('text')}, 'disambiguationpages') AND %s"
+_LABELS = _plain_mentions("w_artist", _LABEL_PAGES, "t.name <> n.name", "true", "length(i.m) > 5")
+
+
+@Q.add(_LABELS % "true" + " SELECT id, title, n AS n_titles, k AS n_found, k >= 2 AS accepted FROM r WHERE n > 0")
 def mention_count_label(c):
-    """The label rule over all pages, as none of the texts is about record labels."""
-    people, pages = c.view("w_artist"), c.view("w_page")
-    texts = pages.select("title", matching.mangle_name("text").alias("page"))
-    rows = matching.mentions(people, matching.match_titles(people, pages, skip=()), texts, c.view("w_title"), matching.RULES["label"])
+    rows = matching.label_mentions(c.view("w_artist"), c.view("w_page"), c.view("w_title"))[0]
     return rows.select("id", "title", "n_titles", "n_found", "accepted")
 
 
-@Q.add(f"""WITH names AS (SELECT id, name, {mangle('name')} AS k FROM w_artist), cand AS ({_match_sql(False)}),
-    pg AS (SELECT title, {mangle('text')} AS page FROM w_page),
-    item AS (SELECT DISTINCT t.id, t.name, {mangle('t.name')} AS m FROM w_title t JOIN names n ON n.id = t.id WHERE NOT contains({mangle('t.name')}, n.k) AND length({mangle('t.name')}) > 4),
-    r AS (SELECT c.id, c.title, (SELECT count(*) FROM item i WHERE i.id = c.id) AS n, (SELECT count(*) FROM item i WHERE i.id = c.id AND contains(p.page, i.m)) AS k
-      FROM cand c JOIN pg p ON p.title = c.title)
-    SELECT id, title, n AS n_titles, k AS n_found, k / n >= 0.7 AS accepted FROM r WHERE n >= 5""")
+@Q.add(_LABELS % "lang = 'en'" + ", " + _BEST % "n > 0 AND k >= 2" + f" SELECT a.gid, {_URL}, md5({_note('artist', '')}) AS note FROM best b JOIN w_artist a ON a.id = b.id")
+def label_page_proposals(c):
+    found = matching.match_labels(c.view("w_artist"), c.view("w_page"), c.view("w_title"))
+    return found.withColumn("note", F.md5("note"))
+
+
+_ALBUM_PAGES = f"""SELECT title, {mangle('text')} AS page FROM w_page WHERE NOT contains(title, 'disambiguation') AND NOT contains(lower(text), '{{{{disambig')
+    AND regexp_matches(text, '\\[\\[Category:[^\\]]* (albums|soundtracks)\\]\\]') AND NOT contains({mangle('text')}, 'redirect') AND NOT contains({mangle('text')}, 'disambiguationpages')
+    AND NOT contains({mangle('text')}, 'homonymie') AND %s"""
+_GROUPS = _plain_mentions("w_group", _ALBUM_PAGES, f"NOT contains({mangle('t.name')}, n.k)", f"length({mangle('t.name')}) > 4", "true")
+_GROUP_RULE = f"n >= 5 AND contains(page, (SELECT {mangle('g.credit_name')} FROM w_group g WHERE g.id = r.id))"
+_AUTO = "k / n > 0.75 AND coalesce(g.type_name NOT IN ('Compilation', 'Soundtrack'), true) AS auto"
+
+
+@Q.add(_GROUPS % "lang = 'en'" + f" SELECT r.id, title, n AS n_titles, k AS n_found, k / n >= 0.7 AS accepted, {_AUTO} FROM r JOIN w_group g ON g.id = r.id WHERE {_GROUP_RULE}")
 def mention_ratio_release_group(c):
-    people, pages = c.view("w_artist"), c.view("w_page")
-    texts = pages.select("title", matching.mangle_name("text").alias("page"))
-    rows = matching.mentions(people, matching.match_titles(people, pages, skip=()), texts, c.view("w_title"), matching.RULES["release_group"])
-    return rows.select("id", "title", "n_titles", "n_found", "accepted")
+    rows = matching.release_group_mentions(c.view("w_group"), matching.in_language(c.view("w_page"), "en"), c.view("w_title"), "en")[0]
+    return rows.select("id", "title", "n_titles", "n_found", "accepted", "auto")
+
+
+@Q.add(_GROUPS % "lang = 'en'" + ", " + _BEST % f"{_GROUP_RULE} AND k / n >= 0.7" + f""" SELECT g.gid, {_URL}, md5({_note('track', "'artist \"' || g.credit_name || '\" and ' || ")}) AS note, {_AUTO}
+    FROM best b JOIN w_group g ON g.id = b.id""")
+def release_group_page_proposals(c):
+    found = matching.match_release_groups(c.view("w_group"), c.view("w_page"), c.view("w_title"), "en")
+    return found.select("gid", "url", F.md5("note").alias("note"), "auto")
 
 
 @Q.add(_MENTIONS.replace("w_page", "(SELECT * FROM w_page WHERE lang = 'en')") + """, best AS (SELECT id, title, n_found, found FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY NOT exact, title) AS rn FROM r
@@ -227,6 +263,20 @@ def page_country(c):
     return facts.country(_pages(c), facts.place_dictionary(c.view("w_place")), "en").select("title", "country")
 
 
+_COUNTRY_SQL = Q["page_country"].oracle
+_COUNTRY_OF = f"SELECT p.title, min(k.country) AS page_country FROM ({_COUNTRY_SQL}) k JOIN w_page p ON CAST(p.doc_id AS VARCHAR) = k.title GROUP BY p.title"
+
+
+@Q.add(_MENTIONS + f""" SELECT w.gid, r.n_found, k.page_country FROM r JOIN w_artist w ON w.id = r.id LEFT JOIN ({_COUNTRY_OF}) k ON k.title = r.title
+    WHERE n_found / n_titles >= CASE WHEN length(own) > 15 THEN 0.15 ELSE 0.3 END AND (w.country IN ('FR', 'MC') OR k.page_country IN ('FR', 'MC'))""")
+def country_gate(c):
+    """Accepted pages whose text or artist is of a country of the French encyclopedia."""
+    rows = _artist_mentions(c)[0].filter("accepted").join(c.view("w_artist").select("id", "gid", "country"), "id")
+    places = facts.country(_pages(c), facts.place_dictionary(c.view("w_place")), "en").select(F.col("title").alias("k"), "country")
+    titled = c.view("w_page").select("title", F.col("doc_id").cast("string").alias("k")).join(places, "k").groupBy("title").agg(F.min("country").alias("page_country"))
+    return matching.country_gate(rows.join(titled, "title", "left"), "fr").select("gid", "n_found", "page_country")
+
+
 _PRONOUN = "len(regexp_extract_all(text, '(?i)\\b(?:%s)\\b'))"
 
 
@@ -263,26 +313,84 @@ def performance_names(c):
     return facts.performance_names(c.a)
 
 
-@Q.add("""WITH country AS (SELECT CAST(doc_id AS VARCHAR) AS title, CASE WHEN doc_id % 2 = 0 THEN 'FR' ELSE 'US' END AS c FROM documents),
-    f AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 5 END AS country, CASE WHEN doc_id % 3 = 0 THEN 1 END AS type,
-      CASE WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN 1 WHEN doc_id % 5 = 1 AND doc_id % 8 <> 1 THEN 2 WHEN doc_id % 8 = 1 THEN 2 END AS new_type,
-      CASE WHEN doc_id % 4 <> 0 THEN CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 0 END END AS new_country FROM documents),
-    t AS (SELECT id, country, type, new_country, CASE WHEN type IS NULL AND id % 5 = 0 AND id % 8 = 1 THEN NULL ELSE new_type END AS nt FROM f)
-    SELECT id, coalesce(country, new_country) AS country, nt AS type, CASE WHEN nt = 1 THEN CASE WHEN id % 3 = 0 THEN 1950 WHEN id % 8 = 0 THEN 1960 END WHEN nt = 2 AND id % 8 = 1 THEN 1970 END AS begin_date_year,
-      array_to_string(list_filter([CASE WHEN country IS NULL THEN 'country' END, CASE WHEN type IS NULL AND nt IS NOT NULL THEN 'type' END,
-        CASE WHEN (nt = 1 AND (id % 3 = 0 OR id % 8 = 0)) OR (nt = 2 AND id % 8 = 1) THEN 'begin_date' END], lambda x: x IS NOT NULL), ',') AS updated
-    FROM t WHERE country IS NULL OR (type IS NULL AND nt IS NOT NULL) OR (nt = 1 AND (id % 3 = 0 OR id % 8 = 0)) OR (nt = 2 AND id % 8 = 1)""")
+@Q.add(f"""WITH ctry AS ({Q["page_country"].oracle}), gen AS ({Q["page_gender"].oracle}),
+    f AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 5 END AS country, CASE WHEN doc_id % 3 = 0 THEN 1 END AS type, CASE WHEN doc_id % 2 = 1 THEN 1 END AS gender, k.id AS new_country,
+      CASE g.gender WHEN 'male' THEN 1 WHEN 'female' THEN 2 END AS new_gender, CASE WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN 1 WHEN doc_id % 5 = 1 OR doc_id % 8 = 1 THEN 2 END AS new_type
+      FROM documents LEFT JOIN ctry c ON c.title = CAST(doc_id AS VARCHAR) LEFT JOIN gen g ON g.title = CAST(doc_id AS VARCHAR) LEFT JOIN a_country k ON k.iso_code = c.country),
+    t AS (SELECT *, CASE WHEN type IS NULL AND id % 5 = 0 AND id % 8 = 1 THEN NULL ELSE new_type END AS nt FROM f),
+    u AS (SELECT *, country IS NULL AND new_country IS NOT NULL AS sc, type IS NULL AND nt IS NOT NULL AS st, gender IS NULL AND coalesce(nt, 0) = 1 AND new_gender IS NOT NULL AS sg,
+      (coalesce(nt, 0) = 1 AND (id % 3 = 0 OR id % 8 = 0)) OR (coalesce(nt, 0) = 2 AND id % 8 = 1) AS sb FROM t)
+    SELECT id, coalesce(country, new_country) AS country, nt AS type, CASE WHEN sg THEN new_gender ELSE gender END AS gender,
+      CASE WHEN nt = 1 THEN CASE WHEN id % 3 = 0 THEN 1950 WHEN id % 8 = 0 THEN 1960 END WHEN nt = 2 AND id % 8 = 1 THEN 1970 END AS begin_date_year,
+      array_to_string(list_filter([CASE WHEN sc THEN 'country' END, CASE WHEN st THEN 'type' END, CASE WHEN sg THEN 'gender' END, CASE WHEN sb THEN 'begin_date' END], lambda x: x IS NOT NULL), ',') AS updated
+    FROM u WHERE sc OR st OR sg OR sb""")
 def filled_artist_data(c):
-    """Gaps of one artist per page; the country facts are given, genders are left aside."""
+    """Gaps of one artist per page, filled with what its page says of country, type, gender and dates."""
     i = F.col("doc_id")
     none = F.lit(None).cast("int")
     people = c.view("documents").select(
         i.alias("id"), F.concat(F.lit("d-"), i.cast("string")).alias("gid"), F.lit("u").alias("url"), i.cast("string").alias("title"),
-        F.when(i % 4 == 0, 5).alias("country"), F.when(i % 3 == 0, 1).alias("type"), F.lit(1).alias("gender"),
+        F.when(i % 4 == 0, 5).alias("country"), F.when(i % 3 == 0, 1).alias("type"), F.when(i % 2 == 1, 1).alias("gender"),
         *[none.alias(f"{w}_date_{p}") for w in ("begin", "end") for p in ("year", "month", "day")])
     pages = _pages(c)
-    country = c.view("documents").select(i.cast("string").alias("title"), F.when(i % 2 == 0, "FR").otherwise("US").alias("country"), F.array(F.lit("given")).alias("reasons"))
+    places = facts.country(pages, facts.place_dictionary(c.view("w_place")), "en")
     ids = c.a.country.select(F.lower("iso_code").alias("key"), F.col("id").alias("value"))
-    genders = pages.limit(0).select("title", F.lit("").alias("gender"), F.array(F.lit("")).alias("reasons"))
-    rows = facts.fill_artist_data(people, country, genders, facts.artist_type(pages, "en"), facts.dates(pages, "en"), ids, ids.limit(0))
-    return rows.select("id", "country", "type", "begin_date_year", F.array_join("updated", ",").alias("updated"))
+    genders = c.spark.createDataFrame([("male", 1), ("female", 2)], "key string, value int")
+    rows = facts.fill_artist_data(people, places, facts.gender(pages, "en"), facts.artist_type(pages, "en"), facts.dates(pages, "en"), ids, genders)
+    return rows.select("id", "country", "type", "gender", "begin_date_year", F.array_join("updated", ",").alias("updated"))
+
+
+# French pages ----------------------------------------------------------------------------------------------
+
+_FR_NOM = "'Persón {{nobr|a {{b|c=' || doc_id || '}}' || chr(10) || '| label = faux}}'"
+
+
+@Q.add(f"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Musique (artiste)' ELSE 'Musique classique (personnalité)' END AS kind, {_FR_NOM} AS nom, 'deux {{{{x|y}}}}' AS label,
+    CASE doc_id % 5 WHEN 0 THEN 'vocal' WHEN 1 THEN 'groupe' ELSE 'x' END AS charte, CASE WHEN doc_id % 9 = 0 THEN 'N' || doc_id END AS name, CASE WHEN doc_id % 9 = 0 THEN '1944' END AS born,
+    CASE WHEN doc_id % 9 = 0 THEN '12 March 1990' END AS died, 'Persón de [[' || CASE WHEN doc_id % 7 = 0 THEN 'Canada' ELSE 'Nulle part' END || ']].' AS abstract FROM documents""")
+def french_page_parts(c):
+    """Infobox with templates two deep, person data with its field names in English, and the first paragraph."""
+    def f(source, n):
+        return F.try_element_at(source, F.lit(n))
+
+    return c.parsed_french_pages.select(
+        "doc_id", f("infobox", "_type").alias("kind"), f("infobox", "nom").alias("nom"), f("infobox", "label").alias("label"), f("infobox", "charte").alias("charte"),
+        f("persondata", "name").alias("name"), f("persondata", "date of birth").alias("born"), f("persondata", "date of death").alias("died"), "abstract")
+
+
+_FR_CATEGORY = """SELECT doc_id, 'FR' AS code FROM documents WHERE doc_id % 6 = 0 UNION ALL SELECT doc_id, 'BE' FROM documents WHERE doc_id % 6 = 1"""
+_FR_TITLE = "CASE doc_id % 4 WHEN 0 THEN 'Jean Durand ' WHEN 1 THEN 'Marie-Claire Petit ' WHEN 2 THEN 'Anne Petit ' ELSE 'Zork Petit ' END || doc_id AS title"
+
+
+@Q.add(f"""WITH k AS ({_FR_CATEGORY}), every AS (SELECT * FROM k UNION ALL SELECT doc_id, 'FR' FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT doc_id, 'BE' FROM documents WHERE doc_id % 4 = 1
+      UNION ALL SELECT doc_id, 'CA' FROM documents WHERE doc_id % 7 = 0)
+    SELECT {_FR_TITLE}, min(code) AS country FROM every WHERE doc_id IN (SELECT doc_id FROM k) GROUP BY doc_id HAVING count(DISTINCT code) = 1""")
+def page_country_french(c):
+    places = facts.place_dictionary(dictionaries.named_codes(c.view("w_place_lines")))
+    return facts.country(c.parsed_french_pages, places, "fr").select("title", "country")
+
+
+@Q.add(f"""WITH v AS (SELECT doc_id, {_PRONOUN % 'il'} AS m, {_PRONOUN % 'elle'} AS f FROM w_page_fr),
+    g AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'male' ELSE 'female' END AS g FROM documents WHERE doc_id % 4 < 3
+      UNION ALL SELECT doc_id, 'male' FROM documents WHERE doc_id % 6 = 0 UNION ALL SELECT doc_id, 'female' FROM documents WHERE doc_id % 6 = 1
+      UNION ALL SELECT doc_id, 'male' FROM v WHERE m > 2 AND f = 0 UNION ALL SELECT doc_id, 'female' FROM v WHERE f > 2 AND m = 0)
+    SELECT {_FR_TITLE}, min(g) AS gender FROM g GROUP BY doc_id HAVING count(DISTINCT g) = 1""")
+def page_gender_french(c):
+    """Given names come from lines of a names file; of a compound name the first part counts."""
+    names = dictionaries.named_codes(c.view("w_name_lines")).withColumnRenamed("code", "gender")
+    return facts.gender(c.parsed_french_pages, "fr", names).select("title", "gender")
+
+
+@Q.add(f"""WITH t AS (SELECT doc_id, 'person' AS t FROM documents WHERE doc_id % 5 = 0 OR doc_id % 9 = 0 UNION ALL SELECT doc_id, 'group' FROM documents WHERE doc_id % 5 = 1 OR doc_id % 6 = 2 OR doc_id % 8 = 2)
+    SELECT {_FR_TITLE}, min(t) AS type FROM t GROUP BY doc_id HAVING count(DISTINCT t) = 1""")
+def page_type_french(c):
+    return facts.artist_type(c.parsed_french_pages, "fr").select("title", "type")
+
+
+@Q.add(f"""SELECT {_FR_TITLE}, CASE WHEN doc_id % 9 = 0 THEN 1944 WHEN doc_id % 3 = 0 THEN 1950 WHEN doc_id % 8 = 0 THEN 1960 END AS begin_year, CASE WHEN doc_id % 9 <> 0 AND doc_id % 3 = 0 THEN 1 + doc_id % 12 END AS begin_month,
+    CASE WHEN doc_id % 9 <> 0 AND doc_id % 3 = 0 THEN 7 END AS begin_day, CASE WHEN doc_id % 9 = 0 THEN 1990 WHEN doc_id % 6 = 0 THEN 2001 WHEN doc_id % 8 = 1 THEN 1999 END AS end_year,
+    CASE WHEN doc_id % 9 = 0 THEN 3 WHEN doc_id % 6 = 0 THEN 8 END AS end_month, CASE WHEN doc_id % 9 = 0 THEN 12 WHEN doc_id % 6 = 0 THEN 1 END AS end_day, CASE WHEN doc_id % 8 = 2 THEN 1971 END AS group_year FROM documents""")
+def page_dates_french(c):
+    """Dates of birth and death from person data, then from the infobox, then from categories."""
+    d = facts.dates(c.parsed_french_pages, "fr")
+    return d.select("title", *[F.col(f"person_{w}.{p}").alias(f"{w}_{p}") for w in ("begin", "end") for p in ("year", "month", "day")], F.col("group_begin.year").alias("group_year"))

@@ -381,3 +381,23 @@ def titles(lines: DataFrame, lang: str | None = None) -> DataFrame:
 
 def read_titles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return titles(spark.read.text(list(paths)).select("value", F.col("_metadata.file_name").alias("file")))
+
+
+def named_codes(lines: DataFrame) -> DataFrame:
+    """Lines ``name<TAB>value`` -> (name, code), both trimmed: page titles of countries, or given names with their gender.
+
+    Blank lines and lines that begin with ``#`` are skipped.
+    """
+    parts = F.split(F.regexp_replace("value", r"[\r\n]+\z", ""), "\t")
+    rows = lines.filter(~F.col("value").startswith("#")).select(F.trim(parts[0]).alias("name"), F.trim(F.try_element_at(parts, F.lit(2))).alias("code"))
+    return rows.filter("name <> '' AND code <> ''").distinct()
+
+
+def read_country_titles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(name, code) of the country pages of one encyclopedia."""
+    return named_codes(spark.read.text(list(paths)))
+
+
+def read_name_genders(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(name, gender) of the given names of one language."""
+    return named_codes(spark.read.text(list(paths))).withColumnRenamed("code", "gender")

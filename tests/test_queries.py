@@ -34,7 +34,7 @@ def test_contract(spark):
     built, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(built) and len(built) > 150
     core = set(queries.ALL)
-    assert core <= set(built) and {n for n in core if n not in sql} == {"similarity_ratio", "structure_report"}
+    assert core <= set(built) and {n for n in core if n not in sql} == {"structure_report"}
     df = entry_module.entry(spark)
     assert df.count() > 0 and df.columns == ["gid", "url", "note", "score"]
 
@@ -48,10 +48,11 @@ def test_similarity_query_against_brute_force(spark):
 
 
 def test_structure_report_text(spark):
+    from catlink.operators.links import link_phrases
     from catlink.reports.structure import structure_report
 
     c = queries.Ctx.of(spark, DATA)
-    rows = structure_report(c.a, c.b, c.sites)
+    rows = structure_report(c.a, c.b, c.sites, link_phrases(c.a)).cache()
     one = rows.filter("release_gid IS NOT NULL AND note IS NOT NULL").orderBy("release_id").first()
     note = one.note
     parts = ["Release: \r\n", "Labels: \r\n", "Artists: \r\n", "Release information", "Tracks / Recordings and works:\r\n"]

@@ -104,23 +104,6 @@ def test_name_resolution(spark):
     assert tables.resolve_name(entity, names).collect()[0].asDict() == {"id": 1, "name": "Ten", "gid": "g"}
 
 
-def test_materialised_views(spark):
-    spark.createDataFrame([(1,)], "i int").createOrReplaceTempView("mv_source")
-    views = links.MaterialisedViews(spark, "mv_registry")
-    views.create("mv_a", "mv_source")
-    with pytest.raises(ValueError):
-        views.create("mv_a", "mv_source")
-    first = spark.table("mv_registry").first().last_refresh
-    spark.createDataFrame([(1,), (2,)], "i int").createOrReplaceTempView("mv_source")
-    assert views.table("mv_a").count() == 1
-    views.refresh("mv_a")
-    assert views.table("mv_a").count() == 2 and spark.table("mv_registry").first().last_refresh >= first
-    views.drop("mv_a")
-    for call in (views.refresh, views.drop, views.table):
-        with pytest.raises(ValueError):
-            call("mv_a")
-
-
 def test_materialise_uses_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     df = session.materialise(spark.range(3).withColumn("x", F.lit("a")), "t")

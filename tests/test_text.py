@@ -1,12 +1,14 @@
 import random
 import re
+import time
 import unicodedata
 import urllib.parse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from catlink.functions import similarity, text as X, titlecase, urls, wikitext
+from catlink.functions import markup, similarity, text as X, titlecase, urls, wikitext
 
 
 def py_unaccent(s):
@@ -174,3 +176,42 @@ def test_long_pages_do_not_overflow(column):
     big = "{{Infobox person\n| a = " + "x" * 200000 + "\n| b = " + "{{t}} " * 3000 + "}} text " + "-<" * 300
     assert column(lambda c: F.length(wikitext.remove_markup(c)), [big]) == [6 + 600]
     assert column(lambda c: F.size(wikitext.infobox(c, "en")), [big]) == [3]
+
+
+def test_markup_of_many_rows_and_long_pages(spark, column):
+    rnd = random.Random(8)
+    parts = ["{{", "}}", "<!--", "-->", "a", "é", "{", "}", "-", "<", ">", "!", " ", "漢"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(500)] + [None]
+    assert [None if x is None else x.decode() for x in markup.without_markup(pa.array(texts))] == [None if t is None else py_remove_markup(t) for t in texts]
+    page = "{{a|" + "x {{b}} y" * 25_000 + "}} rest " + "w" * 800_000
+    start = time.time()
+    assert markup.without_markup(pa.array([page]))[0].decode() == " rest " + "w" * 800_000
+    assert time.time() - start < 1
+
+
+def test_nested_templates():
+    head = re.compile(r"\{\{Infobox (person|musical artist)")
+    text = ("{{Infobox person <!-- x -->\n| a = {{x|{{y|\nb = no}}|c=no}} z\n| b = 1\n| B = 2\n|c\n| {{d|e=f}}\n| g = h = i\r\n|k=}} {{Infobox person|a=late}}")
+    assert markup.template(text, head) == ("person", {"a": "{{x|{{y|\nb = no}}|c=no}} z", "b": "2", "g": "h = i", "k": ""})
+    assert markup.template("{{Infobox person|a=1 {{Infobox musical artist|b=2}} open", head) == ("musical artist", {"b": "2"})
+    assert markup.template("{{Infobox person}}", head) == ("person", {}) and markup.template("{{Infobox person|a=1", head) is None and markup.template(None, head) is None
+    start = time.time()
+    assert len(markup.template("{{Infobox person\n" + "".join(f"| k{i} = {{{{v|{i}}}}}\n" for i in range(50_000)) + "}}", head)[1]) == 50_000
+    assert markup.template("{{Infobox person" * 50_000, head) is None and time.time() - start < 3
+
+
+def test_longest_common_subsequence_of_long_strings(spark):
+    rnd = random.Random(9)
+    pairs = [("".join(rnd.choice("abcdefgh") for _ in range(n)), "".join(rnd.choice("abcdefgh") for _ in range(m))) for n, m in ((63, 64), (64, 65), (128, 129), (200, 300), (1, 500), (0, 5))]
+    df = spark.createDataFrame([*pairs, (None, "a"), ("a", None)], "a string, b string").select(similarity.lcs_length("a", "b").alias("n"))
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b, 1):
+                new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+            row = new
+        return row[-1]
+
+    assert [r.n for r in df.collect()] == [*[plain(a, b) for a, b in pairs], None, None]

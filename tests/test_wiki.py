@@ -1,20 +1,66 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from catlink.functions import wikitext
-from catlink.operators.wiki import facts, matching
+from catlink.operators.wiki import facts, matching, search
 
 
 def pages(spark, items, lang="en"):
     return spark.createDataFrame(items, "t string, x string").select(*wikitext.page_struct("t", "x", lang))
 
 
-def test_title_search_finds_all_words(spark):
+def brute_search(names, titles, k, least=1):
+    """All titles that share a word, by the score of the search module's docstring."""
+    words = {t: set(re.findall(r"\w+", t.lower())) for t in titles}
+    words = {t: w for t, w in words.items() if w}
+    df = Counter(w for ws in words.values() for w in ws)
+    weight = {w: round(1000 * math.log(1 + len(words) / n)) for w, n in df.items()}
+    out = set()
+    for i, name in names:
+        q = set(re.findall(r"\w+", name.lower()))
+        total = sum(weight.get(w, 20000) for w in q)
+        scored = []
+        for t, ws in words.items():
+            common = sum(weight[w] for w in q & ws)
+            if len(q & ws) >= least:
+                scored.append((-common / (total + sum(weight[w] for w in ws) - common), t))
+        out |= {(i, t, r + 1) for r, (_, t) in enumerate(sorted(scored)[:k])}
+    return out
+
+
+def test_title_search_ranks_by_any_word(spark):
     e = spark.createDataFrame([(1, "The Band"), (2, "the the"), (3, "!!!"), (4, "Unknown Words"), (5, "band the")], "id int, name string")
-    t = spark.createDataFrame([("The Band",), ("The Band (album)",), ("Band",), ("The Other",), ("The The (band)",)], "title string")
+    titles = ["The Band", "The Band (album)", "Band", "The Other", "The The (band)", "???", "Words"]
+    index = search.build_index(spark.createDataFrame([(t,) for t in titles], "title string"), 2)
     got = {}
-    for r in matching.search_titles(e, t, 2).orderBy("id", "rank").collect():
+    for r in search.search_titles(e, index, 2).orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.title)
-    assert got == {1: ["The Band", "The The (band)"], 2: ["The Band", "The Other"], 5: ["The Band", "The The (band)"]}
+    assert got == {1: ["The Band", "The The (band)"], 2: ["The Band", "The The (band)"], 4: ["Words"], 5: ["The Band", "The The (band)"]}
+
+
+@pytest.mark.parametrize(("k", "depth", "least"), [(3, 3, 1), (2, 5, 1), (4, 4, 2), (None, 3, 1), (None, 3, 2)])
+def test_title_search_equals_scoring_everything(spark, k, depth, least):
+    draw = random.Random(5)
+    common, rare = ["the", "band", "of", "new"], [f"w{i}" for i in range(25)]
+    titles = sorted({" ".join(draw.sample(common, draw.randint(0, 3)) + draw.sample(rare, draw.randint(0, 2))) for _ in range(400)})
+    names = [(i, " ".join(draw.sample(common, draw.randint(0, 3)) + draw.sample(rare, draw.randint(0, 2)) + (["zz"] if i % 9 == 0 else []))) for i in range(120)]
+    index = search.build_index(spark.createDataFrame([(t,) for t in titles], "title string"), depth)
+    rows = search.search_titles(spark.createDataFrame(names, "id int, name string"), index, k, least).collect()
+    assert {(r.id, r.title, r.rank) for r in rows} == brute_search([n for n in names if n[1]], titles, k, least)
+
+
+def test_items_on_pages_in_shares(spark):
+    pages = spark.createDataFrame([("p", "abcabd é"), ("p", "xyz"), ("q", ""), ("r", "bc")], "title string, page string")
+    wanted = [(t, i) for t in ("p", "q", "r", "none") for i in ("abc", "bc", "abd", "cab", "é", "zz", "", "xy", "a", "abcabd é!")]
+    df = spark.createDataFrame(wanted, "title string, _item string")
+    for at_once in (1, 3, 100):
+        got = {tuple(r) for r in matching.items_on_pages(df, pages, at_once).collect()}
+        assert got == {("p", i) for i in ("abc", "bc", "abd", "cab", "é", "xy", "a")} | {("r", "bc")}
 
 
 def test_title_match(spark):
