@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,23 +21,125 @@ from pyspark.sql import DataFrame, functions as F
 
 from catlink.llm.common import in_batches, ragged
 
-CACHE = 100_000
-"""Pieces that a worker remembers in each of two generations; the older one is forgotten when the younger is full."""
+CACHE = 200_000
+"""Words that a worker remembers in each of two generations; the older one is forgotten when the younger is full."""
 LONG = 64
-"""Characters of the longest word or piece that is remembered."""
-WORD = re.compile("[^ \\t\\n\\r]+")
+"""Characters of the longest word that is remembered."""
+STEP = 1 << 18
+"""Words that are looked up at a time."""
+BLOCK = 1 << 20
+"""Characters of a text that are cut into words at a time, up to the next white space."""
+WIDE = 64
+"""Leaves of the trees that are worked on side by side; longer pieces have one each."""
+AT_ONCE = 1 << 14
+"""Trees that are worked on side by side."""
 SHORT = 4096
-"""Symbols up to which a piece is held in lists, which are faster, and not in arrays of eight bytes an entry."""
+"""Symbols up to which the tree of a single piece is held in lists, which are faster, and not in arrays of eight bytes an entry."""
+WORD = re.compile("[^ \\t\\n\\r]+")
+BLANK = re.compile("[ \\t\\n\\r]")
+OTHER_SPACE = re.compile(r"\s")
+_NEAR = 7
+_FAR = 1 << 40
 _NONE = (1 << 62) - 1
 _PLACE = 32
 _PLACES = (1 << _PLACE) - 1
 
 
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte: itself where it is printable, or else one of the signs from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class Merges:
-    """Merging of the symbols of one piece: ``pairs`` gives (rank, merged id) of (left id << 32 | right id)."""
+    """Merging of the symbols of pieces.
 
-    def __init__(self, pairs: dict[int, tuple[int, int]]):
-        self.pairs = pairs
+    ``pairs`` gives (rank, merged id) of (left id << 32 | right id), ``inner`` and ``last`` the id of each byte within a piece and at its end.
+    """
+
+    def __init__(self, pairs: dict[int, tuple[int, int]], inner: np.ndarray | None = None, last: np.ndarray | None = None):
+        self.pairs, self.inner, self.last = pairs, inner, last
+        keys = np.array(sorted(pairs), np.int64)
+        self.keys = np.append(keys, np.int64((1 << 63) - 1))
+        self.rank = np.array([pairs[k][0] for k in keys.tolist()] + [0], np.int64)
+        self.result = np.zeros(max((r for r, _ in pairs.values()), default=0) + 1, np.int64)
+        for r, new in pairs.values():
+            self.result[r] = new
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Leaves of pairs: rank and place in one number, ``_FAR`` for what is no pair."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.rank[at] << _NEAR | place, _FAR)
+
+    def run_many(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many pieces: a tree each, those of one height side by side, so that every step merges once in each of them."""
+        out: list[bytes] = [b""] * len(pieces)
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        height = np.ceil(np.log2(np.maximum(length - 1, 1))).astype(np.int64)
+        for h in np.unique(height[length > 0]).tolist():
+            some = np.flatnonzero((height == h) & (length > 0))
+            if 1 << h > WIDE:
+                for i in some.tolist():
+                    raw = np.frombuffer(pieces[i], np.uint8)
+                    symbols = self.inner[raw]
+                    symbols[-1] = self.last[raw[-1]]
+                    out[i] = np.array(self.run(symbols.tolist()), "<u4").tobytes()
+                continue
+            for part in np.array_split(some, -(-len(some) // AT_ONCE)):
+                ids, n = self._together([pieces[i] for i in part.tolist()], length[part], 1 << h)
+                cut = (4 * np.concatenate([[0], np.cumsum(n)])).tolist()
+                raw = ids.astype("<u4").tobytes()
+                for i, a, b in zip(part.tolist(), cut[:-1], cut[1:], strict=True):
+                    out[i] = raw[a:b]
+        return out
+
+    def _together(self, pieces: list[bytes], length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, number of each). Symbols of a piece are a row; its last column stands before the first and behind the last."""
+        m, wide = len(pieces), size + 2
+        none = size + 1
+        base = np.arange(m) * wide
+        at = np.repeat(base, length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        symbols = np.full(m * wide, -1, np.int64)
+        symbols[at] = self.inner[raw]
+        ends = base + length - 1
+        symbols[ends] = self.last[raw[np.cumsum(length) - 1]]
+        after, before = (np.tile(x, m) for x in (np.append(np.arange(1, wide), none), np.append(np.arange(-1, wide - 2), none)))
+        after[ends], before[base] = none, none
+        # Leaves begin at ``size``; the two columns behind them take what belongs to no leaf.
+        tall = 2 * size + 2
+        tree = np.full((m, tall), _FAR, np.int64)
+        grid = symbols.reshape(m, wide)
+        tree[:, size:2 * size] = self._ranks(grid[:, :size], grid[:, 1:size + 1], np.arange(size))
+        level = size
+        while level > 1:
+            np.minimum(tree[:, level:2 * level:2], tree[:, level + 1:2 * level:2], out=tree[:, level // 2:level])
+            level //= 2
+        tree, rows = tree.reshape(-1), np.arange(m)
+        while True:
+            least = tree[rows * tall + 1]
+            rows, least = rows[least != _FAR], least[least != _FAR]
+            if not len(rows):
+                break
+            row, root = rows * wide, rows * tall
+            i = least & (1 << _NEAR) - 1
+            new = self.result[least >> _NEAR]
+            j = after[row + i]
+            k, h = after[row + j], before[row + i]
+            symbols[row + i], symbols[row + j] = new, -1
+            after[row + i], before[row + k] = k, i
+            places = np.concatenate([j, i, h])
+            roots = np.concatenate([root, root, root])
+            tree[roots + size + places] = np.concatenate([
+                np.full(len(rows), _FAR), self._ranks(new, symbols[row + k], i), self._ranks(symbols[row + h], new, h)])
+            node = size + np.minimum(places, size - 1)
+            for _ in range(size.bit_length() - 1):
+                node >>= 1
+                tree[roots + node] = np.minimum(tree[roots + 2 * node], tree[roots + 2 * node + 1])
+        grid = symbols.reshape(m, wide)
+        return grid[grid >= 0], (grid >= 0).sum(axis=1)
 
     def run(self, symbols: list[int]) -> list[int]:
         """The ids left when no pair can be merged; each step merges the leftmost of the pairs of the lowest rank."""
@@ -84,27 +186,6 @@ class Merges:
         return [x for x in symbols if x >= 0]
 
 
-class Memory:
-    """The ids of the words or pieces met last, ``CACHE`` to twice as many."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.get = self.young.get
-
-    def put(self, name: str, ids: bytes) -> None:
-        if len(self.young) >= CACHE:
-            self.old, self.young = self.young, {}
-            self.get = self._find
-        self.young[name] = ids
-
-    def _find(self, name: str) -> bytes | None:
-        ids = self.young.get(name)
-        if ids is None and (ids := self.old.get(name)) is not None:
-            self.put(name, ids)
-        return ids
-
-
 class Coder:
     """The tokenizer of one file of the BPE kind: byte-level pieces, an end-of-word suffix, special tokens looked for in the text as it is."""
 
@@ -119,61 +200,98 @@ class Coder:
         if model["type"] != "BPE" or odd or spec.get("decoder") or any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError(f"not a tokenizer of this kind: {path} {odd}")
         vocab: dict[str, int] = model["vocab"]
-        self.suffix = model.get("end_of_word_suffix") or ""
-        self.vocab = vocab
+        suffix = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in added}
         self.special_text = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         pairs = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             pairs[vocab[left] << 32 | vocab[right]] = rank, vocab[left + right]
-        self.merges = Merges(pairs)
+        signs = _byte_signs()
+        self.merges = Merges(pairs, np.array([vocab[x] for x in signs]), np.array([vocab[x + suffix] for x in signs]))
         parts = Tokenizer.from_file(path)
         self.normalise = parts.normalizer.normalize_str if parts.normalizer else str
         self.cut = parts.pre_tokenizer.pre_tokenize_str
-        self.words, self.pieces = Memory(), Memory()
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         names = {i: t for t, i in (vocab | self.special).items()}
         shown = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.shown_ends = np.cumsum([len(x) for x in shown], dtype=np.int64)
 
-    def _piece(self, piece: str) -> bytes:
-        last = len(piece) - 1
-        symbols = [self.vocab.get(c + self.suffix if i == last else c) for i, c in enumerate(piece)]
-        return np.array(self.merges.run([x for x in symbols if x is not None]), "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """The ids of a text between white space, which is in no piece and composes with nothing."""
-        out = []
-        for piece, _ in self.cut(self.normalise(word)):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self._piece(piece)
-                if len(piece) <= LONG:
-                    self.pieces.put(piece, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def _ordinary(self, text: str, out: list[bytes]) -> None:
-        for found in WORD.finditer(text):
-            word = found.group()
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) <= LONG:
-                    self.words.put(word, ids)
-            out.append(ids)
+    def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(word, ids) of words: normalised and cut all at once, with a space between each two, and each distinct piece merged once.
+
+        White space is in no piece and composes with nothing, so words do not change each other. A word that holds white space of another
+        kind goes alone.
+        """
+        for odd in (w for w in words if OTHER_SPACE.search(w)):
+            norm = self.normalise(odd)
+            yield odd, b"".join(self.merges.run_many([norm[a:b].encode() for _, (a, b) in self.cut(norm)]))
+        plain = [w for w in words if not OTHER_SPACE.search(w)]
+        norm = self.normalise(" ".join(plain))
+        spans = [span for _, span in self.cut(norm)]
+        ends = np.cumsum([len(w) + 1 for w in norm.split(" ")])
+        of = np.searchsorted(ends, [a for a, _ in spans], "right") if spans else np.zeros(0, np.int64)
+        number: dict[str, int] = {}
+        piece = [number.setdefault(norm[a:b], len(number)) for a, b in spans]
+        ids = self.merges.run_many([p.encode() for p in number])
+        first = np.searchsorted(of, np.arange(len(plain) + 1)).tolist()
+        for w, a, b in zip(plain, first[:-1], first[1:], strict=True):
+            yield w, ids[piece[a]] if b == a + 1 else b"".join([ids[k] for k in piece[a:b]])
+
+    def _settle(self, queue: list[tuple[list[bytes], list[str] | bytes]]) -> None:
+        """Append the ids of the words of each entry to its output; what is not remembered is learnt at once."""
+        words, new = self.words, set()
+        for _, ws in queue:
+            if isinstance(ws, list):
+                for w in set(ws):
+                    if w not in words:
+                        if (known := self.old.get(w)) is None:
+                            new.add(w)
+                        else:
+                            words[w] = known
+        if new:
+            words.update(self._learn(list(new)))
+        for out, ws in queue:
+            out.append(ws if isinstance(ws, bytes) else b"".join([words[w] for w in ws]))
+        for w in new:
+            if len(w) > LONG:
+                del words[w]
+        if len(words) >= CACHE:
+            self.old, self.words = words, {}
+
+    def _parts(self, text: str) -> Iterator[list[str] | bytes]:
+        """The words of a text in blocks, and the ids of special tokens between them."""
+        start = 0
+        for found in [*(self.special_text.finditer(text) if self.special else ()), None]:
+            end = found.start() if found else len(text)
+            while start < end:
+                blank = BLANK.search(text, start + BLOCK, end) if start + BLOCK < end else None
+                stop = blank.start() if blank else end
+                yield WORD.findall(text, start, stop)
+                start = stop
+            if found:
+                yield self.special[found.group()].to_bytes(4, "little")
+                start = found.end()
+
+    def encode_many(self, texts: Iterable[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. Words are looked up by steps of ``STEP`` words or so."""
+        outs: list[list[bytes]] = []
+        queue, n = [], 0
+        for text in texts:
+            outs.append([])
+            for part in self._parts(text):
+                queue.append((outs[-1], part))
+                n += len(part)
+                if n >= STEP:
+                    self._settle(queue)
+                    queue, n = [], 0
+        self._settle(queue)
+        return [b"".join(x) for x in outs]
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        start = 0
-        for found in self.special_text.finditer(text) if self.special else ():
-            self._ordinary(text[start:found.start()], out)
-            out.append(self.special[found.group()].to_bytes(4, "little"))
-            start = found.end()
-        self._ordinary(text[start:] if start else text, out)
-        return b"".join(out)
+        return self.encode_many([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens of the ids with a space between each two, in UTF-8."""
@@ -202,7 +320,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", into: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(tokenizer)
         for batch in batches:
-            ids = pa.array((c.encode(t.as_py() or "") for t in batch.column(len(kept))), pa.binary(), size=batch.num_rows)
+            ids = pa.array(c.encode_many(t.as_py() or "" for t in batch.column(len(kept))), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], into])
 
     plain = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`"))

@@ -47,12 +47,14 @@ def test_odd_rows(spark, library, tmp_path):
     assert kept.columns == ["doc_id", "ids", "coded"] and {r.ids for r in kept.collect()} == {r[2] for r in rows}
 
 
-def test_memory_forgets_but_the_ids_stay(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE", 7)
+@pytest.mark.parametrize(("step", "block", "at_once"), [(1, 5, 1), (50, 100, 3)])
+def test_memory_forgets_but_the_ids_stay(library, monkeypatch, step, block, at_once):
+    for name, value in (("CACHE", 7), ("STEP", step), ("BLOCK", block), ("AT_ONCE", at_once)):
+        monkeypatch.setattr(bpe, name, value)
     c = bpe.Coder(PATH)
     for text in [" ".join(f"wörd{i % 23} {i}" for i in range(300)), *[t for t in ODD if t]]:
         assert np.frombuffer(c.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
-    assert len(c.words.young) <= 7 and len(c.words.old) <= 7
+    assert len(c.words) < 7
 
 
 def test_merges_take_the_leftmost_of_the_lowest_rank():
@@ -65,7 +67,9 @@ def test_merges_take_the_leftmost_of_the_lowest_rank():
             while found := [(pairs[a << 32 | b], i) for i, (a, b) in enumerate(zip(plain, plain[1:], strict=False)) if a << 32 | b in pairs]:
                 (_, new), i = min(found, key=lambda x: (x[0][0], x[1]))
                 plain[i:i + 2] = [new]
-            assert bpe.Merges(pairs).run(symbols) == plain
+            merges = bpe.Merges(pairs, np.arange(256), np.arange(256))
+            assert merges.run(symbols) == plain
+            assert np.frombuffer(merges.run_many([b"", bytes(symbols), b"\0"])[1], "<u4").tolist() == plain
 
 
 def test_long_pieces_are_held_in_arrays(library, monkeypatch):
