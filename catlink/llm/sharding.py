@@ -12,11 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from catlink import session
 from catlink.llm.common import uniform
 
-WIDTH = 1 << 16
-"""Width of the id ranges inside which slots are numbered."""
-
 
 @dataclass(frozen=True)
 class Shard:
@@ -69,19 +67,19 @@ def place(df: DataFrame, tree: list[Shard], key: str, into: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c != into], shard)
 
 
-def slots(rows: DataFrame, shard: str, key: str, order: list[str]) -> DataFrame:
-    """Add ``slot``: gapless numbers from 0 in each shard.
+def slots(rows: DataFrame, shard: str, order: list[str]) -> DataFrame:
+    """Add ``slot``: gapless numbers from 0 in each shard, in the given order, nulls first.
 
-    Rows are numbered inside id ranges of ``WIDTH`` and shifted by the pre-aggregated sizes of the ranges before, so no task holds a
-    shard. Equal rows are numbered in any order.
+    Rows are dealt by ranges of (shard, order) and numbered where they lie; the pre-aggregated counts of a shard's ranges shift the numbers.
+    Rows that are equal in all that are told apart by their place in the input, so no key, not even null, fills one task.
     """
-    rows = rows.withColumn("_range", F.coalesce(F.floor(F.col(key) / WIDTH), F.lit(-1)).cast("long"))
-    sizes = rows.groupBy(shard, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(shard).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select(shard, "_range", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy(shard, "_range").orderBy(key, *order))
-    numbered = rows.withColumn("_nr", within).join(sizes, [shard, "_range"])
-    return numbered.withColumn("slot", (F.col("_before") + F.col("_nr") - 1).cast("long")).drop("_before", "_nr", "_range")
+    keys = [shard, *order, "_place"]
+    sorted_ = rows.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_place")
+    numbered = session.materialise(sorted_.withColumns({"_part": F.spark_partition_id(), "_nr": F.monotonically_increasing_id()}), "slots")
+    ranges = numbered.groupBy(shard, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_nr").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(shard, "_part", (before - F.col("_first")).alias("_shift"))
+    return numbered.join(ranges, [shard, "_part"]).withColumn("slot", (F.col("_nr") + F.col("_shift")).cast("long")).drop("_part", "_nr", "_shift")
 
 
 def assign(docs: DataFrame, tree: list[Shard], larger: list[Shard] | None = None) -> DataFrame:
@@ -95,4 +93,4 @@ def assign(docs: DataFrame, tree: list[Shard], larger: list[Shard] | None = None
         F.col("doc_id"), (F.octet_length(octets) + 16).cast("long").alias("size"), F.crc32(octets.cast("binary")).cast("long").alias("text_crc32"))
     rows = place(rows, tree, "doc_id", "shard")
     rows = place(rows, larger, "doc_id", "grown_shard") if larger else rows.withColumn("grown_shard", F.lit(None).cast("int"))
-    return slots(rows, "shard", "doc_id", ["text_crc32"])
+    return slots(rows, "shard", ["doc_id", "text_crc32", "size"])
