@@ -66,11 +66,11 @@ def op8_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
-    """Every conversation that ends in a reply, against the same one ending in a stale reply."""
+    """Every conversation against the same one with a stale last reply; ``reason`` where it has none."""
     df = chat.preferences(*chat.stale_replies(table(spark, folder, "conversations")))
     mask = lambda c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), "")
     return df.select(
-        F.col("pair").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", mask("chosen_train").alias("chosen_mask"), "rejected", mask("rejected_train").alias("rejected_mask"))
+        F.col("pair").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", mask("chosen_train").alias("chosen_mask"), "rejected", mask("rejected_train").alias("rejected_mask"), "reason")
 
 
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:

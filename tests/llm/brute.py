@@ -208,3 +208,36 @@ def trie(convs):
         sha = hashlib.sha256(",".join("" if c is None else str(c) for c in ends).encode()).hexdigest()
         out.append((rep[k], len(k), rep[k[:-1]] if k else None, len(v), children[k], leaves[k], saved[k], sha))
     return sorted(out, key=repr)
+
+
+def preferences(rows):
+    """{conv_id: (n_prompt_turns, prompt, chosen, mask, rejected, mask, reason)} of conversations against themselves with a stale last reply."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        convs[conv].append(((turn is not None, turn or 0), role, text))
+
+    def segments(rows, at):
+        return sorted({(f"<|{r or 'user'}|>\n{t or ''}<|end|>\n", r == "assistant") for a, r, t in rows if a == at})
+
+    def stale(own):
+        replies = [(a, t or "") for a, r, t in own if r == "assistant"]
+        if not replies:
+            return own
+        last = max(replies)
+        for role in ("assistant", "user"):
+            said = [(a, t or "") for a, r, t in own if r == role and a < last[0] and (t or "") != last[1]]
+            if said:
+                return [x for x in own if not (x[0] == last[0] and x[1] == "assistant")] + [(last[0], "assistant", max(said)[1])]
+        return own
+
+    out = {}
+    for conv, own in convs.items():
+        other = stale(own)
+        ats = sorted({a for a, _, _ in own})
+        first = next((i for i, a in enumerate(ats) if segments(own, a) != segments(other, a)), len(ats))
+        sides = [[s for a in ats[first:] for s in segments(side, a)] for side in (own, other)]
+        text = lambda ss: "".join(t for t, _ in ss)
+        mask = lambda ss: "".join(str(int(m)) for _, m in ss)
+        prompt = text([s for a in ats[:first] for s in segments(own, a)])
+        out[conv] = (first, prompt, text(sides[0]), mask(sides[0]), text(sides[1]), mask(sides[1]), "equal sides" if first == len(ats) else None)
+    return out

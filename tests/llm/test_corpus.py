@@ -197,6 +197,65 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 for i in range(1, 41)} | {101: 100}
 
 
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software "
+       "without restriction.\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.")
+
+
+def wrapped(text, width, mark):
+    lines, line = [], ""
+    for word in text.replace("\n\n", " \n\n ").split(" "):
+        if word == "\n\n" or len(line) + len(word) > width:
+            lines.append(mark + line)
+            line = ""
+            if word == "\n\n":
+                lines.append(mark.rstrip())
+                continue
+        line += word + " "
+    return "\n".join([*lines, mark + line])
+
+
+def test_licence_notices(spark):
+    prose = " ".join(next(r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").collect() if r.text and len(r.text.split()) > 300).split()[:300])
+    texts = {
+        1: (wrapped(MIT, 79, ""), {"mit"}), 2: (wrapped(MIT, 60, "# "), {"mit"}), 3: ("/*\n" + wrapped(MIT, 50, " * ") + "\n */\n" + prose, {"mit"}),
+        4: ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", {"mit", "apache-2.0"}),
+        5: (f"{prose} {MIT.split(chr(10))[0]} {prose}", {"mit"}), 6: (f"{prose} Licensed under CC BY-SA 4.0. {prose}", {"cc-by-sa"}), 7: (prose, set()), 8: ("The.\n\nMit und.\n\nPation.", set()),
+        9: ("// SPDX-License-Identifier: MIT\n" + prose, {"mit"}), 10: ("", set()), 11: (None, set()),
+        12: (prose + "\nThis program is free software: you can redistribute it and/or modify it under the terms of the GNU General\nPublic License as published by the Free Software Foundation.\n" + prose, {"gpl-3.0"}),
+    }
+    extra = spark.createDataFrame([(-k, t[0]) for k, t in texts.items()], "doc_id bigint, text string")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(extra)
+    got = {r.doc_id: {x.family for x in r.found} for r in licences.scan(docs).filter("doc_id < 0").collect()}
+    assert {k: got[-k] - {"unknown"} for k in texts} == {k: t[1] for k, t in texts.items()}
+    assert not any("unknown" in got[-k] for k in (7, 8, 10, 11))
+
+
+def test_few_unknown_licences(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = licences.scan(spark.read.parquet(f"{folder}/documents.parquet")).collect()
+    windows = sum(r.n_paragraphs for r in rows)
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    known = licences.Templates(licences.TEMPLATES)
+    lines = sum(1 for t in text.values() for x in t.split("\n") if x.strip())
+    odd = [x for r in rows for x in r.found if x.family == "unknown"]
+    assert windows and len(odd) <= max(2, 0.001 * lines), [text[r.doc_id].encode()[x.start:x.end] for r in rows for x in r.found if x.family == "unknown"][:20]
+    # every template that lies in a text whole, by plain search of its words, is found
+    for r in rows:
+        words = " " + " ".join(licences.plain_words(text[r.doc_id])) + " "
+        for family, templates in known.texts.items():
+            if any(f" {' '.join(licences.plain_words(t))} " in words for t in templates):
+                assert family in {x.family for x in r.found}, (r.doc_id, family)
+
+
+def test_templates_from_files(spark, tmp_path):
+    (tmp_path / "own").mkdir()
+    (tmp_path / "own" / "a.txt").write_text("Use of this thing needs a nod.\n\nA second paragraph of the own notice.")
+    found = licences.read_templates(spark, str(tmp_path))
+    assert found == {"own": ["Use of this thing needs a nod.", "A second paragraph of the own notice."]}
+    docs = spark.createDataFrame([(1, "Intro words here. Use of this thing\nneeds a nod. More words follow it."), (2, "plain words only " * 40)], "doc_id bigint, text string")
+    assert {r.doc_id: [x.family for x in r.found] for r in licences.scan(docs, templates=found).collect()} == {1: ["own"], 2: []}
+
+
 def test_licences(spark, odd, none):
     lines = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit", "All rights reserved.": "all-rights-reserved"}
     for r in spark.read.parquet(f"{DATA}/documents.parquet").join(queries.op6_licences(spark, DATA), "doc_id").collect():
@@ -248,12 +307,22 @@ def test_preferences(spark):
     a = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "x"), (3, 0, None, None), (None, 1, "user", "q"), (4, 0, "user", "u")]
     b = [(1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", "why"), (2, 0, "user", "x"), (3, 0, "user", ""), (3, 1, "assistant", "z")]
     got = {r.pair: r for r in chat.preferences(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
-    assert set(got) == {1, 3, 4}
+    assert set(got) == {1, 2, 3, 4, None}
     assert got[1].prompt == "<|user|>\nhi<|end|>\n" and got[1].chosen == "<|assistant|>\nyes<|end|>\n" and got[1].chosen_train == [True] and got[1].rejected_train == [True, False]
-    assert got[3].n_prompt_turns == 1 and got[3].chosen == "" and got[4].prompt == "" and got[4].rejected == ""
+    assert got[2].reason == "equal sides" and got[2].prompt == "<|user|>\nx<|end|>\n" and got[2].chosen == got[2].rejected == ""
+    assert got[3].n_prompt_turns == 1 and got[3].chosen == "" and got[4].prompt == "" and got[4].rejected == "" and got[None].chosen == "<|user|>\nq<|end|>\n"
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.preferences(*chat.stale_replies(empty)).count() == 0
-    assert queries.op9_chat(spark, DATA).filter("chosen = rejected").count() == 0
+
+
+def test_chat_query(spark, tmp_path):
+    odd = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "assistant", "b"), (1, 3, "user", "later"), (2, 0, "assistant", "only"), (3, 0, "user", "same"), (3, 1, "assistant", "same"),
+           (4, None, "user", "first"), (4, 0, None, None), (4, 1, "assistant", None), (None, 0, "user", "x"), (None, 1, "assistant", "y"), (5, 0, "user", "q"), (5, 1, "assistant", "r"), (5, 1, "user", "both")]
+    spark.createDataFrame(odd, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    table = [tuple(r) for r in spark.read.parquet(f"{DATA}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    for folder, rows in ((DATA, table), (str(tmp_path), odd)):
+        got = {r.conv_id: (r.n_prompt_turns, r.prompt, r.chosen, r.chosen_mask, r.rejected, r.rejected_mask, r.reason) for r in queries.op9_chat(spark, folder).collect()}
+        assert got == brute.preferences(rows)
 
 
 def test_token_files(spark, odd, none):
