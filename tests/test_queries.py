@@ -16,6 +16,8 @@ CHECKED = [
     "release_link_proposals", "artist_evidence_all", "link_cleanup", "label_evidence", "artist_sync_added", "release_sync_event", "member_of_band", "performs_as",
     "release_group_link_proposals", "format_proposals", "barcode_proposals", "remix_proposals", "common_masters", "artist_country_from_comment", "track_alignment",
     "release_checks", "release_artists_report", "track_credits", "missing_images", "coverage_report", "title_search", "best_candidate", "page_country", "filled_artist_data",
+    "label_page_proposals", "release_group_page_proposals", "structure_lines", "structure_text", "similarity_ratio", "similar_masters", "country_gate", "title_search_two_words",
+    "french_page_parts", "page_country_french", "page_gender_french", "page_dates_french", "album_form", "imported_albums", "stored_new_albums", "roles_from_file",
 ]
 
 
