@@ -107,10 +107,47 @@ def _words(data: np.ndarray, start: np.ndarray, length: int) -> list[np.ndarray]
     return out
 
 
+def _common(keys: list[np.ndarray], order: np.ndarray, length: int) -> np.ndarray:
+    """Bytes that each suffix shares with the one before it in suffix order, ``length`` at most."""
+    out = np.full(len(order), length)
+    open_ = np.ones(len(order), bool)
+    for j, k in enumerate(reversed(keys)):  # the first word is the last key
+        differ = np.zeros(len(order), bool)
+        x = k[order][1:] ^ k[order][:-1]
+        differ[1:] = x != 0
+        equal = np.zeros(len(order), np.int64)
+        for byte in range(1, 8):
+            equal[1:] += x >> np.uint64(64 - 8 * byte) == 0
+        here = open_ & differ
+        out[here] = (min(8 * j, length - 8) + equal)[here]
+        open_ &= ~differ
+    return out
+
+
+def previous_factors(position: list[int], common: list[int]) -> list[int]:
+    """The longest factor of each suffix, in suffix order, that begins at a smaller position.
+
+    The smaller positions next before and next behind a suffix in that order share most with it. A stack of rising positions gives both: a
+    suffix leaves it when the next smaller one comes, and what it shares with the one below it is kept beside it.
+    """
+    out, stack = [0] * len(position), []
+    for k, at in enumerate(position):
+        shared = common[k]
+        while stack and position[stack[-1][0]] > at:
+            top, before = stack.pop()
+            out[top] = before if before > shared else shared
+            shared = before if before < shared else shared
+        stack.append((k, shared if stack else 0))
+    for top, before in stack:
+        out[top] = before
+    return out
+
+
 def longest_factors(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each start, in order of position: whether its longest previous factor, and whether that or its longest next one, reaches ``length``.
 
-    Starts with a hash of their own share nothing; the others are put in suffix order.
+    Starts with a hash of their own have no factor of that length; the others are put in suffix order, and their factors come from the previous and
+    next smaller (for next factors: larger) positions in it. Factors are counted up to ``length`` and lie in one bucket.
     """
     one, two = (r.over(data) for r in _hashers())
     h = chain(one.of(start, start + length), two.of(start, start + length), bucket.astype(np.uint64))
@@ -120,11 +157,14 @@ def longest_factors(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, len
     if len(some):
         keys = _words(data, start[some], length)
         order = np.lexsort([np.arange(len(some)), *keys, bucket[some]])
-        same = bucket[some][order][1:] == bucket[some][order][:-1]
-        for k in keys:
-            same &= k[order][1:] == k[order][:-1]
-        earlier[some[order[1:][same]]] = True
-        shared[some[order[1:][same]]] = shared[some[order[:-1][same]]] = True
+        common = _common(keys, order, length)
+        common[0] = 0
+        common[1:][bucket[some][order][1:] != bucket[some][order][:-1]] = 0
+        common = common.tolist()
+        previous = np.array(previous_factors(order.tolist(), common))
+        following = np.array(previous_factors((-order).tolist(), common))
+        earlier[some[order]] = previous >= length
+        shared[some[order]] = np.maximum(previous, following) >= length
     return earlier, shared
 
 

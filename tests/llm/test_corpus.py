@@ -138,6 +138,32 @@ def test_longest_factors():
     assert not earlier.any() and not shared.any()
 
 
+def test_previous_factors_equal_plain_search():
+    draw = np.random.default_rng(5)
+    for n, letters, length in ((1, 2, 8), (40, 1, 12), (60, 2, 8), (200, 3, 16), (300, 2, 24)):
+        data = np.concatenate([draw.integers(97, 97 + letters, n).astype(np.uint8), np.zeros(length, np.uint8)])
+        raw, starts = data.tobytes(), np.arange(n)
+
+        def shared(i, j, raw=raw, length=length):
+            return next((k for k in range(length) if raw[i + k] != raw[j + k]), length)
+
+        keys = repeats._words(data, starts, length)
+        order = np.lexsort([starts, *keys])
+        common = repeats._common(keys, order, length)
+        assert [shared(a, b) for a, b in zip(order, order[1:], strict=False)] == common[1:].tolist()
+        common[0] = 0
+        found = dict(zip(order.tolist(), repeats.previous_factors(order.tolist(), common.tolist()), strict=True))
+        assert found == {i: max((shared(i, j) for j in range(i)), default=0) for i in range(n)}
+        earlier, both = repeats.longest_factors(data, starts, np.zeros(n, np.int64), length)
+        assert earlier.tolist() == [found[i] >= length for i in range(n)]
+        assert both.tolist() == [any(shared(i, j) >= length for j in range(n) if j != i) for i in range(n)]
+
+
+def test_repeats_query(spark, docs):
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op4_repeats(spark, DATA).collect()}
+    assert got == brute.repeats(docs)
+
+
 def test_simhash(spark, odd, none, docs):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op5_simhash(spark, DATA).collect()}
     assert got == brute.simhash(docs)
