@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from catlink.config import MISSING_ARTIST, Catalog
+from catlink.config import MISSING_ARTIST
 from catlink.functions import text as X, urls
 from catlink.operators.keys import first_by
 
@@ -82,13 +82,6 @@ def release_mapping(release: DataFrame, formats: DataFrame, counts: DataFrame, s
     )
 
 
-def add_mapping(b: Catalog, countries: DataFrame) -> Catalog:
-    """Catalog B with ``release_status``, ``release_track_count`` and ``release_mapping``; needs ``release_format``."""
-    status, counts = release_status(b.releases_formats), track_count(b.track)
-    mapping = release_mapping(b.release, b.release_format, counts, status, countries)
-    return b.with_tables(release_status=status, release_track_count=counts, release_mapping=mapping)
-
-
 # Cleaning ------------------------------------------------------------------------------------
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from catlink.config import LINK_TYPE, Catalog
 from catlink.functions.text import LANGUAGE_SCRIPTS, has_script
 from catlink.functions.urls import wiki_base
-from catlink.operators.keys import first_by
 from catlink.operators.state import not_processed
 
 # Countries whose artists an encyclopedia language accepts (English accepts all).
@@ -106,8 +105,3 @@ def artists_lacking_data(a: Catalog, lang: str, ledger: DataFrame, limit: int |
     edges = wiki_edges(a, "artist", lang).filter("edits_pending = 0").groupBy(F.col("entity").alias("id")).agg(F.min("url").alias("url"))
     rows = a.artist.filter(lacking).join(edges, "id")
     return _cut(not_processed(rows, ledger), ["id"], limit)
-
-
-def first_url(rows: DataFrame) -> DataFrame:
-    """One row per artist, with the first address."""
-    return first_by(rows, ["id"], ["url"])

@@ -42,10 +42,15 @@ def decode_url(c):
     return c.view("pages").select("page_id", urls.decode("url").alias("decoded"), urls.decode_name("url", "http://").alias("tail"))
 
 
-@Q.add("""SELECT id, CASE WHEN starts_with(url, 'http://en.wikipedia.org/wiki/') THEN url_decode(substr(url, 30)) END AS title,
-    nullif(regexp_extract(url, '/artist/([0-9a-f-]{36})$', 1), '') AS mbid FROM a_url""")
+_WITH_ID = "'http://a.example/' || CASE WHEN id %% 4 = 1 THEN 'label/' ELSE 'artist/' END || regexp_replace(md5(url), '^(.{8})(.{4})(.{4})(.{4})', '%s')"
+
+
+@Q.add(f"""SELECT id, CASE WHEN starts_with(url, 'http://en.wikipedia.org/wiki/') THEN url_decode(substr(url, 30)) END AS title, nullif(regexp_extract(own, '/artist/([0-9a-f-]{{36}})$', 1), '') AS mbid
+    FROM (SELECT *, CASE WHEN id % 3 = 0 THEN url ELSE {_WITH_ID % '\\1-\\2-\\3-\\4-'} END AS own FROM a_url)""")
 def page_title_from_url(c):
-    return c.a.url.select("id", urls.wiki_title("url", "en").alias("title"), urls.mbid("url", "artist").alias("mbid"))
+    """Page titles, and the identifiers in addresses of catalog A's entities that are made of the given ones."""
+    own = F.when(F.col("id") % 3 == 0, F.col("url")).otherwise(F.expr(_WITH_ID % "$1-$2-$3-$4-"))
+    return c.a.url.select("id", urls.wiki_title("url", "en").alias("title"), urls.mbid(own, "artist").alias("mbid"))
 
 
 @Q.add("""SELECT doc_id, md5(replace(replace(replace(replace(replace(replace(replace(url_encode(replace(text, ' ', '_')), '%2F', '/'), '%24', '$'), '%2C', ','),
