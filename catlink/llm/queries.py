@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catlink.llm import bpe, chat, decontam, licences, mixing, quality, repair, repeats, rules, sharding, simhash, tokens, trie
@@ -11,6 +10,13 @@ from catlink.llm.common import table
 SHARDS = 40
 
 
+def tokenizer_file() -> str:
+    """The tokenizer that the queries use; its package is needed by them alone."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in shards 0 to 39 of a tree of five regions, and where a forty-first shard would put them."""
     tree = sharding.layout(SHARDS)
@@ -75,12 +81,12 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place in the token files, read back from them."""
-    return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.round_trip(table(spark, folder, "documents"), tokenizer_file())
 
 
 def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and their text again, as digests."""
-    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = tokenizer_file()
     df = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer), tokenizer)
     return df.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
