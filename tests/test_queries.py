@@ -62,3 +62,17 @@ def test_structure_report_text(spark):
     assert places == sorted(places)
     assert f"http://a.example/release/{one.release_gid}" in note and " - B track\r\n" in note and "http://a.example/recording/t-" in note
     assert rows.select("release_id").distinct().count() == c.b.release.count()
+
+
+def test_structure_report_moves_each_piece_once(spark):
+    """Shared pieces are stored, tracks are numbered without joins, and no finished text is shuffled or joined again."""
+    from catlink.operators.links import link_phrases
+    from catlink.reports import structure
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    c = queries.Ctx.of(spark, DATA)
+    assert "Join" not in plan(structure.b_tracks(c.b))
+    text = plan(structure.structure_report(c.a, c.b, c.sites, link_phrases(c.a)))
+    assert "Join" not in text[:text.index("MapInArrow")] and "Exchange" not in text[:text.index("MapInArrow")]
