@@ -54,6 +54,23 @@ def test_title_search_equals_scoring_everything(spark, k, depth, least):
     assert {(r.id, r.title, r.rank) for r in rows} == brute_search([n for n in names if n[1]], titles, k, least)
 
 
+def test_title_search_reads_no_list_on_for_ties_or_the_lightest_word(spark, monkeypatch):
+    stored = {}
+    plain = search.session.materialise
+    monkeypatch.setattr(search.session, "materialise", lambda df, name: stored.setdefault(name, []).append(plain(df, name)) or stored[name][-1])
+    titles = [f"the band {i:03}" for i in range(60)] + [f"the {i:03}" for i in range(60, 120)]
+    index = search.build_index(spark.createDataFrame([(t,) for t in titles], "title string"), 3)
+    names = [(i, t) for i, t in enumerate(titles)]
+    entities = spark.createDataFrame(names, "id int, name string")
+    for k, least in ((3, 1), (None, 2)):
+        rows = search.search_titles(entities, index, k, least, pairs=50).collect()
+        assert {(r.id, r.title, r.rank) for r in rows} == brute_search(names, titles, k, least)
+    # equally heavy titles behind a head come later by title, so no list is read on
+    assert stored["title-lists"][0].count() == 0
+    # "the" is in all 120 names and titles; with two words asked for, only "band" (60 x 60) and the numbers are met
+    assert stored["search-load"][-1].groupBy().sum("load").first()[0] == 60 * 60 + 120
+
+
 def test_items_on_pages_in_shares(spark):
     pages = spark.createDataFrame([("p", "abcabd é"), ("p", "xyz"), ("q", ""), ("r", "bc")], "title string, page string")
     wanted = [(t, i) for t in ("p", "q", "r", "none") for i in ("abc", "bc", "abd", "cab", "é", "zz", "", "xy", "a", "abcabd é!")]
