@@ -9,11 +9,12 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from catlink import session
 from catlink.config import Catalog
 from catlink.functions.text import drop_parenthesis, mangle_name, quoted_first
 from catlink.functions.urls import quote_title, wiki_base
 from catlink.functions.wikitext import categories
-from catlink.operators.keys import first_by, note_list
+from catlink.operators.keys import first_by
 
 # Title matching ----------------------------------------------------------------------------------
 
@@ -157,20 +158,30 @@ def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, title
     (id, name). A page is searched once for all titles of all its candidates; only the pairs found
     leave it. A title that several pages share counts each item once.
     """
-    own = entities.select("id", F.col("name").alias("_own"), mangle_name("name").alias("_self"))
-    t = titles.select("id", F.col("name").alias("item")).distinct().join(own, "id").withColumn("_item", mangle_name("item"))
+    return _mentions(entities, candidates, session.materialise(pages.select("title", "page"), "mention-pages"), titles, rule)
+
+
+def _mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, titles: DataFrame, rule: MentionRule) -> DataFrame:
+    """``mentions`` of stored pages. Only candidates that have a page, and only titles of entities that have such a candidate, go further;
+    those titles are brought into comparison form once and stored."""
+    pairs = candidates.select("id", "title").distinct().join(pages.select("title").distinct(), "title", "left_semi")
+    pairs = session.materialise(pairs.select("id", "title"), "mention-candidates")
+    own = entities.select("id", F.col("name").alias("_own"), mangle_name("name").alias("_self")).join(pairs.select("id").distinct(), "id", "left_semi")
+    t = titles.select("id", F.col("name").alias("item")).join(pairs.select("id").distinct(), "id", "left_semi").distinct()
+    t = t.withColumn("_item", F.explode(F.array(mangle_name("item")))).join(own, "id")
     t = t.filter(F.col("item") != F.col("_own")) if rule.drop_self == "equal" else t.filter(~F.col("_item").contains(F.col("_self")))
     if rule.drop_short:
         t = t.filter(F.length("_item") > rule.min_length)
+    t = session.materialise(t.select("id", "_own", "item", "_item"), "mention-items")
     totals = t.groupBy("id", "_own").agg(F.count(F.lit(1)).alias("n_titles")).filter(F.col("n_titles") >= rule.min_titles)
-    pairs = candidates.select("id", "title").distinct()
     looked_for = pairs.join(t.filter(F.length("_item") > rule.min_length).select("id", "item", "_item"), "id")
     hits = looked_for.join(items_on_pages(looked_for, pages), ["title", "_item"]).select("id", "title", "item")
-    found = hits.groupBy("id", "title").agg(F.count(F.lit(1)).alias("n_found"))
-    first = note_list(hits, ["id", "title"], "item", 3).withColumnRenamed("notes", "first_found")
+    # One shuffle numbers and counts the hits of a candidate; only the first three are kept.
+    group = W.partitionBy("id", "title")
+    hits = hits.withColumn("_rn", F.row_number().over(group.orderBy("item"))).withColumn("n_found", F.count(F.lit(1)).over(group)).filter("_rn <= 3")
+    found = hits.groupBy("id", "title").agg(F.max("n_found").alias("n_found"), F.sort_array(F.collect_list("item")).alias("first_found"))
     rows = (
-        pairs.join(pages.select("title").distinct(), "title", "left_semi").join(totals, "id")
-        .join(found, ["id", "title"], "left").join(first, ["id", "title"], "left")
+        pairs.join(totals, "id").join(found, ["id", "title"], "left")
         .withColumn("n_found", F.coalesce("n_found", F.lit(0)))
         .withColumn("ratio", F.col("n_found") / F.col("n_titles"))
     )
@@ -290,9 +301,10 @@ def release_group_mentions(worklist: DataFrame, pages: DataFrame, tracks: DataFr
     """(mention rows with ``auto``, candidates) of release groups: album pages with the group's name that also mention its artist."""
     candidates = match_titles(worklist, pages, skip=())
     good = usable_pages(candidate_pages(pages, candidates), "release_group").filter(is_album_page("text", lang))
+    good = session.materialise(good.select("title", "page"), "mention-pages")
     credit = candidates.join(worklist.select("id", mangle_name("credit_name").alias("_item")), "id")
     credited = credit.join(items_on_pages(credit, good), ["title", "_item"], "left_semi").select("id", "title").unionByName(credit.filter("_item = ''").select("id", "title"))
-    rows = mentions(worklist, credited, good, tracks, RULES["release_group"])
+    rows = _mentions(worklist, credited, good, tracks, RULES["release_group"])
     auto = (F.col("ratio") > AUTO_RATIO) & ~F.coalesce(F.col("type_name").isin(*NOT_AUTO), F.lit(False))
     return rows.join(worklist.select("id", "type_name"), "id").withColumn("auto", auto).drop("type_name"), candidates
 

@@ -71,6 +71,19 @@ def test_title_search_reads_no_list_on_for_ties_or_the_lightest_word(spark, monk
     assert stored["search-load"][-1].groupBy().sum("load").first()[0] == 60 * 60 + 120
 
 
+def test_only_titles_of_candidates_with_pages_are_looked_for(spark, monkeypatch):
+    stored = {}
+    plain = matching.session.materialise
+    monkeypatch.setattr(matching.session, "materialise", lambda df, name: stored.setdefault(name, plain(df, name)))
+    people = spark.createDataFrame([(1, "Ann"), (2, "Bob"), (3, "Cid")], "id int, name string")
+    candidates = spark.createDataFrame([(1, "Ann"), (2, "Bob (x)")], "id int, title string")
+    pages = spark.createDataFrame([("Ann", "theredsongandthebluesong"), ("Cid", "theredsong")], "title string, page string")
+    titles = spark.createDataFrame([(i, t) for i in (1, 2, 3) for t in ("The Red Song", "The Blue Song", "The Red Song", "Elsewhere")], "id int, name string")
+    rows = matching.mentions(people, candidates, pages, titles, matching.RULES["artist"]).collect()
+    assert [(r.id, r.title, r.n_titles, r.n_found, r.first_found, r.accepted) for r in rows] == [(1, "Ann", 3, 2, ["The Blue Song", "The Red Song"], True)]
+    assert {r.id for r in stored["mention-items"].collect()} == {1}
+
+
 def test_items_on_pages_in_shares(spark):
     pages = spark.createDataFrame([("p", "abcabd é"), ("p", "xyz"), ("q", ""), ("r", "bc")], "title string, page string")
     wanted = [(t, i) for t in ("p", "q", "r", "none") for i in ("abc", "bc", "abd", "cab", "é", "zz", "", "xy", "a", "abcabd é!")]
