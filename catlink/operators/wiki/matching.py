@@ -143,6 +143,7 @@ def items_on_pages(wanted: DataFrame, pages: DataFrame, at_once: int = ITEMS_AT_
     All items looked for in a page travel to it as arrays of ``at_once`` or fewer, so the text of a page is joined and read once, however
     many entities and items it is a candidate for. Empty items occur nowhere.
     """
+    session.bound_batches(pages.sparkSession)
     wanted = wanted.select("title", "_item").filter("_item <> ''").distinct()
     # The shares follow from the number of items of a title; nearly every title has one.
     shares = wanted.groupBy("title").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("_shares"))

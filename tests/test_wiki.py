@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,27 @@ def test_fill_notes(spark):
     got = facts.fill_artist_data(a, facts.country(p, places, "en"), facts.gender(p, "en"), facts.artist_type(p, "en"), facts.dates(p, "en"), ids, genders).collect()
     assert [(r.id, r.country, r.type, r.gender, r.begin_date_year, r.updated) for r in got] == [(1, 73, 1, 1, 1950, ["country", "type", "gender", "begin_date"])]
     assert got[0].note.startswith('From http://w/p\n\nCOUNTRY:\nBelongs to category "French singers".\n\nTYPE:\nInfobox has "background = solo_singer".')
+
+
+def test_batches_of_pages_are_bounded_in_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from catlink import session
+
+    was = spark.conf.get(session.BATCH)
+    spark.conf.set(session.BATCH, "256m")
+    try:
+        session.bound_batches(spark)
+        assert spark.conf.get(session.BATCH) == str(session.BATCH_BYTES)
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+        pages = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+        assert max(r.n for r in pages.mapInArrow(sizes, "n long").collect()) < 2 * session.BATCH_BYTES
+        spark.conf.set(session.BATCH, "1m")
+        session.bound_batches(spark)
+        assert spark.conf.get(session.BATCH) == "1m"
+    finally:
+        spark.conf.set(session.BATCH, was)
