@@ -76,3 +76,17 @@ def test_structure_report_moves_each_piece_once(spark):
     assert "Join" not in plan(structure.b_tracks(c.b))
     text = plan(structure.structure_report(c.a, c.b, c.sites, link_phrases(c.a)))
     assert "Join" not in text[:text.index("MapInArrow")] and "Exchange" not in text[:text.index("MapInArrow")]
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_track_evidence_starts_from_linked_releases(spark):
+    """Recordings meet the places on linked releases before the artists of their credits, and tracks of catalog B the linked releases before theirs."""
+    from catlink.operators.evidence import track_evidence
+
+    c = queries.Ctx.of(spark, DATA)
+    plan = optimized(track_evidence(c.a, c.b, c.sites))
+    assert plan.index("Join Inner, (artist_credit#") < plan.index("Join Inner, (recording#")
+    assert plan.index("Join Inner, (track_id#") < plan.rindex("Join LeftSemi, (release_id#")
