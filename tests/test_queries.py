@@ -90,3 +90,14 @@ def test_track_evidence_starts_from_linked_releases(spark):
     plan = optimized(track_evidence(c.a, c.b, c.sites))
     assert plan.index("Join Inner, (artist_credit#") < plan.index("Join Inner, (recording#")
     assert plan.index("Join Inner, (track_id#") < plan.rindex("Join LeftSemi, (release_id#")
+
+
+def test_track_alignment_has_no_null_key(spark):
+    """Tracks of unlinked releases have no partner: they must not meet the other side under a key that is null for all of them."""
+    from catlink.reports.structure import track_alignment
+
+    c = queries.Ctx.of(spark, DATA)
+    plan = optimized(track_alignment(c.a, c.b, c.sites))
+    outer = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "release_id#" in outer[0] and "release_gid#" in outer[0]
+    assert plan.count("release_gid#") and all("(recording#" not in line or line.index("Join") > outer[0].index("Join") for line in outer)
