@@ -101,3 +101,14 @@ def test_track_alignment_has_no_null_key(spark):
     outer = [line for line in plan.splitlines() if "Join LeftOuter" in line]
     assert "release_id#" in outer[0] and "release_gid#" in outer[0]
     assert plan.count("release_gid#") and all("(recording#" not in line or line.index("Join") > outer[0].index("Join") for line in outer)
+
+
+def test_track_lists_are_looked_up_once(spark):
+    """Parts and ends of ranges share one look-up: three joins expand the texts (look-up, numbers between ends, credits)."""
+    from catlink.reports.structure import expand_tracks
+
+    credits = spark.createDataFrame([(1, "x", "A1 to A3, B1")], "release_id bigint, n string, tracks string")
+    tracks = spark.createDataFrame([(1, i + 1, p) for i, p in enumerate(["A1", "A2", "A3", "B1", "B2"])], "release_id bigint, row_number bigint, position string")
+    rows = expand_tracks(credits, tracks)
+    assert sorted(r.position for r in rows.collect()) == ["A1", "A2", "A3", "B1"]
+    assert optimized(rows).count("Join ") == 3
