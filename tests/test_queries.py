@@ -112,3 +112,14 @@ def test_track_lists_are_looked_up_once(spark):
     rows = expand_tracks(credits, tracks)
     assert sorted(r.position for r in rows.collect()) == ["A1", "A2", "A3", "B1"]
     assert optimized(rows).count("Join ") == 3
+
+
+def test_release_checks_spread_releases_without_master(spark):
+    """Releases meet masters and labels under a key that is not null, and the four checks are put together without joins."""
+    from catlink.reports import structure
+
+    c = queries.Ctx.of(spark, DATA)
+    outer = [line for line in optimized(structure.master_check(c.b, c.sites)).splitlines() if "Join LeftOuter" in line]
+    assert "_key#" in outer[0]
+    top = optimized(structure.release_checks(c.b, c.sites).drop("note"))
+    assert top.index("Union") < top.index("Join ")
