@@ -182,7 +182,8 @@ def release_cleanup(a: Catalog, b: Catalog, sites: Sites) -> DataFrame:
     """(id, note): links to remove from releases with several links, one of which is the best match."""
     links = b.release_link.select("gid", "url", "id")
     multi = links.join(repeated(links, ["gid"], "url"), "gid", "left_semi")
-    best = single_matches(release_candidates(a, multi_linked=True), b).select("gid", "release_id")
+    # the matches are read for the links found, those to remove and the texts: stored once
+    best = materialise(single_matches(release_candidates(a, multi_linked=True), b).select("gid", "release_id"), "cleanup-matches")
     best = best.withColumn("best_url", text(sites.b("release"), F.col("release_id")))
     found = multi.select("gid", "url").intersect(best.select("gid", F.col("best_url").alias("url")))
     removable = except_rows(multi.select("gid", "url").join(found.select("gid"), "gid", "left_semi"), found)
@@ -204,7 +205,7 @@ def release_cleanup(a: Catalog, b: Catalog, sites: Sites) -> DataFrame:
     a_ids = removed.select(F.col("a_release").alias("release_id"))
     b_ids = removed.select("release_id").unionByName(removed.select(F.col("remove_id").alias("release_id")))
     a_info = a_release_info(a, "short", a_ids).select(F.col("release_id").alias("a_release"), F.col("info").alias("a_info"))
-    b_info = b_release_info(b, "short", b_ids)
+    b_info = materialise(b_release_info(b, "short", b_ids), "cleanup-texts")
     rows = (
         removed.join(a_info, "a_release", "left")
         .join(b_info.select("release_id", F.col("info").alias("best_info")), "release_id", "left")

@@ -123,3 +123,14 @@ def test_release_checks_spread_releases_without_master(spark):
     assert "_key#" in outer[0]
     top = optimized(structure.release_checks(c.b, c.sites).drop("note"))
     assert top.index("Union") < top.index("Join ")
+
+
+def test_link_cleanup_stores_what_it_reads_again(spark, monkeypatch):
+    """Matches and texts of catalog B are computed once."""
+    from catlink.operators import proposals
+
+    c, stored = queries.Ctx.of(spark, DATA), []
+    keep = proposals.materialise
+    monkeypatch.setattr(proposals, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    proposals.release_cleanup(c.a, c.b, c.sites)
+    assert stored == ["cleanup-matches", "cleanup", "cleanup-texts"]
