@@ -377,15 +377,17 @@ def remix_credits(b: Catalog) -> DataFrame:
 
 def remix_proposals(a: Catalog, b: Catalog, sites: Sites) -> DataFrame:
     """(artist_gid, gid, note): recordings of the same title on the linked release, one note per pair."""
+    credits = remix_credits(b).select(F.col("gid").alias("release_gid"), "id", "title", "name", "artist_gid", name_key("track_title").alias("_title")).distinct()
+    # stored, as only releases with such credits give up their recordings
+    credits = materialise(credits, "remix-credits")
     rec = (
-        a.release.select(F.col("id").alias("release"), F.col("gid").alias("release_gid"))
+        a.release.select(F.col("id").alias("release"), F.col("gid").alias("release_gid")).join(credits.select("release_gid").distinct(), "release_gid", "left_semi")
         .join(a.medium.select("release", "tracklist"), "release")
         .join(a.track.select("tracklist", "recording"), "tracklist")
         .join(a.recording.select(F.col("id").alias("recording"), "gid", "name"), "recording")
         .select("release_gid", "gid", F.col("name").alias("recording_name"), name_key("name").alias("_title"))
         .distinct()
     )
-    credits = remix_credits(b).select(F.col("gid").alias("release_gid"), "id", "title", "name", "artist_gid", name_key("track_title").alias("_title")).distinct()
     note = text('Release "', F.col("title"), f'" {sites.a("release")}', F.col("release_gid"), f" has {sites.b_name} link {sites.b('release')}", F.col("id"),
                 '\nThere is track "', F.col("recording_name"), f'" that is same as recording {sites.a("recording")}', F.col("gid"),
                 "\nIt is remixed by ", F.col("name"), f" linked artist found on {sites.a_name} {sites.a('artist')}", F.col("artist_gid"))

@@ -134,3 +134,14 @@ def test_link_cleanup_stores_what_it_reads_again(spark, monkeypatch):
     monkeypatch.setattr(proposals, "materialise", lambda df, name: stored.append(name) or keep(df, name))
     proposals.release_cleanup(c.a, c.b, c.sites)
     assert stored == ["cleanup-matches", "cleanup", "cleanup-texts"]
+
+
+def test_remix_proposals_read_recordings_of_credited_releases(spark, monkeypatch):
+    """Credits are stored, and releases without one give up no recordings."""
+    from catlink.operators import proposals
+
+    c, stored = queries.Ctx.of(spark, DATA), []
+    keep = proposals.materialise
+    monkeypatch.setattr(proposals, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    plan = optimized(proposals.remix_proposals(c.a, c.b, c.sites))
+    assert stored == ["remix-credits"] and any("Join LeftSemi" in line and "release_gid#" in line for line in plan.splitlines())
