@@ -145,3 +145,35 @@ def test_remix_proposals_read_recordings_of_credited_releases(spark, monkeypatch
     monkeypatch.setattr(proposals, "materialise", lambda df, name: stored.append(name) or keep(df, name))
     plan = optimized(proposals.remix_proposals(c.a, c.b, c.sites))
     assert stored == ["remix-credits"] and any("Join LeftSemi" in line and "release_gid#" in line for line in plan.splitlines())
+
+
+def test_release_artists_deal_mentions_once(spark):
+    """Mentions meet tracks, links and roles once each, and their texts the releases: four joins."""
+    from catlink.reports.artists import release_artists
+
+    c = queries.Ctx.of(spark, DATA)
+    assert optimized(release_artists(c.b, c.view("roles"), c.sites)).count("Join ") == 4
+
+
+def test_release_artists_with_several_names_and_links(spark):
+    """Credits stand under every name of an artist, once per link; artists without an id have no block."""
+    from catlink.config import Catalog
+    from catlink.reports.artists import release_artists
+
+    people = "artist_id bigint, artist_name string, anv string"
+    b = Catalog({
+        "release": spark.createDataFrame([(1,), (2,)], "id bigint"),
+        "track": spark.createDataFrame([(10, 1, "A1")], "id bigint, release_id bigint, position string"),
+        "tracks_artists": spark.createDataFrame([(10, 5, "Y", "")] * 2, "track_id bigint, " + people),
+        "tracks_extraartists": spark.createDataFrame([(10, None, "Z", "", "Mix", None)], "track_id bigint, " + people + ", role_name string, role_details string"),
+        "releases_artists": spark.createDataFrame([(1, 5, "X", None), (1, 6, "U", "")], "release_id bigint, " + people),
+        "releases_extraartists": spark.createDataFrame([], "release_id bigint, " + people + ", role_name string, role_details string, tracks string"),
+        "artist_link": spark.createDataFrame([(5, "a-1", "n1"), (5, "a-2", "n2")], "id bigint, gid string, name string"),
+    })
+    roles = spark.createDataFrame([("Mix", "mixer", None)], "credit string, release_link_type_name string, link_attribute_name string")
+    notes = {r.release_id: r.note for r in release_artists(b, roles, queries.Ctx.of(spark, DATA).sites).collect()}
+    credits = "\tRelease - X\n\tTrack - Y (tracks: A1)"
+    lines = "\tn1 http://a.example/artist/a-1\n\tn2 http://a.example/artist/a-2\n"
+    blocks = "\n".join(f"{n} http://b.example/artist/{n}\n{lines}{credits}\n{credits}" for n in "XY")
+    assert notes[1] == f"Linked artists:\n\n\nMulti-linked artists:\n{blocks}\n\nUnlinked artists:\nU http://b.example/artist/U\n\tRelease - U"
+    assert notes[2] == "Linked artists:\n\n\nMulti-linked artists:\n\n\nUnlinked artists:\n"
