@@ -185,3 +185,27 @@ def test_release_format_prefers_description(spark):
     f = spark.createDataFrame([(1, "Vinyl", ['7"', "Album"]), (2, "Vinyl", ["LP"]), (3, "Book", ["x"]), (4, "CD", None)], "release_id int, format_name string, descriptions array<string>")
     m = spark.createDataFrame([("Vinyl", None, 7, "Vinyl"), ("Vinyl", '7"', 29, '7" Vinyl'), ("CD", None, 1, "CD")], "format_name string, description string, format_id int, a_name string")
     assert rows(prep.release_format(f, m), "release_id", "format_id") == {(1, 29), (2, 7), (4, 1)}
+
+
+def test_shared_titles_count_releases_and_drop_claimed_credits(spark):
+    """Two spellings of one title are not two releases, a credit with a linked member counts for nobody, and repeated rows count once."""
+    def t(data, schema):
+        return spark.createDataFrame(data, schema)
+
+    a = Catalog({
+        "artist": t([(2, "two", "Two"), (3, "three", "Three"), (4, "four", "Four"), (5, "five", "Five"), (1, "va", "Various")], "id bigint, gid string, name string"),
+        "artist_credit_name": t([(20, 2), (30, 3), (40, 4), (41, 4), (41, 5), (10, 1), (30, 1)], "artist_credit bigint, artist bigint"),
+        "artist_link": t([(5, "five")], "id bigint, gid string"),
+        "release": t([(1, "One", 20), (2, "X", 30), (3, "x", 30), (4, "Y", 30), (5, "P", 40), (6, "Q", 41), (7, "One", 10), (8, None, 40), (9, "Z", None)], "id bigint, name string, artist_credit bigint"),
+    })
+    b = Catalog({
+        "releases_artists": t([(1, "TWO"), (2, "Two"), (3, "THREE (2)"), (4, "THREE (2)"), (5, "Three (2)"), (6, "THREE (2)"), (7, "Four"), (8, "Four"), (9, None)], "release_id bigint, artist_name string"),
+        "release": t([(1, "ONE"), (2, "one"), (3, "X"), (4, "y"), (5, "x"), (6, "X"), (7, "P"), (8, "Q"), (9, "P")], "id bigint, title string"),
+    })
+    got = rows(ev.by_shared_titles(a, b, S), "gid", "url", "note", "score")
+    assert got == {("three", "THREE+(2)", "Both profiles have following releases: X, y", 8)}
+
+
+def test_summary_ignores_null_notes(spark):
+    df = spark.createDataFrame([("g", "u", n) for n in ("b", None, "a", "c", "d", None)] + [("g", "v", None)], "gid string, url string, note string")
+    assert rows(ev.summarise(df, "left")) == {("g", "u", "a\nb\nc\nand 1 more left", 4), ("g", "v", None, 0)}

@@ -177,3 +177,17 @@ def test_release_artists_with_several_names_and_links(spark):
     blocks = "\n".join(f"{n} http://b.example/artist/{n}\n{lines}{credits}\n{credits}" for n in "XY")
     assert notes[1] == f"Linked artists:\n\n\nMulti-linked artists:\n{blocks}\n\nUnlinked artists:\nU http://b.example/artist/U\n\tRelease - U"
     assert notes[2] == "Linked artists:\n\n\nMulti-linked artists:\n\n\nUnlinked artists:\n"
+
+
+def test_evidence_shares_linked_releases(spark):
+    """Linked releases and linked credits are stored once, and equal rows of all branches are dropped where they are put together."""
+    from catlink.operators import evidence as ev
+
+    c = queries.Ctx.of(spark, DATA)
+    for df in (ev.track_evidence(c.a, c.b, c.sites), ev.by_linked_release(c.a, c.b, c.sites)):
+        files = " ".join(df.inputFiles())
+        assert "/b_linked_releases-" in files and "/a_credited-" in files
+    relations = " ".join(ev.by_band_member(c.a, c.b, c.sites).inputFiles())
+    assert "/a_artist_relations-" in relations and "/a_l_artist_artist-" not in relations
+    total = queries.ALL["artist_evidence_all"].build(c)._jdf.queryExecution().executedPlan().toString()
+    assert total[:total.index("Union")].count("Exchange") == 1
