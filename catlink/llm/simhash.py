@@ -96,14 +96,18 @@ def anchors(fp: Column, half: int) -> Column:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(u, v), u < v: all pairs of distinct fingerprints (column ``fp``) that differ in at most 3 bits, each once."""
+    """(u, v), u < v: all pairs of distinct fingerprints (column ``fp``) that differ in at most 3 bits, each once.
+
+    Spark sizes rows made by ``explode`` as the rows they come from, so both sides are asked to be shuffled: the replicas, 34 for each
+    fingerprint, would be broadcast wherever the fingerprints are small enough.
+    """
     left = distinct.select(F.col("fp").alias("u"), F.explode(F.array(*[own_anchor(F.col("fp"), h) for h in (0, 1)])).alias("anchor"))
     right = distinct.select(F.col("fp").alias("v"), F.explode(F.concat(*[anchors(F.col("fp"), h) for h in (0, 1)])).alias("anchor"))
     differ = F.col("u").bitwiseXOR(F.col("v"))
     low, high = F.bit_count(_half(differ, 0)), F.bit_count(_half(differ, 1))
     first = F.col("anchor") < (1 << 32)
     near = (low + high <= DISTANCE) & F.when(first, low <= 1).otherwise((low > 1) & (high <= 1))
-    return left.join(right, "anchor").filter((F.col("u") < F.col("v")) & near).select("u", "v")
+    return left.hint("merge").join(right.hint("merge"), "anchor").filter((F.col("u") < F.col("v")) & near).select("u", "v")
 
 
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:

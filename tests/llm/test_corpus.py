@@ -217,6 +217,12 @@ def test_anchors_meet_all_close_pairs(spark):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+def test_replicas_are_never_broadcast(spark):
+    """Spark sizes the replicas as the fingerprints they come from, so it must not choose the join by size."""
+    plan = simhash.links(spark.range(20).select(F.col("id").alias("fp")))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u bigint, v bigint")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
