@@ -148,7 +148,8 @@ def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    # both sides are as long as the table, and files of hashes are several times smaller than their rows
+    return rows.hint("merge").join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def _hash() -> Column:
