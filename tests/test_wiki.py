@@ -72,6 +72,15 @@ def test_title_search_reads_no_list_on_for_ties_or_the_lightest_word(spark, monk
     assert stored["search-load"][-1].groupBy().sum("load").first()[0] == 60 * 60 + 120
 
 
+def test_title_search_never_broadcasts_its_rankings(spark):
+    """Files of rankings and names are far smaller than their rows, so these joins must not be chosen by size."""
+    index = search.build_index(spark.range(30).select(F.concat(F.lit("the band "), "id").alias("title")), 3)
+    entities = spark.range(30).select("id", F.concat(F.lit("the band "), "id").alias("name"))
+    for k, least in ((3, 1), (None, 2)):
+        plan = search.search_titles(entities, index, k, least)._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"\w+Join", plan)[:2] == ["SortMergeJoin"] * 2
+
+
 def test_only_titles_of_candidates_with_pages_are_looked_for(spark, monkeypatch):
     stored = {}
     plain = matching.session.materialise
