@@ -78,6 +78,34 @@ def test_structure_report_moves_each_piece_once(spark):
     assert "Join" not in text[:text.index("MapInArrow")] and "Exchange" not in text[:text.index("MapInArrow")]
 
 
+def test_structure_report_stores_lines_that_take_joins(spark, monkeypatch):
+    """Each kind of line with joins is stored apart, so the report's own query shuffles finished lines and little else."""
+    from catlink.operators.links import link_phrases
+    from catlink.reports import structure
+
+    c, stored = queries.Ctx.of(spark, DATA), []
+    keep = structure.session.materialise
+    monkeypatch.setattr(structure.session, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    structure.structure_report(c.a, c.b, c.sites, link_phrases(c.a))
+    assert stored.count("report-lines") == 8
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    import time
+
+    from catlink import session
+
+    blocks = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString("\n").count("_data")
+    assert spark.conf.get(session.CLEAN, None) is None
+    before = blocks()
+    df = session.materialise(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().repartition(3), "counts")
+    for _ in range(20):
+        if blocks() <= before:
+            break
+        time.sleep(0.5)
+    assert blocks() <= before and df.count() == 7 and spark.conf.get(session.CLEAN, None) is None
+
+
 def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
