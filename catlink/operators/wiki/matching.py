@@ -152,6 +152,47 @@ def items_on_pages(wanted: DataFrame, pages: DataFrame, at_once: int = ITEMS_AT_
     return rows.mapInArrow(_found_in, "title string, _item string").distinct()
 
 
+def _numbers_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, title, n) of every numbered item that occurs in the page of its row."""
+    import ahocorasick
+
+    for batch in batches:
+        for title, page, items in zip(*[batch.column(c) for c in ("title", "page", "items")], strict=True):
+            ids, numbers, words = items.values.flatten()
+            places: dict[str, list[int]] = {}
+            for i, word in enumerate(words.to_pylist()):
+                places.setdefault(word, []).append(i)
+            automaton = ahocorasick.Automaton()
+            for word in places:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            hit: set[str] = set()
+            for _, word in automaton.iter(page.as_py()):
+                hit.add(word)
+                if len(hit) == len(places):
+                    break
+            found = pa.array([i for word in hit for i in places[word]], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.take(found), pa.array([title.as_py()] * len(found), pa.string()), numbers.take(found)], names=["id", "title", "n"])
+
+
+def numbers_on_pages(wanted: DataFrame, pages: DataFrame, at_once: int = ITEMS_AT_ONCE) -> DataFrame:
+    """Distinct (id, title, n) of ``wanted`` (id, title, n, _item) whose item occurs in a page of that title: as ``items_on_pages``, but only
+    numbers leave the pages.
+
+    Titles with more than ``at_once`` items are stored first, few by nature, so that the texts of items are dealt once, by title and share.
+    """
+    session.bound_batches(pages.sparkSession)
+    wanted = wanted.select("id", "title", "n", "_item").filter("_item <> ''")
+    shares = wanted.groupBy("title").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("_shares")).filter("_shares > 1")
+    shares = session.materialise(shares, "mention-shares")
+    share = F.coalesce(F.pmod(F.xxhash64("_item"), F.col("_shares")).cast("int"), F.lit(0))
+    items = wanted.join(shares, "title", "left").groupBy("title", share.alias("_share")).agg(F.collect_list(F.struct("id", "n", "_item")).alias("items"))
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
+    texts = pages.select("title", "page").join(shares, "title", "left").select("title", "page", each.alias("_share"))
+    rows = texts.join(items, ["title", "_share"]).select("title", "page", "items")
+    return rows.mapInArrow(_numbers_in, f"id {wanted.schema['id'].dataType.simpleString()}, title string, n int").distinct()
+
+
 def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, titles: DataFrame, rule: MentionRule) -> DataFrame:
     """(id, title, n_titles, n_found, ratio, first_found, accepted) per candidate page.
 
@@ -164,7 +205,7 @@ def mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, title
 
 def _mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, titles: DataFrame, rule: MentionRule) -> DataFrame:
     """``mentions`` of stored pages. Only candidates that have a page, and only titles of entities that have such a candidate, go further;
-    those titles are brought into comparison form once and stored."""
+    those titles are brought into comparison form once, numbered within their entity in order and stored, and what is found are their numbers."""
     pairs = candidates.select("id", "title").distinct().join(pages.select("title").distinct(), "title", "left_semi")
     pairs = session.materialise(pairs.select("id", "title"), "mention-candidates")
     own = entities.select("id", F.col("name").alias("_own"), mangle_name("name").alias("_self")).join(pairs.select("id").distinct(), "id", "left_semi")
@@ -173,13 +214,15 @@ def _mentions(entities: DataFrame, candidates: DataFrame, pages: DataFrame, titl
     t = t.filter(F.col("item") != F.col("_own")) if rule.drop_self == "equal" else t.filter(~F.col("_item").contains(F.col("_self")))
     if rule.drop_short:
         t = t.filter(F.length("_item") > rule.min_length)
-    t = session.materialise(t.select("id", "_own", "item", "_item"), "mention-items")
+    t = t.withColumn("n", F.row_number().over(W.partitionBy("id").orderBy("item")))
+    t = session.materialise(t.select("id", "_own", "item", "_item", "n"), "mention-items")
     totals = t.groupBy("id", "_own").agg(F.count(F.lit(1)).alias("n_titles")).filter(F.col("n_titles") >= rule.min_titles)
-    looked_for = pairs.join(t.filter(F.length("_item") > rule.min_length).select("id", "item", "_item"), "id")
-    hits = looked_for.join(items_on_pages(looked_for, pages), ["title", "_item"]).select("id", "title", "item")
-    # One shuffle numbers and counts the hits of a candidate; only the first three are kept.
+    looked_for = pairs.join(t.filter(F.length("_item") > rule.min_length).select("id", "n", "_item"), "id")
+    hits = session.materialise(numbers_on_pages(looked_for, pages), "mention-hits")
+    # One shuffle ranks and counts the hits of a candidate; only the first three meet their texts again.
     group = W.partitionBy("id", "title")
-    hits = hits.withColumn("_rn", F.row_number().over(group.orderBy("item"))).withColumn("n_found", F.count(F.lit(1)).over(group)).filter("_rn <= 3")
+    hits = hits.withColumn("_rn", F.row_number().over(group.orderBy("n"))).withColumn("n_found", F.count(F.lit(1)).over(group)).filter("_rn <= 3")
+    hits = hits.join(t.select("id", "n", "item"), ["id", "n"])
     found = hits.groupBy("id", "title").agg(F.max("n_found").alias("n_found"), F.sort_array(F.collect_list("item")).alias("first_found"))
     rows = (
         pairs.join(totals, "id").join(found, ["id", "title"], "left")

@@ -103,6 +103,27 @@ def test_items_on_pages_in_shares(spark):
         assert got == {("p", i) for i in ("abc", "bc", "abd", "cab", "é", "xy", "a")} | {("r", "bc")}
 
 
+def test_only_numbers_leave_the_pages(spark, monkeypatch):
+    """Numbered items are found as by ``items_on_pages``, in shares or not, and hits are stored without texts."""
+    pages = spark.createDataFrame([("p", "abcabd é"), ("p", "xyz"), ("q", ""), ("r", "bc")], "title string, page string")
+    items = ["abc", "bc", "abd", "cab", "é", "zz", "", "xy", "a", "abcabd é!"]
+    wanted = [(i, t, n, item) for i in (1, 2) for t in ("p", "q", "r", "none") for n, item in enumerate(items) if n % 2 == 0 or i == 1]
+    df = spark.createDataFrame(wanted, "id int, title string, n int, _item string")
+    at = {"p": {"abc", "bc", "abd", "cab", "é", "xy", "a"}, "r": {"bc"}}
+    for at_once in (1, 3, 100):
+        rows = [tuple(r) for r in matching.numbers_on_pages(df, pages, at_once).collect()]
+        assert sorted(rows) == sorted((i, t, n) for i, t, n, item in wanted if item in at.get(t, ()))
+    stored = {}
+    plain = matching.session.materialise
+    monkeypatch.setattr(matching.session, "materialise", lambda df, name: stored.setdefault(name, plain(df, name)))
+    people, candidates = spark.createDataFrame([(1, "Ann")], "id int, name string"), spark.createDataFrame([(1, "p")], "id int, title string")
+    titles = spark.createDataFrame([(1, f"song number {i}") for i in "dbca"], "id int, name string")
+    text = spark.createDataFrame([("p", "songnumberd songnumberb songnumberc songnumbera")], "title string, page string")
+    rows = matching.mentions(people, candidates, text, titles, matching.RULES["artist"]).collect()
+    assert [(r.n_titles, r.n_found, r.first_found) for r in rows] == [(4, 4, ["song number a", "song number b", "song number c"])]
+    assert stored["mention-hits"].columns == ["id", "title", "n"]
+
+
 def test_title_match(spark):
     e = spark.createDataFrame([(1, "Mø"), (2, "Air"), (3, "!!!")], "id int, name string")
     t = spark.createDataFrame([("MO",), ("Air (French band)",), ("Air (album)",), ("Air",), ("???",)], "title string")
